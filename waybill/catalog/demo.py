@@ -25,7 +25,7 @@ DEMO_DRIVER_NAMES = [
 
 
 def labelled_orders(w) -> DataFrame:
-    return w.fct_orders.select("order_id", "date_key", "is_late")
+    return w.order_targets
 
 
 def demo_probabilities(w) -> DataFrame:

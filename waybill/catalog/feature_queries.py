@@ -167,7 +167,7 @@ def label_feature_join(w):
     from fct_orders""",
 )
 def temporal_split(w):
-    return model.split_report(w.fct_orders, DEMO_CUTOFF)
+    return model.split_report(w.order_targets, DEMO_CUTOFF)
 
 
 _BLOCKS = {

@@ -10,7 +10,7 @@ from waybill.fixed_values import NUMERIC_FEATURES
 from waybill.operators import metrics
 from waybill.operators.quality import key_set_difference
 from waybill.plans import evaluation, explain, features, model, reports, scoring
-from waybill.session import checkpointed
+from waybill.session import materialised
 from waybill.sources.driver_tables import DEMO_CUTOFF, DEMO_Q90
 
 SCORED_AT = "2020-01-01 00:00:00"
@@ -85,7 +85,7 @@ def standard_scale(w):
     from fct_orders where date_key < date '{DEMO_CUTOFF}' group by is_late""",
 )
 def balanced_class_weight(w):
-    train = w.fct_orders.filter(model.in_train(DEMO_CUTOFF))
+    train = w.order_targets.filter(model.in_train(DEMO_CUTOFF))
     return rounded(model.class_weights(train, "is_late"), 9, "weight")
 
 
@@ -97,8 +97,8 @@ def balanced_class_weight(w):
     from fct_orders""",
 )
 def majority_baseline(w):
-    train = w.fct_orders.filter(model.in_train(DEMO_CUTOFF))
-    return model.majority_scores(train, w.fct_orders, "is_late", ["order_id", "date_key", "is_late"])
+    train = w.order_targets.filter(model.in_train(DEMO_CUTOFF))
+    return model.majority_scores(train, w.order_targets, "is_late", ["order_id", "date_key", "is_late"])
 
 
 # --- fitted models (rows only) ---------------------------------------------
@@ -130,7 +130,7 @@ def gbt_challenger(w):
 @query("ablation_table")
 def ablation_table(w):
     prepared, names = _prepared(w)
-    prepared = checkpointed(prepared)
+    prepared = materialised(prepared)
     train, test = model.temporal_split(prepared, DEMO_CUTOFF)
     return explain.ablation_table(explain.ablation_scores(train, test, names))
 
@@ -207,7 +207,7 @@ def top_k_per_row(w):
 def split_identity_check(w):
     scored = demo_probabilities(w).select("order_id", "date_key", "probability")
     scores = model.risk_scores(scored, DEMO_Q90, DEMO_CUTOFF, SCORED_AT)
-    train = w.fct_orders.filter(model.in_train(DEMO_CUTOFF))
+    train = w.order_targets.filter(model.in_train(DEMO_CUTOFF))
     return key_set_difference(scores.filter("is_in_sample"), train, "order_id")
 
 

@@ -99,7 +99,7 @@ def monthly_late_rate(w):
     from fct_orders group by 1 order by 1""",
 )
 def monthly_late_history(w):
-    return bi.monthly_late_history(w.fct_orders)
+    return bi.monthly_late_history(w.order_targets)
 
 
 @query(
@@ -260,7 +260,7 @@ def tier_by_sample(w):
     from scores group by 1""",
 )
 def high_share_by_sample(w):
-    shares = bi.high_share_by_sample(demo_scores(w), w.fct_orders)
+    shares = bi.high_share_by_sample(demo_scores(w), w.order_targets)
     return rounded(shares, 6, "pct_high", "late_rate", "class_ratio")
 
 
@@ -277,4 +277,4 @@ def high_share_by_sample(w):
     group by cutoff order by cutoff""",
 )
 def cutoff_comparison(w):
-    return bi.cutoff_comparison(w.fct_orders, DEMO_CUTOFFS)
+    return bi.cutoff_comparison(w.order_targets, DEMO_CUTOFFS)

@@ -11,7 +11,7 @@ from waybill.functions.text import clean_text, sentiment_from_score
 from waybill.operators.metrics import class_report
 from waybill.operators.tfidf import tfidf
 from waybill.plans import themes
-from waybill.session import checkpointed
+from waybill.session import materialised
 from waybill.sources.driver_tables import DEMO_THEMES
 
 
@@ -188,11 +188,18 @@ def reclassify_confident(w):
     )
 
 
+def _rule_labelled_texts(texts):
+    """Training rows: every text a rule labels. The given tables hold too few negative
+    reviews for a vocabulary, so scores are not looked at here."""
+    labelled = themes.label_with_rules(texts.filter(F.col("texte_nettoye") != ""), DEMO_THEMES)
+    return labelled.filter(F.col("motif_regle") != THEME_OTHER)
+
+
 @query("theme_classifier")
 def theme_classifier(w):
     """Class report of the classifier on its held-out fifth of the rule-labelled texts."""
-    labelled = _labelled(w).filter(F.col("motif_regle") != THEME_OTHER)
-    parts = checkpointed(themes.stratified_split(labelled, "order_id", "motif_regle"))
+    labelled = _rule_labelled_texts(reviewed(w))
+    parts = materialised(themes.stratified_split(labelled, "order_id", "motif_regle"))
     fitted = themes.ThemeClassifier().fit(parts.filter(~F.col("is_test")))
     guesses = fitted.probabilities(parts.filter("is_test"), ["motif_regle"]).withColumn(
         "guess", themes.most_likely(F.col("probabilities"), fitted.classes)
@@ -202,9 +209,8 @@ def theme_classifier(w):
 
 @query("review_insights_classified")
 def review_insights_classified(w):
-    base = checkpointed(reviewed(w))
-    labelled = themes.label_with_rules(themes.negative_corpus(base), DEMO_THEMES)
-    fitted = themes.ThemeClassifier().fit(labelled.filter(F.col("motif_regle") != THEME_OTHER))
+    base = materialised(reviewed(w))
+    fitted = themes.ThemeClassifier().fit(_rule_labelled_texts(base))
     return themes.review_insights(base, DEMO_THEMES, fitted)
 
 

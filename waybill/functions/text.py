@@ -70,14 +70,10 @@ def words(text: Column) -> Column:
 
 def word_ngrams(tokens: Column, longest: int) -> Column:
     """All n-grams of 1..``longest`` consecutive tokens, space separated."""
-    grams = tokens
-    for n in range(2, longest + 1):
-        longer = F.when(
-            F.size(tokens) >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.size(tokens) - (n - 1)),
-                lambda start, n=n: F.array_join(F.slice(tokens, start, n), " "),
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        grams = F.concat(grams, longer)
-    return grams
+
+    def of_length(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
+        grams = F.transform(starts, lambda start: F.array_join(F.slice(tokens, start, n), " "))
+        return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(tokens, *[of_length(n) for n in range(2, longest + 1)])

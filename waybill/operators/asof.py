@@ -1,8 +1,8 @@
 """Strict backward as-of counts: what was known before each point in time.
 
 Equivalent to a backward as-of join without exact matches onto cumulative
-history, but expressed as a union, an aggregation and running totals, so one
-very large key is spread over its time buckets.
+history, but expressed as an aggregation per instant and running totals, so one
+very large key is spread over its hours.
 """
 
 from __future__ import annotations
@@ -12,16 +12,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.dates import MICROS_PER_DAY, MICROS_PER_MINUTE, micros
+from waybill.functions.dates import MICROS_PER_HOUR, micros
 from waybill.operators.running import running_totals, same_keys
 
 
-def time_buckets(us: Column) -> list[Column]:
-    """Days, then minutes: at most 1,440 buckets per day and 60 s per bucket."""
-    return [
-        F.floor(us / MICROS_PER_DAY),
-        F.floor(us / MICROS_PER_MINUTE),
-    ]
+def hour_of(ts: Column) -> Column:
+    """Hours since the epoch: about 8,800 running-total buckets per year and key."""
+    return F.floor(micros(ts) / MICROS_PER_HOUR)
 
 
 def cumulative_history(
@@ -31,64 +28,67 @@ def cumulative_history(
     measures: Mapping[str, Column],
 ) -> DataFrame:
     """Running totals up to and including each instant, one row per (keys, instant)."""
-    us = micros(F.col(time))
     reduced = history.groupBy(*keys, time).agg(
         *[F.sum(c).alias(n) for n, c in measures.items()]
     )
-    return running_totals(reduced, keys, time, list(measures), time_buckets(us))
+    return running_totals(reduced, keys, time, list(measures), hour_of(F.col(time)))
 
 
 def known_before(
-    history: DataFrame,
-    targets: DataFrame,
+    rows: DataFrame,
     keys: Sequence[str],
     history_time: str,
     target_time: str,
     measures: Mapping[str, Column],
     last_seen: str = "last_seen",
 ) -> DataFrame:
-    """Add to ``targets`` the totals of all history strictly before ``target_time``.
+    """What every asked instant could know: one row per (keys, instant).
 
-    Counts are 0 and ``last_seen`` (time of the latest history row used) is
-    NULL when nothing was known yet. Exact time matches are not used.
+    Each row of ``rows`` is history once its ``history_time`` has passed and
+    asks a question at its ``target_time``. The result has the instant under
+    the name ``target_time``, the totals of ``measures`` over all history of
+    the same keys strictly before it (0 when there is none), and the time of
+    the latest history used (NULL when there is none).
     """
     names = list(measures)
-    past = history.select(
-        *keys,
+    as_history = F.struct(
         F.col(history_time).alias("__at"),
         F.col(history_time).alias(last_seen),
+        F.lit(False).alias("__asked"),
         *[c.cast("long").alias(n) for n, c in measures.items()],
     )
-    asked = targets.select(
-        *keys,
+    as_target = F.struct(
         F.col(target_time).alias("__at"),
-        F.lit(None).cast(history.schema[history_time].dataType).alias(last_seen),
+        F.lit(None).cast(rows.schema[history_time].dataType).alias(last_seen),
+        F.lit(True).alias("__asked"),
         *[F.lit(0).cast("long").alias(n) for n in names],
     )
     instants = (
-        past.unionByName(asked)
+        rows.select(*keys, F.inline(F.array(as_history, as_target)))
         .filter(F.col("__at").isNotNull())
         .groupBy(*keys, "__at")
-        .agg(*[F.sum(n).alias(n) for n in names], F.max(last_seen).alias(last_seen))
+        .agg(
+            F.max("__asked").alias("__asked"),
+            F.max(last_seen).alias(last_seen),
+            *[F.sum(n).alias(n) for n in names],
+        )
     )
     known = running_totals(
-        instants,
-        keys,
-        "__at",
-        names,
-        time_buckets(micros(F.col("__at"))),
-        maxima=[last_seen],
-        exclusive=True,
-    ).alias("known")
-    rows = targets.alias("rows")
-    same_instant = F.col(f"rows.{target_time}") == F.col("known.__at")
-    return rows.join(known, same_keys("rows", "known", keys) & same_instant, "left").select(
-        "rows.*",
-        *[F.coalesce(F.col(f"known.{n}"), F.lit(0)).alias(n) for n in names],
-        F.col(f"known.{last_seen}").alias(last_seen),
+        instants, keys, "__at", names, hour_of(F.col("__at")), maxima=[last_seen], exclusive=True
+    )
+    return known.filter("__asked").select(
+        *keys, F.col("__at").alias(target_time), *names, last_seen
     )
 
 
+def attach_known(rows: DataFrame, known: DataFrame, keys: Sequence[str], target_time: str) -> DataFrame:
+    """Add the result of ``known_before`` to the rows that asked."""
+    asked = [*keys, target_time]
+    added = [c for c in known.columns if c not in asked]
+    joined = rows.alias("rows").join(known.alias("known"), same_keys("rows", "known", asked), "left")
+    return joined.select("rows.*", *[F.col(f"known.{c}") for c in added])
+
+
 def leakage_violations(
     df: DataFrame, checks: Mapping[str, tuple[str, str]]
 ) -> DataFrame:

@@ -12,6 +12,8 @@ from waybill.functions.numbers import grid_position, percent, zero_ratio
 from waybill.operators.quantiles import exact_quantiles
 from waybill.operators.running import running_totals
 
+SCORE_STEPS = 100_000
+
 
 def average_precision(
     df: DataFrame, keys: Sequence[str], score: str, label: str, name: str = "average_precision"
@@ -31,7 +33,7 @@ def average_precision(
         keys,
         "__descent",
         ["__n", "__tp"],
-        [F.floor(descent * 1_000), F.floor(descent * 1_000_000)],
+        F.floor(descent * SCORE_STEPS),
     )
     area = F.sum(F.col("__new") * (F.col("__tp") / F.col("__n")))
     return curve.groupBy(*keys).agg(

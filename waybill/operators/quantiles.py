@@ -86,7 +86,7 @@ def exact_quantiles(
         place,
         "__value",
         ["__n"],
-        [ordered_bucket(F.col("__value"), FINE_BITS)],
+        ordered_bucket(F.col("__value"), FINE_BITS),
         exclusive=True,
     )
     rank_here = F.col("picks.rank") - F.col("picks.__before")

@@ -1,21 +1,22 @@
 """Running totals over data of any size, without one big window.
 
 A plain ``sum() over (partition by key order by time)`` sends a whole key to
-one task, and without a key it sends the whole table there. Here the input is
-first reduced to one row per (key, position); positions are cut into ordered
-buckets; bucket totals give the offset before each bucket, and a window inside
-the bucket does the rest. No task ever sees more than one bucket of one key.
+one task, and without a key it sends the whole table there. Here the input
+holds one row per (key, position); positions are cut into ordered buckets;
+bucket totals give the offset before each bucket, and a window inside the
+bucket does the rest. No task ever sees more than one bucket of one key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def same_keys(left: str, right: str, names: Sequence[str]) -> Column:
+    """Equality on several columns in which NULL equals NULL."""
     condition = F.lit(True)
     for name in names:
         condition = condition & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
@@ -27,66 +28,55 @@ def running_totals(
     keys: Sequence[str],
     order: str,
     sums: Sequence[str],
-    buckets: Sequence[Column],
+    bucket: Column,
     maxima: Sequence[str] = (),
     exclusive: bool = False,
 ) -> DataFrame:
     """Replace ``sums`` and ``maxima`` by their running values within ``keys``.
 
-    ``df`` must hold one row per (keys, order). ``buckets`` are expressions of
-    ``order`` that never decrease with it, coarse to fine. With ``exclusive``
-    the current row is left out, which is what a strict "before" needs; running
+    ``df`` must hold one row per (keys, order). ``bucket`` is an expression of
+    ``order`` that never decreases with it; the number of its values per key
+    should be bounded (hours of the covered years, steps of a score), because
+    bucket totals of one key are ordered in one task. With ``exclusive`` the
+    current row is left out, which is what a strict "before" needs; running
     sums then start at 0 and running maxima at NULL.
-    """
-    names = [f"__bucket_{i}" for i in range(len(buckets))]
-    rows = df.select("*", *[b.alias(n) for b, n in zip(buckets, names)])
-    return _level(rows, list(keys), order, list(sums), list(maxima), names, exclusive).drop(*names)
 
+    One shuffle brings each bucket together; its total and its window both run
+    on that. Only the small totals move again.
+    """
+    keys, sums, maxima = list(keys), list(sums), list(maxima)
+    place = [*keys, "__step"]
+    measures = sums + maxima
+    kept = [c for c in df.columns if c not in measures]
+    rows = df.withColumn("__step", bucket).repartition(*place)
 
-def _level(
-    rows: DataFrame,
-    keys: list[str],
-    order: str,
-    sums: list[str],
-    maxima: list[str],
-    names: list[str],
-    exclusive: bool,
-) -> DataFrame:
-    place = keys + names[-1:]
     last = -1 if exclusive else Window.currentRow
     inside = (
         Window.partitionBy(*place).orderBy(order).rowsBetween(Window.unboundedPreceding, last)
     )
-    measures = sums + maxima
-    kept = [c for c in rows.columns if c not in measures]
     within = rows.select(
         *kept,
+        "__step",
         *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(c) for c in sums],
         *[F.max(c).over(inside).alias(c) for c in maxima],
     )
-    if not names:
-        return within
 
-    totals = rows.groupBy(*keys, *names).agg(
+    totals = rows.groupBy(*place).agg(
         *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in maxima]
     )
-    offsets = _level(totals, keys, names[-1], sums, maxima, names[:-1], True).alias("before")
-    within = within.alias("now")
-    return within.join(offsets, same_keys("now", "before", place), "left").select(
+    earlier = (
+        Window.partitionBy(*keys).orderBy("__step").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = totals.select(
+        *place,
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in sums],
+        *[F.max(c).over(earlier).alias(c) for c in maxima],
+    )
+    joined = within.alias("now").join(
+        offsets.alias("before"), same_keys("now", "before", place), "left"
+    )
+    return joined.select(
         *[F.col(f"now.{c}") for c in kept],
         *[(F.col(f"now.{c}") + F.col(f"before.{c}")).alias(c) for c in sums],
         *[F.greatest(F.col(f"now.{c}"), F.col(f"before.{c}")).alias(c) for c in maxima],
     )
-
-
-def running_counts(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    measures: Mapping[str, Column],
-    buckets: Sequence[Column],
-    exclusive: bool = False,
-) -> DataFrame:
-    """Group rows to (keys, order) with summed ``measures``, then run them up."""
-    reduced = df.groupBy(*keys, order).agg(*[F.sum(c).alias(n) for n, c in measures.items()])
-    return running_totals(reduced, keys, order, list(measures), buckets, exclusive=exclusive)

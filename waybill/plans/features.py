@@ -12,7 +12,12 @@ from waybill.fixed_values import (
 )
 from waybill.functions.dates import floored_days, monday_weekday
 from waybill.functions.geo import haversine_km
-from waybill.operators.asof import cumulative_history, known_before, leakage_violations
+from waybill.operators.asof import (
+    attach_known,
+    cumulative_history,
+    known_before,
+    leakage_violations,
+)
 from waybill.operators.quality import assert_no_forbidden, grain_report
 
 def history_measures(prefix: str = "") -> dict[str, Column]:
@@ -53,29 +58,33 @@ def global_history(orders: DataFrame) -> DataFrame:
 def seller_known_before(orders: DataFrame, items: DataFrame) -> DataFrame:
     """(order, seller) rows with the seller's history strictly before the purchase."""
     pairs = order_seller_outcomes(orders, items)
-    return known_before(
+    return _with_seller_history(pairs, pairs.select("order_id", "seller_id", "purchased_at"))
+
+
+def _with_seller_history(pairs: DataFrame, asking: DataFrame) -> DataFrame:
+    known = known_before(
         pairs,
-        pairs.select("order_id", "seller_id", "purchased_at"),
         ["seller_id"],
         "known_at",
         "purchased_at",
         history_measures("seller_"),
         last_seen="seller_last_known",
     )
+    return attach_known(asking, known, ["seller_id"], "purchased_at")
 
 
 def global_known_before(orders: DataFrame) -> DataFrame:
     """Orders with the whole shop's history strictly before the purchase."""
     outcomes = order_outcomes(orders)
-    return known_before(
+    known = known_before(
         outcomes,
-        outcomes.select("order_id", "purchased_at"),
         [],
         "known_at",
         "purchased_at",
         history_measures("global_"),
         last_seen="global_last_known",
     )
+    return attach_known(outcomes.select("order_id", "purchased_at"), known, [], "purchased_at")
 
 
 def prior_rate() -> Column:
@@ -85,11 +94,15 @@ def prior_rate() -> Column:
 
 
 def smoothed_rates(orders: DataFrame, items: DataFrame, k: int = SELLER_SMOOTHING_K) -> DataFrame:
-    """Seller late rate pulled towards the prior with the weight of ``k`` orders."""
+    """Seller late rate pulled towards the prior with the weight of ``k`` orders.
+
+    The prior belongs to the order, so it is attached before orders meet sellers.
+    """
     prior = global_known_before(orders).select(
-        "order_id", "global_n", "global_last_known", prior_rate().alias("prior")
+        "order_id", "purchased_at", "global_n", "global_last_known", prior_rate().alias("prior")
     )
-    pairs = seller_known_before(orders, items).join(prior, "order_id")
+    asking = order_sellers(items).join(prior, "order_id")
+    pairs = _with_seller_history(order_seller_outcomes(orders, items), asking)
     rate = (F.col("seller_late") + k * F.col("prior")) / (F.col("seller_n") + k)
     return pairs.withColumn("seller_late_rate_smoothed", rate)
 

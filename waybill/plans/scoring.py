@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from waybill import fixed_values as fixed
 from waybill.plans import evaluation, features, model
-from waybill.session import checkpointed
+from waybill.session import materialised
 
 
 @dataclass(frozen=True)
@@ -26,7 +26,7 @@ class ScoringRun:
 
 def labelled(w) -> DataFrame:
     """Features with target, written once: every later step makes several passes."""
-    return checkpointed(features.labelled_features(features.features_orders(w), w.fct_orders))
+    return materialised(features.labelled_features(features.features_orders(w), w.order_targets))
 
 
 def prepare(rows: DataFrame, cutoff: str) -> tuple[DataFrame, list[str]]:

@@ -92,6 +92,13 @@ def is_late() -> Column:
     return F.when(late, 1).otherwise(0)
 
 
+def order_targets(orders: DataFrame) -> DataFrame:
+    """The fact's key, purchase date and target, for plans that need nothing else."""
+    return orders.select(
+        "order_id", F.to_date("order_purchase_timestamp").alias("date_key"), is_late().alias("is_late")
+    )
+
+
 def fct_orders(
     enriched: DataFrame, items: DataFrame, customers: DataFrame, geo: DataFrame
 ) -> DataFrame:

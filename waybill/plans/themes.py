@@ -165,6 +165,8 @@ class ThemeClassifier:
             numbered, "term string, df bigint, idf double, position bigint"
         ).persist()
         self.size = self.vocabulary.count()
+        if self.size == 0:
+            raise ValueError("no term is frequent enough to build a vocabulary")
         rows = class_weights(labelled, self.label).orderBy(self.label).collect()
         self.classes = [r[self.label] for r in rows]
         n = sum(r["n"] for r in rows)

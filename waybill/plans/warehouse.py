@@ -107,3 +107,8 @@ class Warehouse:
         return star.fct_orders(
             with_items, self.stg_order_items, self.stg_customers, self.int_geolocation
         )
+
+    @cached_property
+    def order_targets(self) -> DataFrame:
+        """Key, purchase date and target of every fact row, without the fact's joins."""
+        return star.order_targets(self.stg_orders)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,9 +57,13 @@ def shared_folder(spark: SparkSession) -> str:
     return named
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared folder; survives executor loss."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+def materialised(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared folder and go on from the written table.
+
+    Cuts lineage so that later passes neither recompute ``df`` nor depend on the
+    executors that made it, and, being columnar, lets each pass read only the
+    columns it needs.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -77,7 +77,6 @@ def write_csv(df: DataFrame, path: str) -> None:
         escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
-        timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
     )
 
 
