@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(
     app: str = "waybill",
@@ -52,9 +54,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-    named = tempfile.mkdtemp(prefix="waybill-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="waybill-shared-")
+    return _LOCAL_FOLDERS[application]
 
 
 def materialised(df: DataFrame) -> DataFrame:
