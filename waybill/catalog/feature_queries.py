@@ -208,7 +208,7 @@ def dq_unique(w):
 
 @query("dq_not_null", "select order_id, date_key from fct_orders where product_key is null")
 def dq_not_null(w):
-    return quality.null_rows(w.fct_orders, "product_key").select("order_id", "date_key")
+    return quality.null_rows(w.fact("order_id", "date_key", "product_key"), "product_key").drop("product_key")
 
 
 @query(

@@ -36,8 +36,19 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     return register
 
 
+_OPEN: dict[tuple[str, str], Warehouse] = {}
+
+
 def open_warehouse(spark: SparkSession, folder: str) -> Warehouse:
-    return Warehouse(DriverTables(spark, folder))
+    """The warehouse over one folder, opened once per session.
+
+    Only definitions are kept: table schemas and unexecuted plans, no data.
+    """
+    place = (spark.sparkContext.applicationId, folder)
+    if place not in _OPEN:
+        _OPEN.clear()
+        _OPEN[place] = Warehouse(DriverTables(spark, folder))
+    return _OPEN[place]
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:

@@ -89,7 +89,7 @@ def src_parquet_views(w):
 @query("sink_replace_table", "select order_id, date_key, is_late, geo_key from fct_orders")
 def sink_replace_table(w):
     path = f"{_fresh_folder(w, 'replace')}/fct_orders.parquet"
-    narrow = w.fct_orders.select("order_id", "date_key", "is_late", "geo_key")
+    narrow = w.fact("order_id", "date_key", "is_late", "geo_key")
     storage.replace_table(narrow, path)
     return storage.replace_table(narrow, path)
 
@@ -127,7 +127,7 @@ def export_manifest(w):
 )
 def export_dim_semi(w):
     return exports.referenced_members(
-        w.dim_product, w.fct_orders, "product_key", ["product_key", "product_category_name"]
+        w.dim_product, w.fact("product_key"), "product_key", ["product_key", "product_category_name"]
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.dates import MICROS_PER_HOUR, micros
-from waybill.operators.running import running_totals, same_keys
+from waybill.operators.running import running_totals
 
 
 def hour_of(ts: Column) -> Column:
@@ -82,11 +82,14 @@ def known_before(
 
 
 def attach_known(rows: DataFrame, known: DataFrame, keys: Sequence[str], target_time: str) -> DataFrame:
-    """Add the result of ``known_before`` to the rows that asked."""
+    """Add the result of ``known_before`` to the rows that asked.
+
+    Rows without a key or time know nothing: counts 0, no latest history.
+    """
     asked = [*keys, target_time]
-    added = [c for c in known.columns if c not in asked]
-    joined = rows.alias("rows").join(known.alias("known"), same_keys("rows", "known", asked), "left")
-    return joined.select("rows.*", *[F.col(f"known.{c}") for c in added])
+    counts = [c for c, kind in known.dtypes if c not in asked and kind == "bigint"]
+    joined = rows.join(known, asked, "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in counts})
 
 
 def leakage_violations(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.functions.numbers import ordered_bucket
-from waybill.operators.running import running_totals, same_keys
+from waybill.operators.running import running_totals, without_null
 
 COARSE_BITS = 8
 FINE_BITS = 24
@@ -29,12 +29,12 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per ``keys`` with a column per entry of ``wanted`` (name -> probability).
 
-    NULL values are ignored. ``few_groups`` declares that ``keys`` takes only a
+    NULL values and rows with a NULL key are ignored. ``few_groups`` declares that ``keys`` takes only a
     fixed handful of values (classes, feature names), so the list of selected
     buckets, two per group and probability, may be broadcast.
     """
     keys = list(keys)
-    values = df.filter(F.col(value).isNotNull()).select(
+    values = without_null(df, [*keys, value]).select(
         *keys, F.col(value).cast("double").alias("__value")
     )
     bucketed = values.withColumn("__bucket", ordered_bucket(F.col("__value"), COARSE_BITS))
@@ -75,8 +75,7 @@ def exact_quantiles(
 
     place = keys + ["__bucket"]
     counts = (
-        bucketed.alias("all")
-        .join(chosen.alias("chosen"), same_keys("all", "chosen", place), "left_semi")
+        bucketed.join(chosen, place, "left_semi")
         .groupBy(*place, "__value")
         .agg(F.count(F.lit(1)).alias("__n"))
         .withColumn("__same", F.col("__n"))
@@ -92,13 +91,13 @@ def exact_quantiles(
     rank_here = F.col("picks.rank") - F.col("picks.__before")
     found = (
         ranked.alias("ranked")
-        .join(picks.alias("picks"), same_keys("ranked", "picks", place))
+        .join(picks.alias("picks"), place)
         .filter(
             (rank_here >= F.col("ranked.__n"))
             & (rank_here < F.col("ranked.__n") + F.col("ranked.__same"))
         )
         .select(
-            *[F.col(f"ranked.{k}") for k in keys],
+            *keys,
             F.col("picks.name").alias("__name"),
             F.col("picks.upper").alias("__upper"),
             F.col("picks.position").alias("__position"),

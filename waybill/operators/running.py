@@ -15,12 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def same_keys(left: str, right: str, names: Sequence[str]) -> Column:
-    """Equality on several columns in which NULL equals NULL."""
-    condition = F.lit(True)
+def without_null(df: DataFrame, names: Sequence[str]) -> DataFrame:
     for name in names:
-        condition = condition & F.col(f"{left}.{name}").eqNullSafe(F.col(f"{right}.{name}"))
-    return condition
+        df = df.filter(F.col(name).isNotNull())
+    return df
 
 
 def running_totals(
@@ -34,7 +32,8 @@ def running_totals(
 ) -> DataFrame:
     """Replace ``sums`` and ``maxima`` by their running values within ``keys``.
 
-    ``df`` must hold one row per (keys, order). ``bucket`` is an expression of
+    ``df`` must hold one row per (keys, order); rows with a NULL key belong to no
+    group and are left out. ``bucket`` is an expression of
     ``order`` that never decreases with it; the number of its values per key
     should be bounded (hours of the covered years, steps of a score), because
     bucket totals of one key are ordered in one task. With ``exclusive`` the
@@ -48,7 +47,7 @@ def running_totals(
     place = [*keys, "__step"]
     measures = sums + maxima
     kept = [c for c in df.columns if c not in measures]
-    rows = df.withColumn("__step", bucket).repartition(*place)
+    rows = without_null(df, [*keys, order]).withColumn("__step", bucket).repartition(*place)
 
     last = -1 if exclusive else Window.currentRow
     inside = (
@@ -72,11 +71,9 @@ def running_totals(
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in sums],
         *[F.max(c).over(earlier).alias(c) for c in maxima],
     )
-    joined = within.alias("now").join(
-        offsets.alias("before"), same_keys("now", "before", place), "left"
-    )
+    joined = within.alias("now").join(offsets.alias("before"), place)
     return joined.select(
-        *[F.col(f"now.{c}") for c in kept],
+        *[F.col(f"now.{c}") if c not in place else F.col(c) for c in kept],
         *[(F.col(f"now.{c}") + F.col(f"before.{c}")).alias(c) for c in sums],
         *[F.greatest(F.col(f"now.{c}"), F.col(f"before.{c}")).alias(c) for c in maxima],
     )

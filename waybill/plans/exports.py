@@ -18,18 +18,19 @@ def referenced_members(dim: DataFrame, fact: DataFrame, key: str, columns: list[
 def dashboard_tables(
     w, scores: DataFrame, drivers: DataFrame, insights: DataFrame | None
 ) -> dict[str, DataFrame]:
-    fact = w.fct_orders
     tables = {
-        "fct_orders": fact.select(
+        "fct_orders": w.fact(
             "order_id", "customer_id", "product_key", "date_key", "is_late", "total_price"
         ),
         "dim_customer": referenced_members(
-            w.dim_customer, fact, "customer_id", ["customer_id", "customer_state"]
+            w.dim_customer, w.fact("customer_id"), "customer_id", ["customer_id", "customer_state"]
         ),
         "dim_product": referenced_members(
-            w.dim_product, fact, "product_key", ["product_key", "product_category_name"]
+            w.dim_product, w.fact("product_key"), "product_key", ["product_key", "product_category_name"]
+        ),
+        "dim_date": referenced_members(
+            w.dim_date, w.fact("date_key"), "date_key", ["date_key", "annee", "mois"]
         ),
-        "dim_date": referenced_members(w.dim_date, fact, "date_key", ["date_key", "annee", "mois"]),
         "int_orders_enriched": w.int_orders_enriched.select(
             "order_id",
             "review_score",

@@ -35,9 +35,9 @@ class Filters:
 def _dimensions(fact: DataFrame, w, filters: Filters | None) -> DataFrame:
     """Fact with state, category and calendar month.
 
-    Year and month follow from the key itself, so the calendar is only needed
-    to drop dates it does not cover: a semi join on a table whose size depends
-    on the years spanned, never on the number of orders.
+    The calendar may be broadcast: its size depends on the years spanned, never
+    on the number of orders. The other dimensions grow with the business, so
+    Spark decides from their sizes.
     """
     joined = (
         fact.join(F.broadcast(w.dim_date.select("date_key", "annee", "mois")), "date_key")
@@ -49,9 +49,7 @@ def _dimensions(fact: DataFrame, w, filters: Filters | None) -> DataFrame:
 
 def bi_base(w, filters: Filters | None = None) -> DataFrame:
     """All delivered orders with dimensions, dates and review score."""
-    fact = w.fct_orders.select(
-        "order_id", "customer_id", "product_key", "date_key", "is_late", "total_price"
-    )
+    fact = w.fact("order_id", "customer_id", "product_key", "date_key", "is_late", "total_price")
     extra = w.stg_orders.select(
         "order_id",
         "order_purchase_timestamp",
@@ -76,7 +74,7 @@ def bi_base(w, filters: Filters | None = None) -> DataFrame:
 def prediction_base(w, scores: DataFrame, filters: Filters | None = None) -> DataFrame:
     """Out-of-sample scores with the fact's dimensions."""
     honest = scores.filter(~F.col("is_in_sample")).select("order_id", "risk_probability", "risk_tier")
-    fact = w.fct_orders.select("order_id", "customer_id", "product_key", "date_key", "total_price")
+    fact = w.fact("order_id", "customer_id", "product_key", "date_key", "total_price")
     return _dimensions(honest.join(fact, "order_id"), w, filters).select(
         "order_id",
         "risk_probability",
@@ -92,7 +90,7 @@ def prediction_base(w, scores: DataFrame, filters: Filters | None = None) -> Dat
 def flagged_by_segment(w, scores: DataFrame) -> DataFrame:
     """Flagged out-of-sample orders by state, category and month, most first."""
     honest = scores.filter(~F.col("is_in_sample")).select("order_id", "is_flagged_risk")
-    fact = w.fct_orders.select("order_id", "customer_id", "product_key", "date_key")
+    fact = w.fact("order_id", "customer_id", "product_key", "date_key")
     segments = (
         honest.join(fact, "order_id")
         .join(w.dim_product.select("product_key", "product_category_name"), "product_key")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,36 +94,50 @@ def is_late() -> Column:
     return F.when(late, 1).otherwise(0)
 
 
-def order_targets(orders: DataFrame) -> DataFrame:
-    """The fact's key, purchase date and target, for plans that need nothing else."""
-    return orders.select(
-        "order_id", F.to_date("order_purchase_timestamp").alias("date_key"), is_late().alias("is_late")
-    )
+# --- fixed values: columns of the fact, in order ---------------------------
+FACT_COLUMNS = [
+    "order_id",
+    "customer_id",
+    "product_key",
+    "date_key",
+    "geo_key",
+    "is_late",
+    "nb_items",
+    "total_price",
+    "total_freight",
+    "nb_distinct_sellers",
+    "freight_ratio",
+    "delay_est_days",
+]
+ITEM_MEASURES = {"nb_items", "total_price", "total_freight", "nb_distinct_sellers", "freight_ratio"}
 
 
 def fct_orders(
-    enriched: DataFrame, items: DataFrame, customers: DataFrame, geo: DataFrame
+    orders: DataFrame,
+    order_items: DataFrame,
+    items: DataFrame,
+    customers: DataFrame,
+    geo: DataFrame,
+    columns: Sequence[str] = tuple(FACT_COLUMNS),
 ) -> DataFrame:
-    """One row per delivered order. Delivery dates are used, never exposed."""
-    principal = first_child(items, "order_id", "order_item_id", "product_id", "product_key")
-    keys = customer_geo_keys(customers, geo)
-    return (
-        enriched.join(principal, "order_id", "left")
-        .join(keys, "customer_id", "left")
-        .select(
-            "order_id",
-            "customer_id",
-            "product_key",
-            F.to_date("order_purchase_timestamp").alias("date_key"),
-            "geo_key",
-            is_late().alias("is_late"),
-            "nb_items",
-            "total_price",
-            "total_freight",
-            "nb_distinct_sellers",
-            "freight_ratio",
-            boundary_days(
-                F.col("order_purchase_timestamp"), F.col("order_estimated_delivery_date")
-            ).alias("delay_est_days"),
-        )
-    )
+    """One row per delivered order. Delivery dates are used, never exposed.
+
+    Every join is a left join to at most one row, so a join whose columns are
+    not asked for can be left out. Spark cannot know that, so it is done here.
+    """
+    asked = set(columns)
+    rows = orders
+    if asked & ITEM_MEASURES:
+        rows = rows.join(order_items, "order_id", "left")
+    if "product_key" in asked:
+        principal = first_child(items, "order_id", "order_item_id", "product_id", "product_key")
+        rows = rows.join(principal, "order_id", "left")
+    if "geo_key" in asked:
+        rows = rows.join(customer_geo_keys(customers, geo), "customer_id", "left")
+    bought, promised = F.col("order_purchase_timestamp"), F.col("order_estimated_delivery_date")
+    derived = {
+        "date_key": F.to_date(bought),
+        "is_late": is_late(),
+        "delay_est_days": boundary_days(bought, promised),
+    }
+    return rows.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in columns])

@@ -49,9 +49,13 @@ class DriverTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._given: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One of the given tables; its footer is read once."""
+        if name not in self._given:
+            self._given[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._given[name]
 
     @cached_property
     def _per_order(self) -> DataFrame:
@@ -100,7 +104,7 @@ class DriverTables:
         """The same items without a number, for plans that never look at it."""
         return self._items.drop("line").withColumn("order_item_id", F.lit(None).cast("int"))
 
-    @property
+    @cached_property
     def _items(self) -> DataFrame:
         return self.given("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
