@@ -42,11 +42,11 @@ def known_before(
     measures: Mapping[str, Column],
     last_seen: str = "last_seen",
 ) -> DataFrame:
-    """What every asked instant could know: one row per (keys, instant).
+    """What could be known at every instant: one row per (keys, instant).
 
     Each row of ``rows`` is history once its ``history_time`` has passed and
-    asks a question at its ``target_time``. The result has the instant under
-    the name ``target_time``, the totals of ``measures`` over all history of
+    asks a question at its ``target_time``. The result has all these instants
+    under the name ``target_time``, the totals of ``measures`` over all history of
     the same keys strictly before it (0 when there is none), and the time of
     the latest history used (NULL when there is none).
     """
@@ -54,13 +54,11 @@ def known_before(
     as_history = F.struct(
         F.col(history_time).alias("__at"),
         F.col(history_time).alias(last_seen),
-        F.lit(False).alias("__asked"),
         *[c.cast("long").alias(n) for n, c in measures.items()],
     )
     as_target = F.struct(
         F.col(target_time).alias("__at"),
         F.lit(None).cast(rows.schema[history_time].dataType).alias(last_seen),
-        F.lit(True).alias("__asked"),
         *[F.lit(0).cast("long").alias(n) for n in names],
     )
     instants = (
@@ -68,7 +66,6 @@ def known_before(
         .filter(F.col("__at").isNotNull())
         .groupBy(*keys, "__at")
         .agg(
-            F.max("__asked").alias("__asked"),
             F.max(last_seen).alias(last_seen),
             *[F.sum(n).alias(n) for n in names],
         )
@@ -76,9 +73,7 @@ def known_before(
     known = running_totals(
         instants, keys, "__at", names, hour_of(F.col("__at")), maxima=[last_seen], exclusive=True
     )
-    return known.filter("__asked").select(
-        *keys, F.col("__at").alias(target_time), *names, last_seen
-    )
+    return known.withColumnRenamed("__at", target_time)
 
 
 def attach_known(rows: DataFrame, known: DataFrame, keys: Sequence[str], target_time: str) -> DataFrame:

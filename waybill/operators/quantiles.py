@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.functions.numbers import ordered_bucket
-from waybill.operators.running import running_totals, without_null
+from waybill.operators.running import running_totals
 
 COARSE_BITS = 8
 FINE_BITS = 24
@@ -34,9 +34,7 @@ def exact_quantiles(
     buckets, two per group and probability, may be broadcast.
     """
     keys = list(keys)
-    values = without_null(df, [*keys, value]).select(
-        *keys, F.col(value).cast("double").alias("__value")
-    )
+    values = df.select(*keys, F.col(value).cast("double").alias("__value")).dropna()
     bucketed = values.withColumn("__bucket", ordered_bucket(F.col("__value"), COARSE_BITS))
     histogram = bucketed.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
 

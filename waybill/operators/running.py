@@ -15,12 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def without_null(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    for name in names:
-        df = df.filter(F.col(name).isNotNull())
-    return df
-
-
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -32,22 +26,20 @@ def running_totals(
 ) -> DataFrame:
     """Replace ``sums`` and ``maxima`` by their running values within ``keys``.
 
-    ``df`` must hold one row per (keys, order); rows with a NULL key belong to no
-    group and are left out. ``bucket`` is an expression of
-    ``order`` that never decreases with it; the number of its values per key
-    should be bounded (hours of the covered years, steps of a score), because
-    bucket totals of one key are ordered in one task. With ``exclusive`` the
-    current row is left out, which is what a strict "before" needs; running
-    sums then start at 0 and running maxima at NULL.
-
-    One shuffle brings each bucket together; its total and its window both run
-    on that. Only the small totals move again.
+    ``df`` must hold one row per (keys, order), best fresh from an aggregation:
+    its shuffle is then shared by the two branches below. ``bucket`` is an
+    expression of ``order`` that never decreases with it; the number of its
+    values per key should be bounded (hours of the covered years, steps of a
+    score), because bucket totals of one key are ordered in one task. With
+    ``exclusive`` the current row is left out, which is what a strict "before"
+    needs; running sums then start at 0 and running maxima at NULL. Rows with a
+    NULL key belong to no group and get NULL totals.
     """
     keys, sums, maxima = list(keys), list(sums), list(maxima)
     place = [*keys, "__step"]
     measures = sums + maxima
     kept = [c for c in df.columns if c not in measures]
-    rows = without_null(df, [*keys, order]).withColumn("__step", bucket).repartition(*place)
+    rows = df.withColumn("__step", bucket)
 
     last = -1 if exclusive else Window.currentRow
     inside = (
@@ -71,7 +63,7 @@ def running_totals(
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in sums],
         *[F.max(c).over(earlier).alias(c) for c in maxima],
     )
-    joined = within.alias("now").join(offsets.alias("before"), place)
+    joined = within.alias("now").join(offsets.alias("before"), place, "left")
     return joined.select(
         *[F.col(f"now.{c}") if c not in place else F.col(c) for c in kept],
         *[(F.col(f"now.{c}") + F.col(f"before.{c}")).alias(c) for c in sums],

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,25 +143,33 @@ def _variants(names: Sequence[str]) -> list[tuple[str, list[str], dict]]:
 
 
 def ablation_scores(
-    train: DataFrame, test: DataFrame, names: Sequence[str], trees: int = 100
+    train: DataFrame,
+    test: DataFrame,
+    names: Sequence[str],
+    trees: int = 100,
+    parallelism: int = 4,
 ) -> DataFrame:
-    """Train and test scores of every variant: (variant, split, is_late, probability)."""
-    keep = ["is_late"]
-    runs = [("reference: logistic", list(names), None)]
-    runs += _variants(names)
-    parts = []
-    for label, kept, settings in runs:
+    """Train and test scores of every variant: (variant, split, is_late, probability).
+
+    Variants do not depend on each other, so ``parallelism`` fits share the cluster.
+    """
+    def fit_and_score(run: tuple[str, list[str], dict | None]) -> list[DataFrame]:
+        label, kept, settings = run
         if settings is None:
             fitted = model.fit_logistic(train, kept)
         else:
             fitted = model.fit_boosted_trees(train, kept, **({"trees": trees} | settings))
-        for split, rows in (("train", train), ("test", test)):
-            scored = model.score(fitted, rows, kept, keep)
-            parts.append(scored.withColumns({"variant": F.lit(label), "split": F.lit(split)}))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        return [
+            model.score(fitted, rows, kept, ["is_late"]).withColumns(
+                {"variant": F.lit(label), "split": F.lit(split)}
+            )
+            for split, rows in (("train", train), ("test", test))
+        ]
+
+    runs = [("reference: logistic", list(names), None), *_variants(names)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        parts = [df for scored in pool.map(inheritable_thread_target(fit_and_score), runs) for df in scored]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def ablation_table(scores: DataFrame) -> DataFrame:

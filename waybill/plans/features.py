@@ -36,7 +36,8 @@ def order_outcomes(orders: DataFrame) -> DataFrame:
 
 
 def order_sellers(items: DataFrame) -> DataFrame:
-    return items.select("order_id", "seller_id").distinct()
+    """Distinct (order, seller) pairs; an item without a seller makes no pair."""
+    return items.filter(F.col("seller_id").isNotNull()).select("order_id", "seller_id").distinct()
 
 
 def order_seller_outcomes(orders: DataFrame, items: DataFrame) -> DataFrame:
