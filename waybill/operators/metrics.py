@@ -133,8 +133,9 @@ def threshold_table(
         df.groupBy(grid_position(F.col(score), grid).alias("position"))
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("tp"))
     )
-    empty = df.agg(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("tp")).select(
-        F.explode(positions).alias("position"), "n", "tp"
+    none = F.lit(0).cast("long")
+    empty = df.sparkSession.range(1).select(
+        F.explode(positions).alias("position"), none.alias("n"), none.alias("tp")
     )
     filled = (
         counted.unionByName(empty).groupBy("position").agg(F.sum("n").alias("n"), F.sum("tp").alias("tp"))

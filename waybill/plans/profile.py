@@ -163,13 +163,13 @@ def histogram(
         clipped = F.least(clipped, upper)
     values = df.filter(value.isNotNull()).select(clipped.alias("value"))
     edges = values.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi")))
-    lo, hi = edges.scalar()["lo"], edges.scalar()["hi"]
-    width = (hi - lo) / bins
+    lo, width = F.col("edge.lo"), (F.col("edge.hi") - F.col("edge.lo")) / bins
     position = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.lit(bins - 1), F.floor((F.col("value") - lo) / F.nullif(width, F.lit(0.0))))
     )
     return (
-        values.groupBy(position.cast("int").alias("bin"))
+        values.withColumn("edge", edges.scalar())
+        .groupBy(position.cast("int").alias("bin"), "edge")
         .agg(F.count(F.lit(1)).alias("n"))
         .select("bin", (lo + F.col("bin") * width).alias("bin_start"), "n")
     )

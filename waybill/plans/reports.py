@@ -12,6 +12,7 @@ from waybill import fixed_values as fixed
 from waybill.functions import labels
 from waybill.functions.dates import boundary_days, year_month, year_month_number
 from waybill.functions.numbers import percent
+from waybill.plans.star import ENRICHED_ONLY
 
 
 @dataclass(frozen=True)
@@ -49,14 +50,10 @@ def _dimensions(fact: DataFrame, w, filters: Filters | None) -> DataFrame:
 
 def bi_base(w, filters: Filters | None = None) -> DataFrame:
     """All delivered orders with dimensions, dates and review score."""
-    fact = w.fact("order_id", "customer_id", "product_key", "date_key", "is_late", "total_price")
-    extra = w.stg_orders.select(
-        "order_id",
-        "order_purchase_timestamp",
-        "order_estimated_delivery_date",
-        "order_delivered_customer_date",
-    ).join(w.int_order_reviews.select("order_id", "review_score"), "order_id", "left")
-    return _dimensions(fact, w, filters).join(extra, "order_id", "left").select(
+    rows = w.order_rows(
+        "order_id", "customer_id", "product_key", "date_key", "is_late", "total_price", *ENRICHED_ONLY
+    )
+    return _dimensions(rows, w, filters).select(
         "order_id",
         "is_late",
         "total_price",

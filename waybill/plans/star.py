@@ -112,18 +112,28 @@ FACT_COLUMNS = [
 ITEM_MEASURES = {"nb_items", "total_price", "total_freight", "nb_distinct_sellers", "freight_ratio"}
 
 
-def fct_orders(
+ENRICHED_ONLY = [
+    "order_purchase_timestamp",
+    "order_estimated_delivery_date",
+    "order_delivered_customer_date",
+    "review_score",
+]
+
+
+def order_rows(
     orders: DataFrame,
     order_items: DataFrame,
     items: DataFrame,
+    reviews: DataFrame,
     customers: DataFrame,
     geo: DataFrame,
-    columns: Sequence[str] = tuple(FACT_COLUMNS),
+    columns: Sequence[str],
 ) -> DataFrame:
-    """One row per delivered order. Delivery dates are used, never exposed.
+    """The asked fact and order columns, one row per delivered order.
 
     Every join is a left join to at most one row, so a join whose columns are
     not asked for can be left out. Spark cannot know that, so it is done here.
+    Joins on the order come first and share one partitioning.
     """
     asked = set(columns)
     rows = orders
@@ -132,6 +142,8 @@ def fct_orders(
     if "product_key" in asked:
         principal = first_child(items, "order_id", "order_item_id", "product_id", "product_key")
         rows = rows.join(principal, "order_id", "left")
+    if "review_score" in asked:
+        rows = rows.join(reviews.select("order_id", "review_score"), "order_id", "left")
     if "geo_key" in asked:
         rows = rows.join(customer_geo_keys(customers, geo), "customer_id", "left")
     bought, promised = F.col("order_purchase_timestamp"), F.col("order_estimated_delivery_date")

@@ -20,7 +20,7 @@ class Warehouse:
     def __init__(self, raw, calendar: DataFrame | None = None):
         self.raw = raw
         self._calendar = calendar
-        self._facts: dict[tuple[str, ...], DataFrame] = {}
+        self._order_rows: dict[tuple[str, ...], DataFrame] = {}
 
     @cached_property
     def stg_orders(self) -> DataFrame:
@@ -100,18 +100,26 @@ class Warehouse:
     def dim_geography(self) -> DataFrame:
         return star.dim_geography(self.int_geolocation)
 
-    def fact(self, *columns: str) -> DataFrame:
-        """The fact table with only the given columns and the joins they need."""
-        if columns not in self._facts:
-            self._facts[columns] = star.fct_orders(
+    def order_rows(self, *columns: str) -> DataFrame:
+        """Fact and enriched order columns, with only the joins they need."""
+        if columns not in self._order_rows:
+            self._order_rows[columns] = star.order_rows(
                 self.stg_orders,
                 self.int_order_items,
                 self.stg_order_items,
+                self.int_order_reviews,
                 self.stg_customers,
                 self.int_geolocation,
                 columns,
             )
-        return self._facts[columns]
+        return self._order_rows[columns]
+
+    def fact(self, *columns: str) -> DataFrame:
+        """The given columns of the fact table. It never shows delivery dates or reviews."""
+        unknown = set(columns) - set(star.FACT_COLUMNS)
+        if unknown:
+            raise ValueError(f"not columns of the fact table: {sorted(unknown)}")
+        return self.order_rows(*columns)
 
     @property
     def fct_orders(self) -> DataFrame:
