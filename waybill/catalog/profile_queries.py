@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from waybill.catalog.registry import query, rounded
 from waybill.plans import profile
 
@@ -162,22 +164,25 @@ def median_by_class(w):
 
 @query(
     "boxplot_stats",
-    """with boxes as (
-        select is_late, quantile_cont(freight_total, 0.25) as q25, quantile_cont(freight_total, 0.5) as q50,
-            quantile_cont(freight_total, 0.75) as q75
-        from population_sums where freight_total is not null group by is_late)
-    select p.is_late, round(q25, 4) as q25, round(q50, 4) as q50, round(q75, 4) as q75,
-        round(min(freight_total) filter (where freight_total between q25 - 1.5 * (q75 - q25)
-            and q75 + 1.5 * (q75 - q25)), 4) as whisker_low,
-        round(max(freight_total) filter (where freight_total between q25 - 1.5 * (q75 - q25)
-            and q75 + 1.5 * (q75 - q25)), 4) as whisker_high,
-        count(*) filter (where freight_total not between q25 - 1.5 * (q75 - q25)
-            and q75 + 1.5 * (q75 - q25)) as n_outliers
-    from population_sums p join boxes b on p.is_late = b.is_late
-    where freight_total is not null group by p.is_late, q25, q50, q75""",
+    """with measured as (
+        select is_late, round(freight_total, 6) as v from population_sums where freight_total is not null),
+    boxes as (
+        select is_late, quantile_cont(v, 0.25) as q25, quantile_cont(v, 0.5) as q50,
+            quantile_cont(v, 0.75) as q75
+        from measured group by is_late)
+    select m.is_late, round(q25, 4) as q25, round(q50, 4) as q50, round(q75, 4) as q75,
+        round(min(v) filter (where v between q25 - 1.5 * (q75 - q25) and q75 + 1.5 * (q75 - q25)), 4)
+            as whisker_low,
+        round(max(v) filter (where v between q25 - 1.5 * (q75 - q25) and q75 + 1.5 * (q75 - q25)), 4)
+            as whisker_high,
+        count(*) filter (where v not between q25 - 1.5 * (q75 - q25) and q75 + 1.5 * (q75 - q25))
+            as n_outliers
+    from measured m join boxes b on m.is_late = b.is_late
+    group by m.is_late, q25, q50, q75""",
 )
 def boxplot_stats(w):
-    boxes = profile.boxplot_stats(_with_sums(w), "freight_total")
+    # Sums are rounded first: their last bits decide on which side of a whisker a value is.
+    boxes = profile.boxplot_stats(rounded(_with_sums(w), 6, "freight_total"), "freight_total")
     return rounded(boxes, 4, "q25", "q50", "q75", "whisker_low", "whisker_high")
 
 
@@ -200,8 +205,6 @@ def boxplot_stats(w):
     group by lo, hi, 2, 3""",
 )
 def histogram_clip(w):
-    from pyspark.sql import functions as F
-
     sums = _with_sums(w)
     p99 = profile.upper_quantile(sums, "price_total", 0.99)
     prices = profile.histogram(sums, "price_total", 60, high=p99)
