@@ -83,10 +83,10 @@ def most_frequent(df: DataFrame, column: str) -> DataFrame:
     return counts.agg(best["pick"].alias("most_frequent"))
 
 
-def category_list(df: DataFrame, column: str) -> list[str]:
-    """Categories seen while fitting, sorted; as many as the one-hot encoding has columns."""
-    rows = df.filter(F.col(column).isNotNull()).select(column).distinct().collect()
-    return sorted(r[0] for r in rows)
+def category_counts(df: DataFrame, column: str) -> dict[str, int]:
+    """Rows per category seen while fitting; as many entries as one-hot columns."""
+    rows = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return {r[column]: r["n"] for r in rows.collect()}
 
 
 def filled(columns: Sequence[str], values: Mapping[str, float]) -> dict[str, Column]:
@@ -147,12 +147,13 @@ def fit_preparation(
 ) -> Preparation:
     middle = {r["feature"]: r["median"] for r in medians(train, numeric).collect()}
     row = moments(train, numeric, middle).first()
+    seen = category_counts(train, categorical)
     return Preparation(
         numeric=tuple(numeric),
         categorical=categorical,
         medians=middle,
-        mode=most_frequent(train, categorical).first()[0],
-        categories=tuple(category_list(train, categorical)),
+        mode=min(seen, key=lambda c: (-seen[c], c), default=None),
+        categories=tuple(sorted(seen)),
         means={n: row[f"{n}__mean"] for n in numeric},
         stds={n: row[f"{n}__std"] for n in numeric},
     )

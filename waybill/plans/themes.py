@@ -32,6 +32,9 @@ from waybill.plans.order_grain import latest_reviews
 
 Themes = Mapping[str, Sequence[str]]
 
+# Vocabularies up to this many terms may be broadcast; the size is counted first.
+BROADCAST_TERMS = 1_000_000
+
 
 # --- populations -----------------------------------------------------------
 
@@ -149,8 +152,8 @@ def _sparse(size, entries):
 class ThemeClassifier:
     """Multinomial logistic regression on TF-IDF, trained on rule labels.
 
-    The vocabulary has to fit the model (one coefficient per term and class),
-    so numbering it and broadcasting the numbers stays within the same bound.
+    The vocabulary has to fit the model, which keeps one coefficient per term
+    and class.
     """
 
     def __init__(self, key: str = "order_id", text: str = "texte_nettoye", label: str = "motif_regle"):
@@ -187,9 +190,10 @@ class ThemeClassifier:
 
     def _vectors(self, df: DataFrame, counts: DataFrame, keep: list[str]) -> DataFrame:
         """One sparse vector per text; texts without a known term get an empty one."""
-        weights = weigh(counts, self.key, self.vocabulary).join(
-            self.vocabulary.select("term", "position"), "term"
-        )
+        numbers = self.vocabulary.select("term", "position")
+        if self.size <= BROADCAST_TERMS:
+            numbers = F.broadcast(numbers)
+        weights = weigh(counts, self.key, self.vocabulary).join(numbers, "term")
         entry = F.struct("position", "weight")
         entries = weights.groupBy(self.key).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
         empty = F.array().cast("array<struct<position:bigint,weight:double>>")
