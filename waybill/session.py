@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def build_session(
     app: str = "waybill",
     master: str | None = None,
@@ -44,20 +40,11 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder that the driver and all executors share: ``spark.checkpoint.dir``, else the SQL warehouse.
 
-    Only a local session, where driver and executors share one disk, may fall
-    back to a folder of its own.
+    One rule for every master. Both are paths that Spark itself resolves.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="waybill-shared-")
-    return _LOCAL_FOLDERS[application]
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def materialised(df: DataFrame) -> DataFrame:
