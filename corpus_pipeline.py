@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from waybill.llm import mixing, packing, quality_model, secrets, simhash
 from waybill.llm.queries import table, target_weights, tokenizer_path, with_domain
-from waybill.llm.shared import text_key
 from waybill.session import materialised
 
 #: SQL can't express the first stage (a fitted model over numpy features).
@@ -20,29 +19,24 @@ ORACLE_SQL = None
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject."""
-    model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
-    kept = quality_model.scored(docs, model, to="_score").where(F.col("_score") >= quality_model.CUT)
-    return kept.select(*docs.columns)
+    return quality_model.accepted(docs, quality_model.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return simhash.one_of_each(docs).select(*docs.columns)
+    return simhash.one_of_each(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by marks, n_chars brought up to date."""
-    return secrets.masked(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return secrets.masked(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the epochs of their leaf take them."""
-    with_leaf = with_domain(docs)
-    copies = mixing.mixed(with_leaf, target_weights(with_leaf)).groupBy("doc_id", "key").agg(F.max("copies").alias("_copies"))
-    copies = copies.withColumnsRenamed({"doc_id": "_id", "key": "_key"}).where("_copies > 0")
-    rows = docs.withColumn("_text_key", text_key(F.col("text")))
-    rows = rows.join(copies, rows["doc_id"].eqNullSafe(copies["_id"]) & (rows["_text_key"] == copies["_key"]))
-    return rows.withColumn("_epoch", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    leaves = docs.select("doc_id", "text", "lang", "source")
+    leaves = with_domain(leaves)
+    return mixing.taken(docs, mixing.mixed(leaves, target_weights(leaves)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

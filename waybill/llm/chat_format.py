@@ -64,5 +64,5 @@ def chat_format(
     proper = convs.select(F.explode(F.expr("slice(names, 1, size(names) - 1)")).alias("name")).distinct()
     kept = first.join(proper, "name", "left_anti").select(F.col("k.conv_id").alias("kept_id"), "n_copies")
     return convs.join(kept, convs["conv_id"].eqNullSafe(kept["kept_id"])).select(
-        "conv_id", F.size("turns").alias("n_turns"), "n_copies", rendered(F.col("turns")).alias("text")
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), "n_copies", rendered(F.col("turns")).alias("text")
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.shared import text_key, words
+from waybill.llm.shared import carried, text_key, words
 from waybill.session import materialised
 
 LEVELS = ["domain", "lang", "source"]
@@ -126,3 +126,12 @@ def mixed(
         "doc_id", "key", *kept, (F.col("whole") + (so_far < F.col("rest")).cast("int")).alias("copies")
     )
     return clear.unionByName(part)
+
+
+def taken(docs: DataFrame, copies: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns, as often as ``copies`` (of ``mixed``) says."""
+    most = copies.groupBy("doc_id", "key").agg(F.max("copies").alias("copies")).where("copies > 0")
+    row = F.col("row")
+    rows = carried(docs).withColumns({"id": row[id_col], "text_key": text_key(row[text_col])})
+    rows = rows.join(most, rows["id"].eqNullSafe(most["doc_id"]) & (rows["text_key"] == most["key"]))
+    return rows.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

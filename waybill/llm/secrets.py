@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.shared import let, same_row, text_key
+from waybill.llm.shared import carried, let, same_row, text_key
 from waybill.session import materialised
 
 # What counts as a base span. Group 2 of assign has the value.
@@ -146,11 +146,12 @@ def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     owners hold, [SECRET] for all others. Overlapping spans share a mark. Texts without
     spans, null texts and all other columns stay.
     """
-    hits = judged(docs, id_col, text_col, **options).withColumnsRenamed({"doc_id": "_id", "key": "_key", "spans": "_spans"})
-    rows = docs.withColumn("_text_key", text_key(F.col(text_col)))
-    rows = rows.join(hits, rows[id_col].eqNullSafe(hits["_id"]) & (rows["_text_key"] == hits["_key"]), "left")
-    text = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(_marked(F.col(text_col), F.col("_spans")))
-    return rows.withColumn(text_col, text).drop("_text_key", "_id", "_key", "_spans")
+    hits = judged(docs, id_col, text_col, **options)
+    row = F.col("row")
+    rows = carried(docs).withColumns({"id": row[id_col], "text_key": text_key(row[text_col])})
+    rows = rows.join(hits, rows["id"].eqNullSafe(hits["doc_id"]) & (rows["text_key"] == hits["key"]), "left")
+    text = F.when(F.col("spans").isNull(), row[text_col]).otherwise(_marked(row[text_col], F.col("spans")))
+    return rows.select(row.withField(text_col, text).alias("row")).select("row.*")
 
 
 def _marked(text: Column, spans: Column) -> Column:

@@ -30,6 +30,11 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text, text.isNull())
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """``docs`` as one column ``row``, so that no column of it can clash with one of an operator."""
+    return docs.select(F.struct("*").alias("row"))
+
+
 def same_row(left: DataFrame, right: DataFrame, *columns: str) -> Column:
     """Null-safe equality on columns of two tables."""
     test = F.lit(True)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.components import components, tile_labels
-from waybill.llm.shared import text_key
+from waybill.llm.shared import carried, text_key
 from waybill.llm.tiles import bounds, grouped
 from waybill.session import materialised
 
@@ -200,9 +200,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Rows of ``docs``, all columns: one of each component, that with the smallest id (nulls last)."""
     found = clustered(docs, id_col, text_col, radius)
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("b"))
-    best = best.select(F.col("b.doc_id").alias("_id"), F.col("b.key").alias("_key"))
-    rows = docs.withColumn("_text_key", text_key(F.col(text_col)))
-    rows = rows.join(best, rows[id_col].eqNullSafe(best["_id"]) & (rows["_text_key"] == best["_key"]))
+    best = best.select("b.doc_id", "b.key")
+    row = F.col("row")
+    rows = carried(docs).withColumns({"id": row[id_col], "text_key": text_key(row[text_col])})
+    rows = rows.join(best, rows["id"].eqNullSafe(best["doc_id"]) & (rows["text_key"] == best["key"]))
     # Rows that repeat both id and text are told apart by nothing; any one of them stays.
-    turn = F.row_number().over(Window.partitionBy("_id", "_key").orderBy("_key"))
-    return rows.withColumn("_turn", turn).where("_turn = 1").drop("_turn", "_id", "_key", "_text_key")
+    turn = F.row_number().over(Window.partitionBy("doc_id", "key").orderBy("key"))
+    return rows.withColumn("turn", turn).where("turn = 1").select("row.*")
