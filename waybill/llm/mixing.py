@@ -45,8 +45,9 @@ def budgets(leaves: DataFrame, weights: DataFrame, share: float, max_epochs: int
     counts relative to its siblings. Leaves without weight get no budget. The tree has a
     row per leaf, far fewer than documents.
     """
-    leaf = leaves.join(weights, [leaves[c].eqNullSafe(weights[c]) for c in LEVELS], "left").select(
-        *[leaves[c] for c in LEVELS],
+    given = weights.select(*[F.col(c).alias(f"w_{c}") for c in LEVELS], "weight")
+    leaf = leaves.join(given, [F.col(c).eqNullSafe(F.col(f"w_{c}")) for c in LEVELS], "left").select(
+        *LEVELS,
         "tokens",
         F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0)).alias("weight"),
     )

@@ -9,8 +9,8 @@ Equal passages are parsed alike away from their ends. For every name the words t
 making has looked at are carried along; where they lie within a window, every copy of
 the window holds the same name at the same place. Each window of words elects one of its
 names as anchor: the highest level first, then the smallest hash. An anchor that occurs
-once in the corpus proves all its windows unique. Only windows of shared anchors are
-compared, by 128 bits over all their words.
+once in the corpus proves all its windows unique. Windows of shared anchors are verified
+by 128 bits over all their words: stretches of them at once where those are equal.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ WINDOW = 20
 ROUNDS = 2
 #: Words before and from an anchor's first word that may decide about it. Windows longer than both can elect it.
 BEFORE, AFTER = 4, 6
-#: Words that are parsed at once, and rows that are combined before the shuffle. One longer text is parsed alone.
-SLICE_WORDS, COMBINED = 400_000, 1_000_000
+#: Words that are parsed and combined at once. One longer text is parsed alone.
+SLICE_WORDS = 400_000
 KEPT_WORDS = 300_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _ODD = np.random.default_rng(5).integers(1, 1 << 63, size=(3, 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -131,19 +131,25 @@ def elected(rank: np.ndarray, starts: np.ndarray, window: int, before: int = BEF
     return pos[starts + before]
 
 
-def _sum_of(names: np.ndarray, at: np.ndarray, width: int, row: int) -> np.ndarray:
-    """A hash over ``width`` names from each place on."""
-    total = np.zeros(len(at), np.uint64)
-    odd = _ODD[row]
-    for k in range(width):
-        total = total * odd[63] + names[at + k] * odd[k % 62]
-    return mixed(total)
+class Sums:
+    """Hashes of any ranges of a name sequence, from running sums of names times powers of an odd base."""
+
+    def __init__(self, names: np.ndarray, row: int):
+        n, base = len(names), int(_ODD[row, 63])
+        grow, shrink = (np.full(n + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64)))
+        grow[0] = shrink[0] = 1
+        np.multiply.accumulate(grow, out=grow)
+        self.back = np.multiply.accumulate(shrink)
+        self.upto = np.append(np.uint64(0), np.cumsum(names * grow[:-1], dtype=np.uint64))
+
+    def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return mixed((self.upto[stop] - self.upto[start]) * self.back[start] + (stop - start).astype(np.uint64))
 
 
 class Slice:
     """Texts of one slice, in order of (doc_id, version): their words' names and numbers."""
 
-    def __init__(self, rows: pa.Table, names: WordNames, columns: tuple[str, ...] = ()):
+    def __init__(self, rows: pa.Table, names: WordNames):
         order = pc.sort_indices(rows, sort_keys=[("doc_id", "ascending"), ("version", "ascending")], null_placement="at_start")
         self.rows = rows.take(order)
         words = [names.of(_WORD.findall(t or "")) for t in self.rows.column("text").to_pylist()]
@@ -174,21 +180,24 @@ def _slices(batches: Iterator[pa.RecordBatch], names: WordNames) -> Iterator[Sli
         yield Slice(pa.Table.from_batches(held), names)
 
 
-def _combined(key: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(route, kind) of rows in order of place: 0 alone in this slice, 1 first of several, 2 a later one.
+def _settled(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Rows, in order of place, that equal an earlier one of this slice in both hashes."""
+    order = np.argsort(first, kind="stable")
+    a, b = first[order], second[order]
+    out = np.zeros(len(order), bool)
+    out[order[1:]] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+    return out
+
 
-    Later ones are settled here and go wherever ``spread`` says, so one key sends a row per
-    slice to its task, however often it occurs.
+def _sent(x: Slice, doc: np.ndarray, first: np.ndarray, second: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+    """Rows for the shuffle by ``route``. Settled rows need no task of their key, so a key sends
+    one row per slice, however often it occurs; they go with their document.
     """
-    order = np.argsort(key, kind="stable")
-    k = key[order]
-    again = np.zeros(len(k), bool)
-    again[1:] = k[1:] == k[:-1]
-    more = np.zeros(len(k), bool)
-    more[:-1] = again[1:]
-    kind = np.zeros(len(k), np.int8)
-    kind[order] = np.where(again, 2, np.where(more, 1, 0))
-    return np.where(kind == 2, spread, key), kind
+    settled = _settled(first, second)
+    route = np.where(settled, mixed((x.first[doc] + x.size[doc]).astype(np.uint64) * _ODD[2, 3]), first)
+    rest = np.where(settled, np.uint64(0), second)
+    arrays = [pa.array(route.view(np.int64)), pa.array(rest.view(np.int64)), pa.array(settled), *x.ids(doc), pa.array(place.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(arrays, ["route", "rest", "settled", "doc_id", "version", "place"])
 
 
 def _anchors(window: int):
@@ -202,48 +211,38 @@ def _anchors(window: int):
             anchor = elected(parsed(x.names, x.doc), starts, window)
             new = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
             last = np.append(new[1:], len(anchor)) - 1
-            p = anchor[new]
-            key = _sum_of(x.names, p - BEFORE, BEFORE + AFTER, 0)
-            route, kind = _combined(key, mixed(p.astype(np.uint64) * _ODD[2, 3] + key))
-            doc = x.doc[p]
-            # The windows it speaks for: from ``hi`` words before it to ``lo`` words before it.
+            p, doc = anchor[new], x.doc[anchor[new]]
+            key = Sums(x.names, 0)(p - BEFORE, p + AFTER)
+            # The stretch of words of all windows that the anchor speaks for.
+            stretch = Sums(x.names, 1)(starts[new], starts[last] + window) ^ mixed((p - starts[new]).astype(np.uint64))
             place = ((p - x.first[doc]) << 16) | ((p - starts[new]) << 8) | (p - starts[last])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(route.view(np.int64)), pa.array(kind), *x.ids(doc), pa.array(place)], ["route", "kind", "doc_id", "version", "place"]
-            )
+            yield _sent(x, doc, key, stretch, place)
 
     return run
 
 
+def spans_of(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window start of packed places."""
+    p = places >> 16
+    return p - ((places >> 8) & 255), p - (places & 255)
+
+
 def _windows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = WordNames()
         for x in _slices(batches, names):
-            place = x.rows.column("places").combine_chunks()
-            doc = pc.list_parent_indices(place).to_numpy()
-            v = np.asarray(pc.list_flatten(place))
+            places = x.rows.column("open").combine_chunks()
+            doc, v = pc.list_parent_indices(places).to_numpy(), np.asarray(pc.list_flatten(places))
             if not len(v):
                 continue
-            p, hi, lo = v >> 16, (v >> 8) & 255, v & 255
-            n = hi - lo + 1
-            starts = np.repeat(p - hi, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+            first, last = spans_of(v)
+            n = last - first + 1
+            starts = np.repeat(first, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
             doc = np.repeat(doc, n)
             order = np.lexsort((starts, doc))
             starts, doc = starts[order], doc[order]
             at = x.first[doc] + starts
-            for s in range(0, len(at), COMBINED):
-                part = slice(s, s + COMBINED)
-                h1, h2 = _sum_of(x.names, at[part], window, 1), _sum_of(x.names, at[part], window, 2)
-                # Settled here: an earlier row of this slice has the same 128 bits.
-                order = np.argsort(h1, kind="stable")
-                settled = np.zeros(len(h1), bool)
-                settled[order[1:]] = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
-                kind = np.where(settled, 2, 0).astype(np.int8)
-                route = np.where(settled, mixed(at[part].astype(np.uint64) * _ODD[2, 3] + h1), h1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(route.view(np.int64)), pa.array(np.where(settled, np.uint64(0), h2).view(np.int64)), pa.array(kind), *x.ids(doc[part]), pa.array(starts[part].astype(np.int32))],
-                    ["route", "rest", "kind", "doc_id", "version", "start"],
-                )
+            yield _sent(x, doc, Sums(x.names, 0)(at, at + window), Sums(x.names, 1)(at, at + window), starts)
 
     return run
 
@@ -252,17 +251,25 @@ def _kept(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_words, n_removed, sha, texts = [], [], [], []
-            for t, starts in zip(b.column("text"), b.column("starts"), strict=True):
+            for t, copied, settled, starts in zip(*(b.column(c) for c in ("text", "copied", "settled", "starts")), strict=True):
                 words = _WORD.findall(t.as_py() or "")
+                n = len(words)
                 kept = words
-                if starts.is_valid and len(starts):
-                    at = np.asarray(starts.values)
-                    edge = np.bincount(at, minlength=len(words) + window + 1)[: len(words) + 1].astype(np.int64)
-                    edge -= np.bincount(at + window, minlength=len(words) + 1)[: len(words) + 1]
+                if copied.as_py():
+                    kept = words if n < window else []
+                elif settled.is_valid or starts.is_valid:
+                    edge = np.zeros(n + 1, np.int64)
+                    for first, last in (
+                        spans_of(np.asarray(settled.values)) if settled.is_valid else (None, None),
+                        (np.asarray(starts.values),) * 2 if starts.is_valid else (None, None),
+                    ):
+                        if first is not None:
+                            np.add.at(edge, first, 1)
+                            np.add.at(edge, last + window, -1)
                     kept = [w for w, out in zip(words, (np.cumsum(edge) > 0).tolist(), strict=False) if not out]
                 text = " ".join(kept)
-                n_words.append(len(words))
-                n_removed.append(len(words) - len(kept))
+                n_words.append(n)
+                n_removed.append(n - len(kept))
                 sha.append(hashlib.sha256(text.encode()).hexdigest())
                 texts.append(text)
             yield pa.RecordBatch.from_arrays(
@@ -300,26 +307,49 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are ignored; an empty table gives an empty result. ``window`` must exceed
     BEFORE + AFTER and be at most 62.
 
-    Texts are read three times and shuffled once: both joins below use the same exchange.
+    The stages: texts that equal an earlier one whole are set aside; anchors with the hash
+    of their stretch (all windows they speak for) meet by anchor; a stretch that has
+    occurred before is settled, an anchor with one stretch only is done, and the first
+    of each of several stretches is opened: only its windows are compared one by one.
+    Texts are shuffled once: all joins below use the same exchange.
     """
-    if not BEFORE + AFTER < window <= 62:
-        raise ValueError(f"window must be within {BEFORE + AFTER + 1} and 62")
+    if not BEFORE + AFTER < window <= 200:
+        raise ValueError(f"window must be within {BEFORE + AFTER + 1} and 200")
     rows = _versions(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    ids = f"doc_id {kind}, version int"
-    anchors = rows.mapInArrow(_anchors(window), f"route long, kind byte, {ids}, place long")
-    told = F.count(F.when(F.col("kind") < 2, 1)).over(Window.partitionBy("route"))
-    shared = anchors.withColumn("told", told).where("kind > 0 or told > 1")
-    places = shared.groupBy("doc_id", "version").agg(F.collect_list("place").alias("places"))
-
-    def with_lists(lists: DataFrame, column: str) -> DataFrame:
-        lists = lists.withColumnsRenamed({"doc_id": "l_id", "version": "l_version"})
-        same = rows["doc_id"].eqNullSafe(lists["l_id"]) & (rows["version"] == lists["l_version"])
-        return rows.join(lists, same, "left").select("doc_id", "version", "text", column)
-
-    windows = with_lists(places, "places").where(F.col("places").isNotNull())
-    windows = windows.mapInArrow(_windows(window), f"route long, rest long, kind byte, {ids}, start int")
-    turn = F.row_number().over(Window.partitionBy("route", "rest", F.col("kind") == 2).orderBy("doc_id", "version", "start"))
-    starts = windows.withColumn("turn", turn).where("kind = 2 or turn > 1").groupBy("doc_id", "version").agg(F.collect_list("start").alias("starts"))
-    out = with_lists(starts, "starts").select("doc_id", "text", "starts")
-    return out.mapInArrow(_kept(window), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    ids = ["doc_id", "version"]
+    sent = f"route long, rest long, settled boolean, doc_id {kind}, version int, place long"
+
+    def on_ids(side: DataFrame, how: str, *columns: str, left: DataFrame = rows) -> DataFrame:
+        side = side.withColumnsRenamed({"doc_id": "s_id", "version": "s_version"})
+        same = left["doc_id"].eqNullSafe(side["s_id"]) & (left["version"] == side["s_version"])
+        return left.join(side, same, how).select(*ids, "text", *columns)
+
+    whole = rows.select(*ids, F.md5("text").alias("digest"))
+    least = whole.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNotNull(), *ids)).alias("first"))
+    place = F.struct(F.col("doc_id").isNotNull(), *ids)
+    copies = whole.join(least, "digest").where(place != F.col("first")).select(*ids).distinct()
+
+    anchors = on_ids(copies, "left_anti").mapInArrow(_anchors(window), sent)
+    stretch = Window.partitionBy("route", "rest", "settled").orderBy(*ids, "place")
+    route = Window.partitionBy("route")
+    met = anchors.withColumns(
+        {
+            "settled": F.col("settled") | (F.row_number().over(stretch) > 1),
+            "several": F.min("rest").over(route) != F.max("rest").over(route),
+        }
+    ).where("settled or several")
+    places = met.groupBy(*ids).agg(
+        F.collect_list(F.when(F.col("settled"), F.col("place"))).alias("settled"),
+        F.collect_list(F.when(~F.col("settled"), F.col("place"))).alias("open"),
+    )
+    opened = on_ids(places, "left", "open").where(F.size("open") > 0)
+    turn = Window.partitionBy("route", "rest", "settled").orderBy(*ids, "place")
+    found = opened.mapInArrow(_windows(window), sent).withColumn("turn", F.row_number().over(turn)).where("settled or turn > 1")
+    starts = found.groupBy(*ids).agg(F.collect_list("place").alias("starts"))
+    out = on_ids(places, "left", "settled")
+    out = on_ids(starts, "left", "settled", "starts", left=out)
+    out = on_ids(copies.withColumn("copied", F.lit(True)), "left", "settled", "starts", "copied", left=out)
+    return out.select("doc_id", "text", F.coalesce("copied", F.lit(False)).alias("copied"), "settled", "starts").mapInArrow(
+        _kept(window), f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    )
