@@ -121,6 +121,46 @@ def fitted_risk_drivers(w):
     return scoring.run(scoring.labelled(w), DEMO_CUTOFF, SCORED_AT).drivers
 
 
+@query(
+    "logreg_stationarity",
+    "select feature, true as is_stationary from ("
+    + " union all ".join(f"select 'num__{c}' as feature" for c in NUMERIC_FEATURES)
+    + " union all select 'cat__dominant_payment_type_' || k from"
+    " (select distinct dominant_payment_type as k from train where dominant_payment_type is not null)"
+    " union all select '(intercept)')",
+)
+def logreg_stationarity(w):
+    """Per coefficient: the gradient of the fitted objective, per unit of weight, is zero."""
+    run = scoring.run(scoring.labelled(w), DEMO_CUTOFF, SCORED_AT)
+    return explain.stationarity(run, DEMO_CUTOFF).select("feature", (F.abs("gradient") < 1e-3).alias("is_stationary"))
+
+
+@query(
+    "fitted_scores_identity",
+    "select order_id, true as adds_up from fct_orders where order_id in (select order_id from features_orders)",
+)
+def fitted_scores_identity(w):
+    """Log-odds of every order are the intercept and the sum of its contributions."""
+    run = scoring.run(scoring.labelled(w), DEMO_CUTOFF, SCORED_AT)
+    return explain.additivity(run).select("order_id", (F.col("gap") < 1e-6).alias("adds_up"))
+
+
+@query(
+    "fitted_scores_shape",
+    f"""select is_in_sample, count(*) as n_orders, true as in_range, true as flags_follow
+    from (select date_key < date '{DEMO_CUTOFF}' as is_in_sample from fct_orders) group by 1""",
+)
+def fitted_scores_shape(w):
+    """What any fit must give: all orders, probabilities in range, flags as the threshold says."""
+    scores = scoring.run(scoring.labelled(w), DEMO_CUTOFF, SCORED_AT).scores
+    p = F.col("risk_probability")
+    return scores.groupBy("is_in_sample").agg(
+        F.count(F.lit(1)).alias("n_orders"),
+        F.bool_and(p.between(0, 1)).alias("in_range"),
+        F.bool_and(~F.col("is_flagged_risk") | (p >= 0.6)).alias("flags_follow"),
+    )
+
+
 @query("gbt_challenger")
 def gbt_challenger(w):
     scored = scoring.model_comparison(scoring.labelled(w), DEMO_CUTOFF)
@@ -135,6 +175,16 @@ def ablation_table(w):
     return explain.ablation_table(explain.ablation_scores(train, test, names))
 
 
+@query(
+    "model_comparison_shape",
+    "select unnest(['majority', 'logistic', 'boosted_trees']) as model, count(*) as n_orders, true as in_range from fct_orders",
+)
+def model_comparison_shape(w):
+    scored = scoring.model_comparison(scoring.labelled(w), DEMO_CUTOFF)
+    inside = F.bool_and(F.col("probability").between(0, 1)).alias("in_range")
+    return scored.groupBy("model").agg(F.count(F.lit(1)).alias("n_orders"), inside)
+
+
 # --- scores and drivers given probabilities and coefficients ----------------
 
 

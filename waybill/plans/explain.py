@@ -47,6 +47,35 @@ def global_importance(
     )
 
 
+def additivity(run) -> DataFrame:
+    """(order_id, gap): distance of an order's log-odds from intercept plus contributions."""
+    parts = list(model.contributions(run.coefficients).values())
+    total = reduce(lambda a, b: a + b, parts, F.lit(run.intercept))
+    explained = run.prepared.select("order_id", total.alias("explained"))
+    p = F.col("probability")
+    return run.scored.join(explained, "order_id").select(
+        "order_id", F.abs(F.log(p / (1 - p)) - F.col("explained")).alias("gap")
+    )
+
+
+def stationarity(run, cutoff: str) -> DataFrame:
+    """(feature, gradient) of the weighted, penalised loss at the fitted coefficients.
+
+    Balanced weights and the penalty as in ``model.fit_logistic``, per unit of weight:
+    mean of weight x (probability - label) x value, plus coefficient / n.
+    """
+    train = run.prepared.filter(model.in_train(cutoff)).join(run.scored.select("order_id", "probability"), "order_id")
+    weights = {r["is_late"]: r["weight"] for r in model.class_weights(train, "is_late").collect()}
+    miss = model.weight_column(weights, "is_late") * (F.col("probability") - F.col("is_late"))
+    n = F.count(F.lit(1))
+    rows = [
+        F.struct(F.lit(f).alias("feature"), (F.avg(miss * F.col(f)) + F.lit(c) / n).alias("gradient"))
+        for f, c in run.coefficients.items()
+    ]
+    rows.append(F.struct(F.lit("(intercept)").alias("feature"), F.avg(miss).alias("gradient")))
+    return train.agg(F.array(*rows).alias("__rows")).select(F.inline("__rows"))
+
+
 def importance_ranks(left: DataFrame, right: DataFrame) -> DataFrame:
     """Both importances per feature with competition and average ranks.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waybill.sources import storage
+
 
 def referenced_members(dim: DataFrame, fact: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Distinct dimension rows some fact row points to.
@@ -44,3 +46,14 @@ def dashboard_tables(
     if insights is not None:
         tables["review_insights"] = insights.select("order_id", "motif", "sentiment")
     return tables
+
+
+def export_dashboard(
+    w, scores: DataFrame, drivers: DataFrame, insights: DataFrame | None, folder: str, limit_bytes: int
+) -> dict[str, int]:
+    """Write all dashboard tables and give their sizes; more than ``limit_bytes`` in all is an error."""
+    tables = dashboard_tables(w, scores, drivers, insights)
+    storage.export_tables(tables, folder)
+    sizes = storage.export_sizes(w.dim_geography.sparkSession, folder, tables)
+    storage.assert_export_size(sizes, limit_bytes)
+    return sizes

@@ -19,6 +19,7 @@ from waybill.operators.asof import (
     leakage_violations,
 )
 from waybill.operators.quality import assert_no_forbidden, grain_report
+from waybill.session import materialised
 
 def history_measures(prefix: str = "") -> dict[str, Column]:
     return {f"{prefix}n": F.lit(1), f"{prefix}late": F.col("is_late")}
@@ -114,6 +115,15 @@ def worst_seller_rate(smoothed: DataFrame) -> DataFrame:
     )
 
 
+def guarded_seller_rate(smoothed: DataFrame) -> DataFrame:
+    """``worst_seller_rate`` and, per order, rows whose history is not strictly before the purchase."""
+    bought = F.col("purchased_at")
+    leaked = (F.col("seller_last_known") >= bought) | (F.col("global_last_known") >= bought)
+    return smoothed.groupBy("order_id").agg(
+        F.max("seller_late_rate_smoothed").alias("seller_late_rate_max"), F.count_if(leaked).alias(LEAKS)
+    )
+
+
 def history_leaks(smoothed: DataFrame) -> DataFrame:
     """Both violation counts must be 0: no history at or after the purchase is used."""
     return leakage_violations(
@@ -222,7 +232,7 @@ def seller_distance_max(pairs: DataFrame) -> DataFrame:
 
 def feature_blocks(w) -> dict[str, DataFrame]:
     """The six blocks of a ``Warehouse``, each at order grain."""
-    items = w._items
+    items = w.stg_order_items
     return {
         "seller_late_rate": worst_seller_rate(smoothed_rates(w.stg_orders, items)),
         "temporal": temporal_features(w.stg_orders),
@@ -250,6 +260,36 @@ def features_orders(w) -> DataFrame:
     return assemble(w.stg_orders, feature_blocks(w))
 
 
+LEAKS = "history_leaks"
+
+
+def checked(features: DataFrame, orders: DataFrame) -> DataFrame:
+    """``features`` without the leak counts, written once, after the run-time guards have passed.
+
+    One aggregation over the written table: as many rows as orders, no order twice, no
+    history from the future. A failure stops the run with the figures.
+    """
+    table = materialised(features)
+    found = table.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("order_id").alias("keys"),
+        F.coalesce(F.sum(LEAKS), F.lit(0)).alias("leaks"),
+    ).first()
+    expected = orders.count()
+    if not expected == found["rows"] == found["keys"]:
+        raise AssertionError(f"features fan out or lose orders: {found.asDict()}, {expected} orders")
+    if found["leaks"]:
+        raise AssertionError(f"history from the future was used: {found.asDict()}")
+    return table.drop(LEAKS)
+
+
+def checked_features(w) -> DataFrame:
+    """The feature table as a run uses it: written, one row per order, no leak."""
+    blocks = feature_blocks(w)
+    guarded = guarded_seller_rate(smoothed_rates(w.stg_orders, w.stg_order_items))
+    return checked(assemble(w.stg_orders, blocks | {"seller_late_rate": guarded}), w.stg_orders)
+
+
 def feature_grain(w) -> DataFrame:
     return grain_report(w.stg_orders, "order_id", feature_blocks(w))
 

@@ -25,8 +25,12 @@ class ScoringRun:
 
 
 def labelled(w) -> DataFrame:
-    """Features with target, written once: every later step makes several passes."""
-    return materialised(features.labelled_features(features.features_orders(w), w.order_targets))
+    """Checked features with target, written once: every later step makes several passes."""
+    table = features.checked_features(w)
+    joined = materialised(features.labelled_features(table, w.order_targets))
+    if (found := joined.count()) != (expected := table.count()):
+        raise AssertionError(f"the label join changed the number of rows: {expected} before, {found} after")
+    return joined
 
 
 def prepare(rows: DataFrame, cutoff: str) -> tuple[DataFrame, list[str]]:
@@ -48,14 +52,17 @@ def run(rows: DataFrame, cutoff: str = fixed.CUTOFF_DATE, scored_at: str = "1970
     coefficients = dict(zip(names, (float(c) for c in fitted.coefficients)))
     scored = model.score(fitted, prepared, names, ["order_id", "date_key", "is_late"])
     q90 = evaluation.q90_cut(scored.filter(~model.in_train(cutoff)))
+    scores = model.risk_scores(scored, q90, cutoff, scored_at)
+    drivers = model.risk_drivers(prepared, coefficients)
+    model.assert_integration(model.integration_checks(scores, drivers, rows, train))
     return ScoringRun(
         prepared=prepared,
         names=names,
         coefficients=coefficients,
         intercept=float(fitted.intercept),
         scored=scored,
-        scores=model.risk_scores(scored, q90, cutoff, scored_at),
-        drivers=model.risk_drivers(prepared, coefficients),
+        scores=scores,
+        drivers=drivers,
         q90=q90,
     )
 
@@ -65,12 +72,14 @@ def model_comparison(rows: DataFrame, cutoff: str, trees: int = 100) -> DataFram
     prepared, names = prepare(rows, cutoff)
     train = prepared.filter(model.in_train(cutoff))
     keep = ["order_id", "date_key", "is_late"]
+    linear = model.fit_logistic(train, names)
+    boosted = model.fit_boosted_trees(train, names, trees=trees)
+    if not len(names) == linear.numFeatures == boosted.numFeatures:
+        raise AssertionError("the models do not see the same transformed features")
     scored = {
         "majority": model.majority_scores(train, prepared, "is_late", keep),
-        "logistic": model.score(model.fit_logistic(train, names), prepared, names, keep),
-        "boosted_trees": model.score(
-            model.fit_boosted_trees(train, names, trees=trees), prepared, names, keep
-        ),
+        "logistic": model.score(linear, prepared, names, keep),
+        "boosted_trees": model.score(boosted, prepared, names, keep),
     }
     parts = [df.withColumn("model", F.lit(name)) for name, df in scored.items()]
     result = parts[0].unionByName(parts[1]).unionByName(parts[2])

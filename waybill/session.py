@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import uuid
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders that ``materialised`` has written, by application.
+_WRITTEN: dict[str, list[str]] = {}
+
 def build_session(
     app: str = "waybill",
     master: str | None = None,
@@ -54,6 +60,27 @@ def materialised(df: DataFrame) -> DataFrame:
     executors that made it, and, being columnar, lets each pass read only the
     columns it needs.
     """
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}.parquet"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}.parquet"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the tables that this application has written, but for the first ``keep``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    written = _WRITTEN.get(spark.sparkContext.applicationId, [])
+    while len(written) > keep:
+        place = jvm.org.apache.hadoop.fs.Path(written.pop())
+        place.getFileSystem(conf).delete(place, True)
+
+
+@contextmanager
+def written_tables(spark: SparkSession) -> Iterator[None]:
+    """Owns what is written inside: gone at the end, so results must have been stored or read by then."""
+    before = len(_WRITTEN.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, before)
