@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from waybill.catalog.demo import demo_drivers, demo_scores, rule_insights
 from waybill.catalog.registry import query, rounded
 from waybill.functions import labels
 from waybill.plans import reports as bi
+from waybill.session import shared_folder
 from waybill.sources.driver_tables import DEMO_CUTOFFS
 
 FILTERS = bi.Filters(199601, 200012, states=("SP", "RJ", "BA"), categories=("toys", "health_beauty"))
@@ -39,10 +42,7 @@ def filter_options(w):
     return bi.filter_options(w)
 
 
-@query(
-    "label_lookup",
-    """select order_id,
-        coalesce(map {'SP': 'São Paulo', 'RJ': 'Rio de Janeiro', 'MG': 'Minas Gerais',
+_LABELS = """coalesce(map {'SP': 'São Paulo', 'RJ': 'Rio de Janeiro', 'MG': 'Minas Gerais',
             'RS': 'Rio Grande do Sul', 'PR': 'Paraná', 'SC': 'Santa Catarina', 'BA': 'Bahia',
             'DF': 'Distrito Federal', 'GO': 'Goiás', 'ES': 'Espírito Santo', 'PE': 'Pernambuco',
             'CE': 'Ceará', 'PA': 'Pará', 'MT': 'Mato Grosso', 'MA': 'Maranhão',
@@ -54,7 +54,12 @@ def filter_options(w):
             else upper(left(replace(product_category_name, '_', ' '), 1))
                 || lower(substr(replace(product_category_name, '_', ' '), 2)) end as categorie,
         case when risk_tier = 'Sous seuil' then 'Faible' when risk_tier = 'Alerte' then 'Modéré'
-            when starts_with(risk_tier, 'Risque extrême') then 'Élevé' else risk_tier end as niveau
+            when starts_with(risk_tier, 'Risque extrême') then 'Élevé' else risk_tier end as niveau"""
+
+
+@query(
+    "label_lookup",
+    f"""select order_id, {_LABELS}
     from pred_base""",
 )
 def label_lookup(w):
@@ -66,23 +71,33 @@ def label_lookup(w):
     )
 
 
-@query(
-    "kpi_overview",
-    """select count(*) as n_commandes, round(sum(total_price), 2) as ca_total,
+_KPI = """select count(*) as n_commandes, round(sum(total_price), 2) as ca_total,
         round(avg(total_price), 4) as panier_moyen, round(avg(is_late), 6) as taux_retard,
         round(avg(datediff('day', order_purchase_timestamp, order_delivered_customer_date)), 6)
             as delai_reel_jours,
         round(avg(datediff('day', order_purchase_timestamp, order_estimated_delivery_date)), 6)
             as delai_promis_jours,
         round(avg(review_score), 6) as note_moyenne
-    from bi_base""",
-)
-def kpi_overview(w):
+    from bi_base"""
+
+
+def _kpi(w):
     kpi = bi.kpi_overview(bi.bi_base(w))
     kpi = rounded(rounded(kpi, 2, "ca_total"), 4, "panier_moyen")
     return rounded(kpi, 6, "taux_retard", "delai_reel_jours", "delai_promis_jours", "note_moyenne")
 
 
+@query("kpi_overview", _KPI)
+def kpi_overview(w):
+    return _kpi(w)
+
+
+@query("stored_kpi_overview", _KPI)
+def stored_kpi_overview(w):
+    """The same report over a written warehouse."""
+    return _kpi(w.build(f"{shared_folder(w.raw.spark)}/warehouse-{uuid.uuid4().hex}"))
+
+
 @query(
     "monthly_late_rate",
     """select annee, mois, count(*) as n, round(avg(is_late), 6) as taux_retard
@@ -196,7 +211,7 @@ def risk_exposure(w):
 @query(
     "driver_frequency",
     """select d.feature_name, count(*) as n,
-        case d.feature_name when 'num__delay_est_days' then 'Délai de livraison promis'
+        case feature_name when 'num__delay_est_days' then 'Délai de livraison promis'
             when 'num__seller_distance_km_max' then 'Distance vendeur-client'
             when 'num__seller_late_rate_max' then 'Fiabilité du vendeur'
             when 'num__total_freight' then 'Frais de port' else d.feature_name end as label
@@ -228,19 +243,18 @@ def driver_left_join(w):
 
 @query(
     "priority_orders",
-    """select b.order_id, b.risk_probability, round(b.total_price, 4) as total_price,
-        case when b.risk_tier = 'Alerte' then 'Modéré' else 'Élevé' end as niveau,
-        case d.feature_name when 'num__delay_est_days' then 'Délai de livraison promis'
+    f"""select order_id, risk_probability, round(total_price, 4) as total_price, {_LABELS},
+        case feature_name when 'num__delay_est_days' then 'Délai de livraison promis'
             when 'num__seller_distance_km_max' then 'Distance vendeur-client'
             when 'num__seller_late_rate_max' then 'Fiabilité du vendeur'
-            when 'num__total_freight' then 'Frais de port' else d.feature_name end as facteur
-    from pred_base b left join drivers d on d.order_id = b.order_id and d.driver_rank = 1
-    where b.risk_tier != 'Sous seuil'
-    order by b.risk_probability desc, b.order_id limit 50""",
+            when 'num__total_freight' then 'Frais de port' else feature_name end as facteur
+    from pred_base left join (select order_id, feature_name from drivers where driver_rank = 1) using (order_id)
+    where risk_tier != 'Sous seuil'
+    order by risk_probability desc, order_id limit 50""",
 )
 def priority_orders(w):
     orders = bi.priority_orders(bi.prediction_base(w, demo_scores(w)), demo_drivers(w))
-    return rounded(orders, 4, "total_price").drop("etat", "categorie")
+    return rounded(orders, 4, "total_price")
 
 
 @query(

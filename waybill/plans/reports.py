@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,13 @@ class Filters:
     states: Sequence[str] = field(default_factory=tuple)
     categories: Sequence[str] = field(default_factory=tuple)
 
+    def days(self) -> tuple[date, date]:
+        """First and last day of the period; month numbers beyond 1 to 12 are brought inside."""
+        first, last = (divmod(ym, 100) for ym in (self.ym_min, self.ym_max))
+        begin = date(first[0] + (first[1] > 12), 1 if first[1] > 12 else max(1, first[1]), 1)
+        after = date(last[0] + (last[1] > 11), last[1] % 12 + 1 if last[1] < 12 else 1, 1)
+        return begin, after - timedelta(days=1)
+
     def condition(self) -> Column:
         kept = year_month_number(F.col("annee"), F.col("mois")).between(self.ym_min, self.ym_max)
         if self.states:
@@ -51,7 +59,8 @@ def _dimensions(fact: DataFrame, w, filters: Filters | None) -> DataFrame:
 def bi_base(w, filters: Filters | None = None) -> DataFrame:
     """All delivered orders with dimensions, dates and review score."""
     rows = w.order_rows(
-        "order_id", "customer_id", "product_key", "date_key", "is_late", "total_price", *ENRICHED_ONLY
+        "order_id", "customer_id", "product_key", "date_key", "is_late", "total_price", *ENRICHED_ONLY,
+        days=filters.days() if filters else None,
     )
     return _dimensions(rows, w, filters).select(
         "order_id",
@@ -71,7 +80,8 @@ def bi_base(w, filters: Filters | None = None) -> DataFrame:
 def prediction_base(w, scores: DataFrame, filters: Filters | None = None) -> DataFrame:
     """Out-of-sample scores with the fact's dimensions."""
     honest = scores.filter(~F.col("is_in_sample")).select("order_id", "risk_probability", "risk_tier")
-    fact = w.fact("order_id", "customer_id", "product_key", "date_key", "total_price")
+    days = filters.days() if filters else None
+    fact = w.fact("order_id", "customer_id", "product_key", "date_key", "total_price", days=days)
     return _dimensions(honest.join(fact, "order_id"), w, filters).select(
         "order_id",
         "risk_probability",
@@ -90,6 +100,7 @@ def flagged_by_segment(w, scores: DataFrame) -> DataFrame:
     fact = w.fact("order_id", "customer_id", "product_key", "date_key")
     segments = (
         honest.join(fact, "order_id")
+        .join(F.broadcast(w.dim_date.select("date_key")), "date_key")
         .join(w.dim_product.select("product_key", "product_category_name"), "product_key")
         .join(w.dim_customer.select("customer_id", "customer_state"), "customer_id")
     )
@@ -243,16 +254,17 @@ def with_top_driver(base: DataFrame, drivers: DataFrame) -> DataFrame:
 def priority_orders(base: DataFrame, drivers: DataFrame, n: int = fixed.N_PRIORITY_ORDERS) -> DataFrame:
     """The ``n`` riskiest flagged orders, ready to show.
 
-    The limit is taken before the driver lookup: only ``n`` orders need one.
+    The limit is taken before the driver lookup: the drivers meet ``n`` broadcast orders
+    where they lie, and what is left of them joins the ``n``.
     """
     worst = (
         base.filter(F.col("risk_tier") != fixed.RISK_TIER_LOW)
         .orderBy(F.desc("risk_probability"), "order_id")
         .limit(n)
     )
-    top = first_drivers(drivers).withColumnRenamed("feature_name", "top_driver")
+    theirs = drivers.join(F.broadcast(worst.select("order_id")), "order_id", "left_semi")
     return (
-        top.join(F.broadcast(worst), "order_id", "right")
+        with_top_driver(worst, theirs)
         .select(
             "order_id",
             labels.state_label(F.col("customer_state")).alias("etat"),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waybill.plans import order_grain as grain
 from waybill.plans import staging, star
+from waybill.sources.storage import replace_table
 
 
 class Warehouse:
@@ -30,12 +33,6 @@ class Warehouse:
     def stg_order_items(self) -> DataFrame:
         return staging.stg_order_items(self.raw.order_items)
 
-    @cached_property
-    def _items(self) -> DataFrame:
-        """Items for plans that do not use the item number."""
-        source = getattr(self.raw, "unnumbered_items", None)
-        return staging.stg_order_items(self.raw.order_items if source is None else source)
-
     @cached_property
     def stg_order_payments(self) -> DataFrame:
         return staging.stg_order_payments(self.raw.order_payments)
@@ -62,7 +59,7 @@ class Warehouse:
 
     @cached_property
     def int_order_items(self) -> DataFrame:
-        return grain.int_order_items(self._items)
+        return grain.int_order_items(self.stg_order_items)
 
     @cached_property
     def int_order_payments(self) -> DataFrame:
@@ -100,8 +97,11 @@ class Warehouse:
     def dim_geography(self) -> DataFrame:
         return star.dim_geography(self.int_geolocation)
 
-    def order_rows(self, *columns: str) -> DataFrame:
-        """Fact and enriched order columns, with only the joins they need."""
+    def order_rows(self, *columns: str, days: tuple[date, date] | None = None) -> DataFrame:
+        """Fact and enriched order columns, with only the joins they need.
+
+        ``days`` keeps orders bought between two days, both included.
+        """
         if columns not in self._order_rows:
             self._order_rows[columns] = star.order_rows(
                 self.stg_orders,
@@ -112,14 +112,15 @@ class Warehouse:
                 self.int_geolocation,
                 columns,
             )
-        return self._order_rows[columns]
+        rows = self._order_rows[columns]
+        return rows.where(F.col("date_key").between(*map(F.lit, days))) if days else rows
 
-    def fact(self, *columns: str) -> DataFrame:
+    def fact(self, *columns: str, days: tuple[date, date] | None = None) -> DataFrame:
         """The given columns of the fact table. It never shows delivery dates or reviews."""
         unknown = set(columns) - set(star.FACT_COLUMNS)
         if unknown:
             raise ValueError(f"not columns of the fact table: {sorted(unknown)}")
-        return self.order_rows(*columns)
+        return self.order_rows(*columns, days=days)
 
     @property
     def fct_orders(self) -> DataFrame:
@@ -129,3 +130,60 @@ class Warehouse:
     def order_targets(self) -> DataFrame:
         """Key, purchase date and target of every fact row."""
         return self.fact("order_id", "date_key", "is_late")
+
+    def build(self, folder: str) -> StoredWarehouse:
+        """Write the intermediate layer, then the marts from it, and open what was written.
+
+        Running it again replaces every table. The fact is partitioned by month.
+        """
+        spark = self.dim_geography.sparkSession
+        written: dict[str, DataFrame] = {}
+        for name in INTERMEDIATE:
+            if name != "int_orders_enriched":
+                written[name] = replace_table(getattr(self, name), f"{folder}/intermediate/{name}")
+        enriched = grain.int_orders_enriched(
+            self.stg_orders, written["int_order_items"], written["int_order_payments"], written["int_order_reviews"]
+        )
+        replace_table(enriched, f"{folder}/intermediate/int_orders_enriched")
+        for name in DIMENSIONS:
+            replace_table(getattr(self, name), f"{folder}/marts/{name}")
+        month = F.year("date_key") * 100 + F.month("date_key")
+        rows = star.order_rows(
+            self.stg_orders,
+            written["int_order_items"],
+            self.stg_order_items,
+            written["int_order_reviews"],
+            self.stg_customers,
+            written["int_geolocation"],
+            star.FACT_COLUMNS,
+        )
+        replace_table(rows.withColumn("ym", month), f"{folder}/marts/fct_orders", ["ym"])
+        return StoredWarehouse(spark, folder, self)
+
+
+INTERMEDIATE = ["int_order_items", "int_order_payments", "int_order_reviews", "int_geolocation", "int_orders_enriched"]
+DIMENSIONS = ["dim_date", "dim_customer", "dim_product", "dim_geography"]
+
+
+class StoredWarehouse(Warehouse):
+    """A written warehouse with the interface of the lazy one; staging stays a view over the raw tables."""
+
+    def __init__(self, spark: SparkSession, folder: str, source: Warehouse):
+        super().__init__(source.raw, source._calendar)
+        tables = {name: f"{folder}/intermediate/{name}" for name in INTERMEDIATE}
+        tables |= {name: f"{folder}/marts/{name}" for name in DIMENSIONS}
+        # Written tables stand where the lazy ones would be computed.
+        self.__dict__.update({name: spark.read.parquet(path) for name, path in tables.items()})
+        self._fact = spark.read.parquet(f"{folder}/marts/fct_orders")
+
+    def order_rows(self, *columns: str, days: tuple[date, date] | None = None) -> DataFrame:
+        """As in the lazy warehouse; a period reads the months it touches only."""
+        rows = self._fact
+        if days:
+            first, last = (d.year * 100 + d.month for d in days)
+            rows = rows.where(F.col("ym").between(first, last) & F.col("date_key").between(*map(F.lit, days)))
+        extra = [c for c in columns if c in star.ENRICHED_ONLY]
+        if extra:
+            rows = rows.join(self.int_orders_enriched.select("order_id", *extra), "order_id")
+        return rows.select(*columns)
+
