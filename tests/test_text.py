@@ -123,14 +123,17 @@ def test_classifier_only_fills_unlabelled_rows(spark):
     )
     got = {r.order_id: r.motif_final for r in themes.reclassified(mixed, fitted).collect()}
     assert got == {100: "b", 101: "autre", 102: "a"}
-    with pytest.raises(ValueError):
-        themes.ThemeClassifier().fit(train.limit(2))
+    nothing = themes.ThemeClassifier().fit(train.limit(2))
+    got = {r.order_id: r.motif_final for r in themes.reclassified(mixed, nothing).collect()}
+    assert got == {100: "autre", 101: "autre", 102: "a"}
 
 
 def test_stratified_split_keeps_shares(spark):
     rows = [(i, "big" if i % 10 else "small") for i in range(500)]
     df = spark.createDataFrame(rows, "order_id int, l string")
     got = themes.stratified_split(df, "order_id", "l", 0.2, 7)
+    unlabelled = df.withColumn("l", F.when(F.col("order_id") % 2 == 0, F.col("l")))
+    assert themes.stratified_split(unlabelled, "order_id", "l", 0.2, 7).count() == 500
     counts = {(r.l, r.is_test): r["count"] for r in got.groupBy("l", "is_test").count().collect()}
     assert counts["big", True] == 90 and counts["small", True] == 10
     again = {r.order_id for r in themes.stratified_split(df, "order_id", "l", 0.2, 7).filter("is_test").collect()}

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from waybill.catalog.demo import reviewed, rule_insights
 from waybill.catalog.registry import query, rounded
-from waybill.fixed_values import THEME_OTHER
+from waybill.fixed_values import EXPLORED_THEME_PATTERNS, THEME_OTHER, THEME_PATTERNS
 from waybill.functions.text import clean_text, sentiment_from_score
-from waybill.operators.metrics import class_report
+from waybill.operators.metrics import class_report, confusion_matrix
 from waybill.operators.tfidf import tfidf
 from waybill.plans import themes
 from waybill.session import materialised
@@ -128,18 +128,68 @@ def examples_per_theme(w):
     return themes.theme_examples(themes.negative_corpus(reviewed(w)), DEMO_THEMES)
 
 
-@query("sample_rows")
+_DRAW = "('0x' || substr(md5('42:' || order_id), 1, 13))::bigint"
+
+
+@query(
+    "sample_rows",
+    f"""select order_id, review_score, sentiment, texte_nettoye, motif_regle from rule_labels
+    where motif_regle = 'autre' order by {_DRAW}, order_id limit 25""",
+)
 def sample_rows(w):
     return themes.unlabelled_sample(_labelled(w), 25, 42)
 
 
-@query("random_stratified_split")
+@query(
+    "random_stratified_split",
+    f"""with drawn as (select order_id, motif_regle, {_DRAW}::double as draw from rule_labels)
+    select order_id, motif_regle, draw < quantile_cont(draw, 0.2) over (partition by motif_regle) as is_test from drawn""",
+)
 def random_stratified_split(w):
     return themes.stratified_split(_labelled(w), "order_id", "motif_regle").select(
         "order_id", "motif_regle", "is_test"
     )
 
 
+def _re2(pattern: str) -> str:
+    """A pattern for the SQL side, whose word boundary knows ASCII letters only."""
+    return pattern.replace(r"\b", r"(?:^|[^\p{L}\p{N}_])").replace("'", "''")
+
+
+def _themes_sql(text: str, patterns) -> dict[str, str]:
+    return {t: f"regexp_matches({text}, '{'|'.join(f'(?:{_re2(x)})' for x in p)}')" for t, p in patterns.items()}
+
+
+@query(
+    "rule_label_production",
+    "select order_id, case "
+    + " ".join(f"when {hit} then '{t}'" for t, hit in _themes_sql("texte_nettoye", THEME_PATTERNS).items())
+    + " else 'autre' end as motif_regle from negatives",
+)
+def rule_label_production(w):
+    """The production patterns over negative texts."""
+    return themes.label_with_rules(themes.negative_corpus(reviewed(w))).select("order_id", "motif_regle")
+
+
+EXPLORED = THEME_PATTERNS | EXPLORED_THEME_PATTERNS
+
+
+@query(
+    "rule_counts_explored",
+    " union all ".join(
+        f"select '{t}' as motif, count(*) filter (where {hit}) as n_independent from negatives"
+        for t, hit in (
+            _themes_sql("texte_nettoye", EXPLORED)
+            | {"autre": "not (" + " or ".join(_themes_sql("texte_nettoye", EXPLORED).values()) + ")"}
+        ).items()
+    ),
+)
+def rule_counts_explored(w):
+    """Production themes and the explored one, each counted on its own."""
+    texts = themes.negative_corpus(reviewed(w))
+    return themes.rule_counts(texts, "texte_nettoye", EXPLORED).select("motif", "n_independent")
+
+
 _GRAMS = r"""
     with tokens as (
         select order_id, regexp_extract_all(lower(texte_nettoye), '[\p{L}\p{N}_]{2,}') as t from negatives),
@@ -188,30 +238,36 @@ def reclassify_confident(w):
     )
 
 
-def _rule_labelled_texts(texts):
-    """Training rows: every text a rule labels. The given tables hold too few negative
-    reviews for a vocabulary, so scores are not looked at here."""
-    labelled = themes.label_with_rules(texts.filter(F.col("texte_nettoye") != ""), DEMO_THEMES)
+def _rule_labelled(w):
+    """Training rows, as in production: negative texts that a rule labels."""
+    labelled = themes.label_with_rules(themes.negative_corpus(reviewed(w)))
     return labelled.filter(F.col("motif_regle") != THEME_OTHER)
 
 
+def _held_out_guesses(w):
+    parts = materialised(themes.stratified_split(_rule_labelled(w), "order_id", "motif_regle"))
+    fitted = themes.ThemeClassifier().fit(parts.filter(~F.col("is_test")))
+    guesses = fitted.probabilities(parts.filter("is_test"), ["motif_regle"])
+    return guesses.withColumn("guess", themes.most_likely(F.col("probabilities"), fitted.classes))
+
+
 @query("theme_classifier")
 def theme_classifier(w):
     """Class report of the classifier on its held-out fifth of the rule-labelled texts."""
-    labelled = _rule_labelled_texts(reviewed(w))
-    parts = materialised(themes.stratified_split(labelled, "order_id", "motif_regle"))
-    fitted = themes.ThemeClassifier().fit(parts.filter(~F.col("is_test")))
-    guesses = fitted.probabilities(parts.filter("is_test"), ["motif_regle"]).withColumn(
-        "guess", themes.most_likely(F.col("probabilities"), fitted.classes)
-    )
-    return class_report(guesses, "motif_regle", "guess", fitted.classes)
+    return class_report(_held_out_guesses(w), "motif_regle", "guess", [*THEME_PATTERNS, THEME_OTHER])
+
+
+@query("theme_confusion")
+def theme_confusion(w):
+    """Confusion of the same held-out fifth over all themes."""
+    return confusion_matrix(_held_out_guesses(w), "motif_regle", "guess", [*THEME_PATTERNS, THEME_OTHER])
 
 
 @query("review_insights_classified")
 def review_insights_classified(w):
     base = materialised(reviewed(w))
-    fitted = themes.ThemeClassifier().fit(_rule_labelled_texts(base))
-    return themes.review_insights(base, DEMO_THEMES, fitted)
+    labelled = themes.label_with_rules(themes.negative_corpus(base)).filter(F.col("motif_regle") != THEME_OTHER)
+    return themes.review_insights(base, classifier=themes.ThemeClassifier().fit(labelled))
 
 
 # --- text coverage ---------------------------------------------------------

@@ -68,10 +68,20 @@ def binary_metrics(df: DataFrame, keys: Sequence[str], label: str, predicted: st
     )
 
 
+def _known(df: DataFrame, columns: Sequence[str], classes: Sequence[object]) -> DataFrame:
+    """``df``; a row whose value is null or none of ``classes`` stops the job instead of vanishing."""
+    for c in columns:
+        value = F.concat(F.lit(f"{c} is no given class: "), F.coalesce(F.col(c).cast("string"), F.lit("NULL")))
+        known = F.coalesce(F.col(c).isin(*classes), F.lit(False))
+        df = df.withColumn(c, F.when(known, F.col(c)).otherwise(F.raise_error(value)))
+    return df
+
+
 def confusion_matrix(
     df: DataFrame, label: str, predicted: str, classes: Sequence[object]
 ) -> DataFrame:
     """(actual, predicted, n) for every pair of the given classes, zeros included."""
+    df = _known(df, [label, predicted], classes)
     cells = [
         F.struct(
             F.lit(a).alias("actual"),
@@ -88,6 +98,7 @@ def class_report(
     df: DataFrame, label: str, predicted: str, classes: Sequence[object]
 ) -> DataFrame:
     """Precision, recall, F1 and support per class, plus macro and weighted averages."""
+    df = _known(df, [label, predicted], classes)
     rows = [
         F.struct(
             F.lit(str(c)).alias("class"),

@@ -36,7 +36,8 @@ def first_rows(
 
 def dominant_category(df: DataFrame, key: str, category: str, amount: str, name: str) -> DataFrame:
     """The category with the largest summed amount per key, ties alphabetical."""
-    summed = df.groupBy(key, category).agg(F.sum(amount).alias("__amount"))
+    # Rounded: the last bits of a sum of doubles depend on the order of addition.
+    summed = df.groupBy(key, category).agg(F.round(F.sum(amount), 6).alias("__amount"))
     strongest = F.min(F.struct((-F.col("__amount")).alias("less"), F.col(category).alias("pick")))
     return summed.groupBy(key).agg(strongest["pick"].alias(name))
 
@@ -44,10 +45,13 @@ def dominant_category(df: DataFrame, key: str, category: str, amount: str, name:
 def first_child(
     df: DataFrame, key: str, position: str, value: str, name: str, first: int = 1
 ) -> DataFrame:
-    """``value`` of the child row numbered ``first``, one row per key."""
-    return (
-        df.filter(F.col(position) == first).groupBy(key).agg(F.min(value).alias(name))
-    )
+    """``value`` of the child row numbered ``first``, one row per key.
+
+    Where a number is repeated, the smallest value in text order is taken, so that
+    the choice doesn't depend on the type a source gives its keys.
+    """
+    smallest = F.min(F.struct(F.col(value).cast("string").alias("text"), F.col(value).alias("pick")))
+    return df.filter(F.col(position) == first).groupBy(key).agg(smallest["pick"].alias(name))
 
 
 def top_entries(
@@ -73,8 +77,13 @@ def top_entries(
 
 def stable_sample(df: DataFrame, keys: Sequence[str], n: int, seed: int) -> DataFrame:
     """``n`` rows in an order that depends only on the keys and the seed."""
-    draw = F.xxhash64(*keys, F.lit(seed))
-    return df.orderBy(draw, *keys).limit(n)
+    return df.orderBy(seeded_draw(keys, seed), *keys).limit(n)
+
+
+def seeded_draw(keys: Sequence[str], seed: int) -> Column:
+    """A number below 2**52 from the MD5 of seed and keys: the same in any engine."""
+    digest = F.md5(F.concat_ws(":", F.lit(seed), *[F.col(k).cast("string") for k in keys]))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
 
 
 def first_examples(

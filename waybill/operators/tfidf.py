@@ -6,12 +6,13 @@ inverse document frequency plus one, and unit length per document.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.text import word_ngrams, words
-
-COMMON_TERM_SHARE = 1e-4
+from waybill.session import materialised
 
 
 def term_counts(df: DataFrame, doc: str, text: str, longest: int = 2) -> DataFrame:
@@ -37,26 +38,17 @@ def inverse_frequencies(
     )
 
 
-def weigh(counts: DataFrame, doc: str, vocabulary: DataFrame) -> DataFrame:
+def weigh(counts: DataFrame, doc: str, vocabulary: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Unit-length weights of the terms of ``counts`` that are in ``vocabulary``.
 
-    Terms in very many documents would pile up in a shuffle on the term. There
-    can be at most ``1 / COMMON_TERM_SHARE`` terms above that share of all
-    (document, term) rows, so exactly those are broadcast and the rest is
-    joined by shuffle.
+    ``vocabulary`` has a row per term, so a very frequent term is a skewed join that
+    adaptive execution splits. ``keep`` names more of its columns.
     """
-    limit = counts.agg(F.count(F.lit(1)) * F.lit(COMMON_TERM_SHARE)).scalar()
-    marked = vocabulary.select("term", "idf", (F.col("df") > limit).alias("__common"))
-    common = marked.filter("__common").select("term", "idf")
-    rare = marked.filter(~F.col("__common")).select("term", "idf")
-    known = counts.join(F.broadcast(common), "term", "left")
-    direct = known.filter(F.col("idf").isNotNull())
-    looked_up = known.filter(F.col("idf").isNull()).drop("idf").join(rare, "term")
-    raw = direct.unionByName(looked_up).select(
-        doc, "term", ((1 + F.log("tf")) * F.col("idf")).alias("__raw")
-    )
+    known = counts.join(vocabulary.select("term", "idf", *keep), "term")
+    raw = known.select(doc, "term", *keep, ((1 + F.log("tf")) * F.col("idf")).alias("__raw"))
     lengths = raw.groupBy(doc).agg(F.sqrt(F.sum(F.col("__raw") * F.col("__raw"))).alias("__length"))
-    return raw.join(lengths, doc).select(doc, "term", (F.col("__raw") / F.col("__length")).alias("weight"))
+    weight = (F.col("__raw") / F.col("__length")).alias("weight")
+    return raw.join(lengths, doc).select(doc, "term", *keep, weight)
 
 
 def tfidf(
@@ -67,6 +59,7 @@ def tfidf(
     min_df: int = 3,
     max_df: float = 0.9,
 ) -> DataFrame:
-    counts = term_counts(df, doc, text, longest)
+    """(doc, term, weight). The n-gram counts are built and written once for all passes over them."""
+    counts = materialised(term_counts(df, doc, text, longest))
     n_docs = df.agg(F.count(F.lit(1)).alias("n"))
     return weigh(counts, doc, inverse_frequencies(counts, n_docs, min_df, max_df))

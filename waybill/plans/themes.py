@@ -6,13 +6,16 @@ themes are the default.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waybill import fixed_values as fixed
 from waybill.functions.dates import year_month
@@ -24,17 +27,16 @@ from waybill.functions.text import (
     sentiment_from_score,
     word_count,
 )
-from waybill.operators.picking import first_examples, stable_sample
+from waybill.operators.picking import first_examples, seeded_draw, stable_sample
 from waybill.operators.quantiles import exact_quantiles
+from waybill.operators.running import running_totals
 from waybill.operators.tfidf import inverse_frequencies, term_counts, weigh
 from waybill.plans.model import class_weights, weight_column
 from waybill.plans.order_grain import latest_reviews
+from waybill.session import materialised
 
 Themes = Mapping[str, Sequence[str]]
 
-# Vocabularies up to this many terms may be broadcast; the size is counted first.
-BROADCAST_TERMS = 1_000_000
-
 
 # --- populations -----------------------------------------------------------
 
@@ -131,12 +133,13 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.2, se
     """Add ``is_test``: the same share of every label, chosen by a hash of the key.
 
     The cut is an exact quantile of the hash per label, so shares hold to
-    within a row without ordering a label's rows in one task.
+    within a row without ordering a label's rows in one task. Rows without a
+    label are a group of their own and are split like any other.
     """
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 52)).cast("double")
-    drawn = df.withColumn("__draw", draw)
-    cuts = exact_quantiles(drawn, [label], "__draw", {"__cut": share}, few_groups=True)
-    return drawn.join(F.broadcast(cuts), label).select(
+    group = F.struct(F.col(label).isNull(), F.coalesce(F.col(label).cast("string"), F.lit("")))
+    drawn = df.withColumns({"__draw": seeded_draw([key], seed).cast("double"), "__group": group})
+    cuts = exact_quantiles(drawn, ["__group"], "__draw", {"__cut": share}, few_groups=True)
+    return drawn.join(F.broadcast(cuts), "__group").select(
         *df.columns, (F.col("__draw") < F.col("__cut")).alias("is_test")
     )
 
@@ -144,40 +147,56 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.2, se
 # --- classifier ------------------------------------------------------------
 
 
-@F.udf(VectorUDT())
-def _sparse(size, entries):
-    return Vectors.sparse(size, [(e["position"], e["weight"]) for e in entries])
+def _sparse_vectors(size: int):
+    """Batches with ``entries`` (position, weight) in place of Spark ML's sparse vectors of ``size``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            entries = b.column("entries")
+            flat, offsets = entries.flatten(), pc.subtract(entries.offsets, entries.offsets[0])
+            lists = [
+                pa.ListArray.from_arrays(offsets, flat.field(k), type=pa.list_(pa.field("element", t, False)))
+                for k, t in (("position", pa.int32()), ("weight", pa.float64()))
+            ]
+            kind, width = pa.array([0] * b.num_rows, pa.int8()), pa.array([size] * b.num_rows, pa.int32())
+            fields = [pa.field("type", pa.int8(), False), pa.field("size", pa.int32())]
+            fields += [pa.field(n, a.type) for n, a in zip(("indices", "values"), lists, strict=True)]
+            vectors = pa.StructArray.from_arrays([kind, width, *lists], fields=fields)
+            names = [n for n in b.schema.names if n != "entries"]
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), vectors], [*names, "features"])
+
+    return run
 
 
 class ThemeClassifier:
     """Multinomial logistic regression on TF-IDF, trained on rule labels.
 
-    The vocabulary has to fit the model, which keeps one coefficient per term
-    and class.
+    The model keeps one coefficient per term and class. Vectors are made a batch at a
+    time from Arrow arrays. Texts without any frequent term, or of one class only, leave nothing to learn: then
+    every text gets the catch-all with certainty.
     """
 
     def __init__(self, key: str = "order_id", text: str = "texte_nettoye", label: str = "motif_regle"):
         self.key, self.text, self.label = key, text, label
 
     def fit(self, labelled: DataFrame) -> ThemeClassifier:
-        counts = term_counts(labelled, self.key, self.text)
+        counts = materialised(term_counts(labelled, self.key, self.text))
         n_docs = labelled.agg(F.count(F.lit(1)).alias("n"))
-        vocabulary = inverse_frequencies(counts, n_docs).orderBy("term")
-        numbered = vocabulary.rdd.zipWithIndex().map(lambda r: (r[0][0], r[0][1], r[0][2], r[1]))
-        self.vocabulary = labelled.sparkSession.createDataFrame(
-            numbered, "term string, df bigint, idf double, position bigint"
-        ).persist()
+        terms = inverse_frequencies(counts, n_docs).withColumn("position", F.lit(1))
+        self.vocabulary = materialised(
+            running_totals(terms, [], "term", ["position"], F.substring("term", 1, 2), exclusive=True)
+        )
         self.size = self.vocabulary.count()
-        if self.size == 0:
-            raise ValueError("no term is frequent enough to build a vocabulary")
         rows = class_weights(labelled, self.label).orderBy(self.label).collect()
-        self.classes = [r[self.label] for r in rows]
+        self.classes, self.model = [r[self.label] for r in rows], None
+        if self.size == 0 or len(rows) < 2:
+            self.classes = [fixed.THEME_OTHER]
+            return self
         n = sum(r["n"] for r in rows)
         number = {c: float(i) for i, c in enumerate(self.classes)}
+        weights = {r[self.label]: r["weight"] for r in rows}
         ready = self._vectors(labelled, counts, [self.label]).select(
-            "features",
-            weight_column(number, self.label).alias("label"),
-            weight_column({r[self.label]: r["weight"] for r in rows}, self.label).alias("weight"),
+            "features", weight_column(number, self.label).alias("label"), weight_column(weights, self.label).alias("weight")
         )
         self.model = LogisticRegression(
             family="multinomial",
@@ -185,26 +204,27 @@ class ThemeClassifier:
             regParam=1.0 / n,
             standardization=False,
             maxIter=2000,
+            tol=1e-9,
         ).fit(ready)
         return self
 
     def _vectors(self, df: DataFrame, counts: DataFrame, keep: list[str]) -> DataFrame:
         """One sparse vector per text; texts without a known term get an empty one."""
-        numbers = self.vocabulary.select("term", "position")
-        if self.size <= BROADCAST_TERMS:
-            numbers = F.broadcast(numbers)
-        weights = weigh(counts, self.key, self.vocabulary).join(numbers, "term")
-        entry = F.struct("position", "weight")
+        weights = weigh(counts, self.key, self.vocabulary, ["position"])
+        entry = F.struct(F.col("position").cast("int").alias("position"), "weight")
         entries = weights.groupBy(self.key).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-        empty = F.array().cast("array<struct<position:bigint,weight:double>>")
-        return df.select(self.key, *keep).join(entries, self.key, "left").select(
-            self.key, *keep, _sparse(F.lit(self.size), F.coalesce("entries", empty)).alias("features")
-        )
+        rows = df.select(self.key, *keep).join(entries, self.key, "left")
+        none = F.array().cast("array<struct<position:int,weight:double>>")
+        rows = rows.select(self.key, *keep, F.coalesce("entries", none).alias("entries"))
+        schema = T.StructType([*rows.drop("entries").schema.fields, T.StructField("features", VectorUDT())])
+        return rows.mapInArrow(_sparse_vectors(self.size), schema)
 
     def probabilities(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """(key, keep.., probabilities) with one probability per class."""
-        vectors = self._vectors(df, term_counts(df, self.key, self.text), list(keep))
-        return self.model.transform(vectors).select(
+        if self.model is None:
+            return df.select(self.key, *keep, F.array(F.lit(1.0)).alias("probabilities"))
+        counts = term_counts(df, self.key, self.text)
+        return self.model.transform(self._vectors(df, counts, list(keep))).select(
             self.key, *keep, vector_to_array("probability").alias("probabilities")
         )
 
