@@ -13,7 +13,7 @@ from waybill.sources.driver_tables import DEMO_CUTOFF
 
 @query("seller_cumulative_history", "select * from seller_history")
 def seller_cumulative_history(w):
-    return features.seller_history(w.stg_orders, w._items)
+    return features.seller_history(w.stg_orders, w.stg_order_items)
 
 
 @query("global_cumulative_history", "select * from global_history")
@@ -23,7 +23,7 @@ def global_cumulative_history(w):
 
 @query("asof_backward_by_key", "select * from seller_before")
 def asof_backward_by_key(w):
-    return features.seller_known_before(w.stg_orders, w._items)
+    return features.seller_known_before(w.stg_orders, w.stg_order_items)
 
 
 @query("asof_backward_global", "select * from global_before")
@@ -38,7 +38,7 @@ def asof_backward_global(w):
     from smoothed""",
 )
 def seller_late_rate_smoothed(w):
-    rates = features.smoothed_rates(w.stg_orders, w._items)
+    rates = features.smoothed_rates(w.stg_orders, w.stg_order_items)
     return rounded(
         rates.select("order_id", "seller_id", "prior", "seller_late_rate_smoothed"),
         9,
@@ -52,7 +52,7 @@ def seller_late_rate_smoothed(w):
     "select order_id, round(seller_late_rate_max, 9) as seller_late_rate_max from worst_rates",
 )
 def worst_seller_rate(w):
-    rates = features.smoothed_rates(w.stg_orders, w._items)
+    rates = features.smoothed_rates(w.stg_orders, w.stg_order_items)
     return rounded(features.worst_seller_rate(rates), 9, "seller_late_rate_max")
 
 
@@ -65,7 +65,7 @@ def worst_seller_rate(w):
     from smoothed""",
 )
 def leakage_assert_asof(w):
-    return features.history_leaks(features.smoothed_rates(w.stg_orders, w._items))
+    return features.history_leaks(features.smoothed_rates(w.stg_orders, w.stg_order_items))
 
 
 @query(
@@ -99,12 +99,12 @@ def measure_blocks(w):
 
 @query("product_order_agg", "select * from product_sums")
 def product_order_agg(w):
-    return features.product_features(w._items, w.stg_products)
+    return features.product_features(w.stg_order_items, w.stg_products)
 
 
 def _pairs(w):
     return features.seller_customer_pairs(
-        w.stg_orders, w._items, w.stg_customers, w.stg_sellers, w.int_geolocation
+        w.stg_orders, w.stg_order_items, w.stg_customers, w.stg_sellers, w.int_geolocation
     )
 
 

@@ -13,7 +13,7 @@ def _population(w):
 
 
 def _with_sums(w):
-    return profile.items_sum_by_order(_population(w), w.raw.unnumbered_items)
+    return profile.items_sum_by_order(_population(w), w.raw.order_items)
 
 
 def _degrees(w):
@@ -83,7 +83,7 @@ _CHILDREN = {
 )
 def grain_profile(w):
     children = {
-        "order_items": w.raw.unnumbered_items,
+        "order_items": w.raw.order_items,
         "order_payments": w.raw.order_payments,
         "order_reviews": w.raw.order_reviews,
     }
@@ -119,7 +119,7 @@ _NULL_COLUMNS = {
     ),
 )
 def null_profile(w):
-    frames = {"orders": w.raw.orders, "products": w.raw.products, "order_items": w.raw.unnumbered_items}
+    frames = {"orders": w.raw.orders, "products": w.raw.products, "order_items": w.raw.order_items}
     parts = [profile.null_profile(df, t, _NULL_COLUMNS[t]) for t, df in frames.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from waybill.operators.picking import first_child
 from waybill.operators.quality import orphans
 from waybill.plans import exports, features, order_grain, profile, star
 from waybill.plans import reports as bi
+from waybill.plans.warehouse import Warehouse
 from waybill.session import shared_folder
 from waybill.sources import csv_tables, storage
 
@@ -45,6 +47,47 @@ def src_csv_bulk(w):
     return csv_tables.row_counts(_csv_copies(w, list(csv_tables.RAW_COLUMNS)))
 
 
+@query(
+    "src_csv_review_texts",
+    "select review_id, review_comment_title, review_comment_message from raw_order_reviews",
+)
+def src_csv_review_texts(w):
+    """Review texts with line breaks and quotes survive the CSV round trip."""
+    reviews = _csv_copies(w, ["order_reviews"])["order_reviews"]
+    return reviews.select(F.col("review_id").cast("bigint").alias("review_id"), "review_comment_title", "review_comment_message")
+
+
+def _csv_warehouse(w) -> Warehouse:
+    return Warehouse(SimpleNamespace(**_csv_copies(w, list(csv_tables.RAW_COLUMNS))))
+
+
+@query(
+    "csv_fct_orders",
+    "select order_id, customer_id, product_key, date_key, geo_key, is_late, nb_items, round(total_price, 4) as total_price,"
+    " nb_distinct_sellers, delay_est_days from fct_orders",
+)
+def csv_fct_orders(w):
+    """The fact built from CSV copies of the raw tables, keys being text until the end."""
+    fact = rounded(_csv_warehouse(w).fct_orders, 4, "total_price").drop("total_freight", "freight_ratio")
+    return fact.withColumns({c: F.col(c).cast("bigint") for c in ("order_id", "customer_id", "product_key")})
+
+
+@query(
+    "csv_features_orders",
+    "select order_id, round(seller_late_rate_max, 9) as seller_late_rate_max, purchase_weekday, delay_est_days, nb_items,"
+    " dominant_payment_type, product_weight_g_sum, nb_distinct_categories,"
+    " round(seller_distance_km_max, 4) as seller_distance_km_max, geo_is_unknown from features_orders",
+)
+def csv_features_orders(w):
+    table = features.features_orders(_csv_warehouse(w))
+    table = rounded(rounded(table, 9, "seller_late_rate_max"), 4, "seller_distance_km_max")
+    return table.select(
+        F.col("order_id").cast("bigint").alias("order_id"), "seller_late_rate_max", "purchase_weekday", "delay_est_days",
+        "nb_items", "dominant_payment_type", "product_weight_g_sum", "nb_distinct_categories", "seller_distance_km_max",
+        "geo_is_unknown",
+    )
+
+
 @query(
     "src_csv_parse_dates",
     """select order_id, order_status, order_purchase_timestamp, order_approved_at,
@@ -64,9 +107,8 @@ def src_seed(w):
 
 def _exported(w) -> tuple[str, list[str]]:
     folder = _fresh_folder(w, "export")
-    tables = exports.dashboard_tables(w, demo_scores(w), demo_drivers(w), rule_insights(w))
-    storage.export_tables(tables, folder)
-    return folder, list(tables)
+    sizes = exports.export_dashboard(w, demo_scores(w), demo_drivers(w), rule_insights(w), folder, 1 << 40)
+    return folder, list(sizes)
 
 
 @query(
@@ -114,10 +156,16 @@ def sink_parquet_export(w):
     return csv_tables.row_counts({n: storage.read_snapshot(spark, folder, n) for n in names})
 
 
-@query("export_manifest")
+@query(
+    "export_manifest",
+    f"select *, true as has_size, '2020-01-01 00:00' as exported_at from ({_EXPORT_COUNTS})",
+)
 def export_manifest(w):
+    """Sizes depend on the writer, so only that there are any is compared."""
     folder, names = _exported(w)
-    return storage.manifest(w.raw.spark, folder, names, "2020-01-01 00:00:00")
+    listed = storage.manifest(w.raw.spark, folder, names, "2020-01-01 00:00:00")
+    at = F.date_format("exported_at", "yyyy-MM-dd HH:mm").alias("exported_at")
+    return listed.select("table_name", "n_rows", (F.col("size_bytes") > 0).alias("has_size"), at)
 
 
 @query(
@@ -200,7 +248,7 @@ def agg_payments(w):
 
 @query(
     "dominant_category",
-    "select order_id, payment_type as dominant_payment_type from payment_types where rn = 1",
+    "select order_id, arg_min(payment_type, (-paid, payment_type)) as dominant_payment_type from paid_by_type group by 1",
 )
 def dominant_category(w):
     return order_grain.dominant_payment(w.stg_order_payments)
@@ -307,7 +355,7 @@ def first_row_per_key(w):
 
 @query("distinct_pairs_join", "select * from pairs")
 def distinct_pairs_join(w):
-    return features.order_seller_outcomes(w.stg_orders, w._items)
+    return features.order_seller_outcomes(w.stg_orders, w.stg_order_items)
 
 
 @query(
@@ -325,8 +373,8 @@ def order_children_anti(w):
             F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("order_id").alias("n_orders")
         ).withColumn("kind", F.lit(kind))
 
-    lost_items = orphans(w._items, "order_id", w.stg_orders, "order_id")
-    childless = orphans(w.raw.orders, "order_id", w._items, "order_id")
+    lost_items = orphans(w.stg_order_items, "order_id", w.stg_orders, "order_id")
+    childless = orphans(w.raw.orders, "order_id", w.stg_order_items, "order_id")
     return summary("items_without_order", lost_items).unionByName(
         summary("orders_without_items", childless)
     )
@@ -348,13 +396,20 @@ def star_join_pred(w):
 
 @query(
     "flagged_by_segment",
-    """select c.customer_state, p.product_category_name, strftime(o.date_key, '%Y-%m') as mois,
-        count(*) filter (where r.is_flagged_risk) as n_a_risque
-    from scores r join fct_orders o on r.order_id = o.order_id
-    join dim_customer c on o.customer_id = c.customer_id
-    join dim_product p on o.product_key = p.product_key
-    where not r.is_in_sample
+    """select customer_state, product_category_name, annee || '-' || lpad(mois::varchar, 2, '0') as mois,
+        coalesce(sum(is_flagged_risk::integer), 0)::bigint as n_a_risque
+    from described join (from scores where not is_in_sample) using (order_id)
     group by all order by n_a_risque desc, 1, 2, 3""",
 )
 def flagged_by_segment(w):
     return bi.flagged_by_segment(w, demo_scores(w))
+
+
+def _stored(w):
+    return w.build(_fresh_folder(w, "warehouse"))
+
+
+@query("stored_fct_orders", "select order_id, product_key, date_key, geo_key, is_late, nb_items, delay_est_days from fct_orders")
+def stored_fct_orders(w):
+    """The fact read back from a written warehouse."""
+    return _stored(w).fact("order_id", "product_key", "date_key", "geo_key", "is_late", "nb_items", "delay_est_days")

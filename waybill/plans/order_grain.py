@@ -42,7 +42,8 @@ def int_order_payments(payments: DataFrame) -> DataFrame:
         F.sum("payment_value").alias("paid"),
         F.max("payment_installments").alias("installments"),
     )
-    strongest = F.min(F.struct((-F.col("paid")).alias("less"), F.col("payment_type").alias("pick")))
+    rounded = -F.round("paid", 6)
+    strongest = F.min(F.struct(rounded.alias("less"), F.col("payment_type").alias("pick")))
     return per_type.groupBy("order_id").agg(
         F.sum("paid").alias("total_payment"),
         F.max("installments").alias("nb_payment_installments"),

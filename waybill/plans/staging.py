@@ -38,7 +38,7 @@ def stg_orders(raw: DataFrame) -> DataFrame:
 def stg_order_items(raw: DataFrame) -> DataFrame:
     return raw.select(
         "order_id",
-        "order_item_id",
+        F.col("order_item_id").cast("int").alias("order_item_id"),
         "product_id",
         "seller_id",
         _timestamp("shipping_limit_date"),
@@ -50,7 +50,7 @@ def stg_order_items(raw: DataFrame) -> DataFrame:
 def stg_order_payments(raw: DataFrame) -> DataFrame:
     return raw.select(
         "order_id",
-        "payment_sequential",
+        F.col("payment_sequential").cast("int").alias("payment_sequential"),
         "payment_type",
         F.col("payment_installments").cast("int").alias("payment_installments"),
         F.col("payment_value").cast("double").alias("payment_value"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # --- fixed values: demo codes given to the first nations and part types ----
@@ -30,6 +30,20 @@ DEMO_THEMES = {
     "numbers": ["[0-9]{3}"],
     "schung": ["sch[a-z]*ung"],
 }
+# Ends of review texts: one or two for each theme, none, and words of no theme.
+DEMO_SENTENCES = [
+    "",
+    "\nO pedido veio com atraso e ainda demora.",
+    " Chegou quebrado e com defeito",
+    "\nNÃO recebi o produto, faltou uma peça",
+    " Produto errado, veio diferente do anúncio.",
+    " a cor é mais escura, não é igual",
+    "\npéssimo, não gostei",
+]
+ITEM_ORDER = [
+    "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+    "l_shipdate", "l_tax", "l_discount", "l_returnflag", "l_linestatus",
+]
 DEMO_CUTOFF = "2000-01-01"
 DEMO_CUTOFFS = ["1998-01-01", "1999-01-01", "2000-01-01", "2001-01-01"]
 DEMO_Q90 = 0.9
@@ -60,8 +74,7 @@ class DriverTables:
     @cached_property
     def _per_order(self) -> DataFrame:
         return self.given("lineitem").groupBy("l_orderkey").agg(
-            F.sum(F.col("l_partkey") + F.col("l_suppkey")).alias("mix"),
-            F.min("l_linenumber").alias("first_line"),
+            F.sum(F.col("l_partkey") + F.col("l_suppkey")).alias("mix")
         )
 
     @cached_property
@@ -91,24 +104,12 @@ class DriverTables:
 
     @cached_property
     def order_items(self) -> DataFrame:
-        """Items numbered from 1 within each order."""
-        first = self._per_order.select(F.col("l_orderkey").alias("order_id"), "first_line")
-        return (
-            self._items.join(first, "order_id")
-            .withColumn("order_item_id", F.col("line") - F.col("first_line") + 1)
-            .drop("line", "first_line")
-        )
-
-    @cached_property
-    def unnumbered_items(self) -> DataFrame:
-        """The same items without a number, for plans that never look at it."""
-        return self._items.drop("line").withColumn("order_item_id", F.lit(None).cast("int"))
-
-    @cached_property
-    def _items(self) -> DataFrame:
+        """Items numbered from 1 within each order, without ties. Plans that don't use the
+        number lose its window to column pruning."""
+        number = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*ITEM_ORDER))
         return self.given("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
-            F.col("l_linenumber").alias("line"),
+            number.alias("order_item_id"),
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("seller_id"),
             F.col("l_shipdate").alias("shipping_limit_date"),
@@ -133,7 +134,7 @@ class DriverTables:
         created = F.lit("2018-01-01").cast("timestamp_ntz") + _days((doc % 3) * (doc % 3) % 3)
         score = (
             F.when(F.col("toxic") == 1, F.lit(1))
-            .when(F.col("quality") == 0, F.lit(2))
+            .when((F.col("quality") == 0) | (doc % 5 < 2), F.lit(2))
             .when(F.col("quality") == 1, (4 + doc % 2).cast("int"))
             .otherwise(F.lit(3))
         )
@@ -142,7 +143,9 @@ class DriverTables:
             F.expr("doc_id div 2").alias("order_id"),
             score.alias("review_score"),
             F.when(doc % 3 != 0, F.col("source")).alias("review_comment_title"),
-            F.col("text").alias("review_comment_message"),
+            F.concat("text", F.get(F.array(*[F.lit(s) for s in DEMO_SENTENCES]), doc % len(DEMO_SENTENCES))).alias(
+                "review_comment_message"
+            ),
             created.alias("review_creation_date"),
             (created + _seconds((doc * 977) % 172800)).alias("review_answer_timestamp"),
         )
