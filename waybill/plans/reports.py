@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from calendar import monthrange
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +27,14 @@ class Filters:
     categories: Sequence[str] = field(default_factory=tuple)
 
     def days(self) -> tuple[date, date]:
-        """First and last day of the period; month numbers beyond 1 to 12 are brought inside."""
-        first, last = (divmod(ym, 100) for ym in (self.ym_min, self.ym_max))
-        begin = date(first[0] + (first[1] > 12), 1 if first[1] > 12 else max(1, first[1]), 1)
-        after = date(last[0] + (last[1] > 11), last[1] % 12 + 1 if last[1] < 12 else 1, 1)
-        return begin, after - timedelta(days=1)
+        """First and last day of the period, so that it can prune by day before months are known."""
+        year, month = divmod(self.ym_min, 100)
+        year, month = (year + 1, 1) if month > 12 else (year, max(month, 1))
+        begin = date(year, month, 1) if 1 <= year <= 9999 else (date.min if year < 1 else date.max)
+        year, month = divmod(self.ym_max, 100)
+        year, month = (year - 1, 12) if month < 1 else (year, min(month, 12))
+        end = date(year, month, monthrange(year, month)[1]) if 1 <= year <= 9999 else (date.min if year < 1 else date.max)
+        return begin, end
 
     def condition(self) -> Column:
         kept = year_month_number(F.col("annee"), F.col("mois")).between(self.ym_min, self.ym_max)
