@@ -182,6 +182,10 @@ def test_strings_between_white_space_give_the_text_s_ids():
     for _ in range(300):
         text = "".join(rng.choice(letters) for _ in range(rng.randrange(60)))
         assert ids(text).tolist() == brute.ids_of(tokenizer, text), repr(text)
+    words = ["Iİ", "ÉTÉ!!", "été", "a.b", "ab,", "AB***", "ſ", "\u212a", "ĳ", "ŉa", "1a", "a1.", "a\u0301b", "...", "it's", "it's."]
+    for _ in range(200):
+        text = " ".join(rng.choice(words) for _ in range(rng.randrange(9)))
+        assert ids(text).tolist() == brute.ids_of(tokenizer, text), repr(text)
 
 
 @pytest.mark.parametrize("seed", range(20))

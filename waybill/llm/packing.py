@@ -12,6 +12,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -26,48 +27,100 @@ LENGTH = 4096
 END = 1
 #: Pieces that are packed together. A group leaves about one bin that isn't full, and those are packed again.
 GROUP = 30_000
-#: Strings between white space whose ids a task keeps; they are forgotten together when there are more.
-KEPT = 200_000
+#: Strings between white space whose ids a Python worker keeps; they are forgotten together when there are more.
+KEPT = 1_000_000
+#: Marks that may follow a word. No apostrophe: the tokenizer has patterns that begin with it.
+MARKS = ".,;:!?*#%&$"
 _CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 class ChunkIds:
-    """Ids of a text by ``tokenizers``, found string by string between ASCII white space.
+    """Ids of a text by ``tokenizers``, found string by string between white space.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its strings in order, and frequent strings are looked up.
+    of its strings in order. Nor does it join letters and the marks after them, so new
+    strings are cut into a lower-case word and its marks. Words are given to the
+    tokenizer many at once; each ends with its one id of a word's end. If that doesn't
+    hold (letters that lower-casing takes apart), strings are given to it one by one.
     """
 
     def __init__(self, path: str, kept: int = KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.kept, self.known = Tokenizer.from_file(path), kept, {}
+        self.tokenizer, self.kept = Tokenizer.from_file(path), kept
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.last = np.array([END], "<u4").tobytes()
+
+    def chunks(self, text: str) -> list[str]:
+        # str.split also splits at four control characters that are no white space to the tokenizer.
+        return _CHUNK.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+
+    def _encoded(self, strings: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+        return [np.array(e.ids, "<u4") for e in found]
+
+    def _learn_words(self, words: list[str]) -> None:
+        for at in range(0, len(words), 256):
+            part = words[at : at + 256]
+            ids = self._encoded([" ".join(part)])[0]
+            stop = np.flatnonzero(self.ends[ids]) + 1
+            each = np.split(ids, stop[:-1]) if len(stop) == len(part) else self._encoded(part)
+            self.words.update(zip(part, (i.tobytes() for i in each), strict=True))
+
+    def learn(self, chunks: set[str]) -> None:
+        """Make ``chunks`` known; what was known is forgotten when it gets too much."""
+        fresh = chunks.difference(self.known)
+        if len(self.known) + len(fresh) > self.kept:
+            self.known, self.words, fresh = {}, {}, chunks
+        plain, odd = {}, []
+        for c in fresh:
+            word = c.rstrip(MARKS)
+            # Below this letter lower-casing gives one letter for one, whatever its neighbours.
+            if word.isalpha() and max(word) < "\u0130":
+                plain[c] = word.lower()
+            else:
+                odd.append(c)
+        marks = {c[len(w) :] for c, w in plain.items()}
+        odd += [m for m in marks if m not in self.known]
+        self._learn_words(list({w for w in plain.values() if w not in self.words}))
+        for at in range(0, len(odd), 4096):
+            part = odd[at : at + 4096]
+            self.known.update(zip(part, (i.tobytes() for i in self._encoded(part)), strict=True))
+        for c, w in plain.items():
+            self.known[c] = self.words[w] + self.known[c[len(w) :]]
+
+    def of(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text, ``END`` last."""
+        for at in range(0, len(texts), 64):
+            lists = [self.chunks(t) for t in texts[at : at + 64]]
+            self.learn(set().union(*lists))
+            get = self.known.__getitem__
+            for chunks in lists:
+                yield np.frombuffer(b"".join(map(get, chunks)) + self.last, "<u4")
 
     def __call__(self, text: str) -> np.ndarray:
-        chunks = _CHUNK.findall(text)
-        known = self.known
-        fresh = [c for c in dict.fromkeys(chunks) if c not in known]
-        if fresh:
-            if len(known) + len(fresh) > self.kept:
-                known = self.known = {}
-                fresh = list(dict.fromkeys(chunks))
-            for at in range(0, len(fresh), 4096):
-                part = fresh[at : at + 4096]
-                for c, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                    known[c] = np.array(e.ids, "<u4").tobytes()
-        return np.frombuffer(b"".join([*map(known.__getitem__, chunks), np.array([END], "<u4").tobytes()]), "<u4")
+        return next(self.of([text]))
+
+
+@lru_cache(maxsize=1)
+def _shared_ids(path: str) -> ChunkIds:
+    """One for each Python worker, which keeps what it knows from task to task."""
+    return ChunkIds(path)
 
 
 def _pieces(path: str, length: int):
     names = ["doc_id", "key", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = ChunkIds(path)
+        known = _shared_ids(path)
         for b in batches:
             row, piece, start, size, crc = [], [], [], [], []
-            for i, t in enumerate(b.column("text")):
-                ids = ids_of(t.as_py() or "")
+            for i, ids in enumerate(known.of([t or "" for t in b.column("text").to_pylist()])):
                 for k, s in enumerate(range(0, len(ids), length)):
                     part = ids[s : s + length]
                     row.append(i)
