@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from waybill.functions.numbers import grid_position, percent, zero_ratio
 from waybill.operators.quantiles import exact_quantiles
 from waybill.operators.running import running_totals
+from waybill.session import materialised
 
 SCORE_STEPS = 100_000
 
@@ -179,15 +180,27 @@ def _flag_columns() -> list[Column]:
 def threshold_top_share(
     df: DataFrame, score: str, label: str, share: float
 ) -> DataFrame:
-    """The score that flags the top ``share`` of rows, with the metrics at that score."""
-    cut = exact_quantiles(df, [], score, {"cut": 1.0 - share}, few_groups=True)
-    hit = F.col(score) >= cut.scalar()
+    """The score that flags the top ``share`` of rows, with the metrics at that score.
+
+    ``df`` is counted once by score; quantile and metrics come from those counts.
+    """
+    counted = df.groupBy(F.col(score).alias("score")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(label) == 1).alias("positive")
+    )
+    counted = materialised(counted)
+    cut = exact_quantiles(counted, [], "score", {"cut": 1.0 - share}, few_groups=True, weight="n")
+    hit = F.col("score") >= cut.scalar()
+
+    def total(name: str, when: Column | None = None) -> Column:
+        kept = F.col(name) if when is None else F.when(when, F.col(name))
+        return F.coalesce(F.sum(kept), F.lit(0))
+
     return (
-        df.agg(
-            F.count_if(hit).alias("n_flagged"),
-            F.count_if(hit & (F.col(label) == 1)).alias("true_positives"),
-            F.count(F.lit(1)).alias("__n"),
-            F.count_if(F.col(label) == 1).alias("__positive"),
+        counted.agg(
+            total("n", hit).alias("n_flagged"),
+            total("positive", hit).alias("true_positives"),
+            total("n").alias("__n"),
+            total("positive").alias("__positive"),
         )
         .select(F.round(cut.scalar(), 4).alias("threshold"), *_flag_columns())
     )

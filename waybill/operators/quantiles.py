@@ -26,17 +26,20 @@ def exact_quantiles(
     value: str,
     wanted: Mapping[str, float],
     few_groups: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per ``keys`` with a column per entry of ``wanted`` (name -> probability).
 
     NULL values and rows with a NULL key are ignored. ``few_groups`` declares that ``keys`` takes only a
     fixed handful of values (classes, feature names), so the list of selected
-    buckets, two per group and probability, may be broadcast.
+    buckets, two per group and probability, may be broadcast. ``weight`` names a column that
+    says how many times a row counts.
     """
     keys = list(keys)
-    values = df.select(*keys, F.col(value).cast("double").alias("__value")).dropna()
+    times = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    values = df.select(*keys, F.col(value).cast("double").alias("__value"), times.alias("__times")).dropna()
     bucketed = values.withColumn("__bucket", ordered_bucket(F.col("__value"), COARSE_BITS))
-    histogram = bucketed.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
+    histogram = bucketed.groupBy(*keys, "__bucket").agg(F.sum("__times").alias("__n"))
 
     group = Window.partitionBy(*keys)
     earlier = group.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -75,7 +78,7 @@ def exact_quantiles(
     counts = (
         bucketed.join(chosen, place, "left_semi")
         .groupBy(*place, "__value")
-        .agg(F.count(F.lit(1)).alias("__n"))
+        .agg(F.sum("__times").alias("__n"))
         .withColumn("__same", F.col("__n"))
     )
     ranked = running_totals(

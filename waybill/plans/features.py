@@ -19,6 +19,7 @@ from waybill.operators.asof import (
     leakage_violations,
 )
 from waybill.operators.quality import assert_no_forbidden, grain_report
+from waybill.plans.order_grain import basket_totals, order_baskets
 from waybill.session import materialised
 
 def history_measures(prefix: str = "") -> dict[str, Column]:
@@ -172,11 +173,16 @@ def product_features(items: DataFrame, products: DataFrame) -> DataFrame:
     Items are first reduced to (order, product) counts, which shrinks the join
     and takes the heat out of best-selling products.
     """
+    return basket_product_features(items.select("order_id", "product_id", F.lit(1).alias("n")), products)
+
+
+def basket_product_features(counts: DataFrame, products: DataFrame) -> DataFrame:
+    """``product_features`` from rows that stand for ``n`` items each."""
     volume = F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")
     attributes = products.select(
         "product_id", "product_weight_g", volume.alias("volume"), "product_category_name"
     )
-    per_product = items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("n"))
+    per_product = counts.groupBy("order_id", "product_id").agg(F.sum("n").alias("n"))
     per_category = (
         per_product.join(attributes, "product_id")
         .groupBy("order_id", "product_category_name")
@@ -230,15 +236,18 @@ def seller_distance_max(pairs: DataFrame) -> DataFrame:
     )
 
 
-def feature_blocks(w) -> dict[str, DataFrame]:
-    """The six blocks of a ``Warehouse``, each at order grain."""
-    items = w.stg_order_items
+def feature_blocks(w, seller_rate=worst_seller_rate) -> dict[str, DataFrame]:
+    """The six blocks of a ``Warehouse``, each at order grain.
+
+    Items are reduced to (order, seller, product) and written once; four blocks start from that.
+    """
+    items = materialised(order_baskets(w.stg_order_items))
     return {
-        "seller_late_rate": worst_seller_rate(smoothed_rates(w.stg_orders, items)),
+        "seller_late_rate": seller_rate(smoothed_rates(w.stg_orders, items)),
         "temporal": temporal_features(w.stg_orders),
-        "items": item_measures(w.int_order_items),
+        "items": item_measures(basket_totals(items)),
         "payments": payment_measures(w.int_order_payments),
-        "products": product_features(items, w.stg_products),
+        "products": basket_product_features(items, w.stg_products),
         "distance": seller_distance_max(
             seller_customer_pairs(
                 w.stg_orders, items, w.stg_customers, w.stg_sellers, w.int_geolocation
@@ -285,9 +294,7 @@ def checked(features: DataFrame, orders: DataFrame) -> DataFrame:
 
 def checked_features(w) -> DataFrame:
     """The feature table as a run uses it: written, one row per order, no leak."""
-    blocks = feature_blocks(w)
-    guarded = guarded_seller_rate(smoothed_rates(w.stg_orders, w.stg_order_items))
-    return checked(assemble(w.stg_orders, blocks | {"seller_late_rate": guarded}), w.stg_orders)
+    return checked(assemble(w.stg_orders, feature_blocks(w, guarded_seller_rate)), w.stg_orders)
 
 
 def feature_grain(w) -> DataFrame:
