@@ -132,3 +132,12 @@ def test_ablation_verdict(spark):
     )
     row = explain.ablation_verdict(table).first()
     assert row.pct_explained == pytest.approx(100 * 0.43 / 1.81) and row.is_specific
+
+
+def test_permutation_importance_finds_the_feature_that_matters(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, float(a), float(b), int(a + 0.1 * c > 0)) for i, (a, b, c) in enumerate(rng.standard_normal((300, 3)))]
+    df = spark.createDataFrame(rows, "order_id int, x double, z double, is_late int")
+    fitted = model.fit_logistic(df, ["x", "z"])
+    got = {r.feature: r.importance for r in explain.permutation_importance(fitted, df, ["x", "z"]).collect()}
+    assert got["x"] > 0.2 and abs(got["z"]) < 0.05

@@ -185,6 +185,18 @@ def model_comparison_shape(w):
     return scored.groupBy("model").agg(F.count(F.lit(1)).alias("n_orders"), inside)
 
 
+@query("two_model_importance")
+def two_model_importance(w):
+    """Mean contributions of the logistic model against permutation importance of the trees, on test rows."""
+    prepared, names = _prepared(w)
+    train, test = model.temporal_split(materialised(prepared), DEMO_CUTOFF)
+    linear = model.fit_logistic(train, names)
+    coefficients = dict(zip(names, (float(c) for c in linear.coefficients), strict=True))
+    trees = model.fit_boosted_trees(train, names, trees=20)
+    ranked = explain.permutation_importance(trees, test, names)
+    return explain.importance_compare(explain.mean_abs_contribution(test, coefficients), ranked, 15)
+
+
 # --- scores and drivers given probabilities and coefficients ----------------
 
 
@@ -420,28 +432,34 @@ def threshold_table(w):
     return evaluation.threshold_table(_test_scores(w))
 
 
-@query(
-    "threshold_top10pct",
-    f"""select round(threshold, 4) as threshold, {_GRID_SQL}
+_TOP_SHARE_SQL = f"""select round(threshold, 4) as threshold, {_GRID_SQL}
     from {_TEST_SCORES} s cross join (
         select quantile_cont(probability, 0.9) as threshold from {_TEST_SCORES} t) g
-    group by threshold""",
-)
-def threshold_top10pct(w):
-    return metrics.threshold_top_share(_test_scores(w), "probability", "is_late", 0.10)
-
-
-@query(
-    "threshold_min_precision",
-    f"""select * exclude (exact) from (
+    group by threshold"""
+_MIN_PRECISION_SQL = f"""select * exclude (exact) from (
         select threshold, {_GRID_SQL},
             count(*) filter (where probability >= threshold and is_late = 1)
                 / nullif(count(*) filter (where probability >= threshold), 0) as exact
         from {_TEST_SCORES} s cross join (
             select (i / 100)::double as threshold from (select unnest(range(1, 100)) as i)) g
         group by threshold)
-    where exact >= 0.20 order by threshold limit 1""",
+    where exact >= 0.20 order by threshold limit 1"""
+
+
+@query("threshold_top10pct", _TOP_SHARE_SQL)
+def threshold_top10pct(w):
+    return metrics.threshold_top_share(_test_scores(w), "probability", "is_late", 0.10)
+
+
+@query(
+    "defensible_thresholds",
+    f"select *, 'top_share' as rule from ({_TOP_SHARE_SQL}) union all select *, 'min_precision' from ({_MIN_PRECISION_SQL})",
 )
+def defensible_thresholds(w):
+    return evaluation.defensible_thresholds(_test_scores(w))
+
+
+@query("threshold_min_precision", _MIN_PRECISION_SQL)
 def threshold_min_precision(w):
     return metrics.threshold_min_precision(_test_scores(w), "probability", "is_late", 0.20)
 

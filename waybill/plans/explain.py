@@ -7,12 +7,15 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill import fixed_values as fixed
 from waybill.operators.metrics import average_precision
+from waybill.operators.picking import seeded_draw
 from waybill.plans import model
+from waybill.session import materialised
 
 
 def coefficient_table(spark, coefficients: Mapping[str, float], n: int) -> DataFrame:
@@ -76,6 +79,38 @@ def stationarity(run, cutoff: str) -> DataFrame:
     return train.agg(F.array(*rows).alias("__rows")).select(F.inline("__rows"))
 
 
+def permutation_importance(
+    fitted, rows: DataFrame, names: Sequence[str], key: str = "order_id", label: str = "is_late", seed: int = 42
+) -> DataFrame:
+    """(feature, importance): how much average precision is lost when a feature's values are permuted.
+
+    One job for all features. Rows are dealt by hash into buckets of about a thousand; each
+    takes the value of the next row in its bucket's drawn order, the last one that of the
+    first, so every column is permuted and no row is looked up elsewhere.
+    """
+    buckets = max(1, rows.count() // 1000)
+    order = Window.partitionBy("__bucket").orderBy("__draw", key)
+    values = F.array(*[F.col(n).cast("double") for n in names])
+    drawn = rows.select(
+        key, label, values.alias("__own"), seeded_draw([key], seed).alias("__draw"), F.pmod(F.xxhash64(key), F.lit(buckets)).alias("__bucket")
+    )
+    given = F.coalesce(
+        F.lead("__own").over(order),
+        F.first("__own").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+    )
+    which = F.explode(F.sequence(F.lit(-1), F.lit(len(names) - 1))).alias("__changed")
+    variants = drawn.withColumn("__other", given).select(label, "__own", "__other", which)
+    mixed = F.transform("__own", lambda v, i: F.when(i == F.col("__changed"), F.get(F.col("__other"), i)).otherwise(v))
+    scored = fitted.transform(variants.select(label, "__changed", array_to_vector(mixed).alias("features")))
+    scored = scored.select(label, "__changed", vector_to_array("probability")[1].alias("probability"))
+    found = materialised(average_precision(scored, ["__changed"], "probability", label))
+    whole = found.filter("__changed = -1").select("average_precision").scalar()
+    feature = F.get(F.array(*[F.lit(n) for n in names]), F.col("__changed"))
+    return found.filter("__changed >= 0").select(
+        feature.alias("feature"), (whole - F.col("average_precision")).alias("importance")
+    )
+
+
 def importance_ranks(left: DataFrame, right: DataFrame) -> DataFrame:
     """Both importances per feature with competition and average ranks.
 
