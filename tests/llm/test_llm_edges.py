@@ -3,6 +3,7 @@
 import os
 import random
 import sys
+from collections import Counter
 from datetime import date
 
 import numpy as np
@@ -29,6 +30,7 @@ from waybill.llm import (  # noqa: E402
 )
 from waybill.llm.components import components  # noqa: E402
 from waybill.llm.queries import tokenizer_path  # noqa: E402
+from waybill.session import materialised  # noqa: E402
 
 CLASH = "key row id text_key score turn root spans version copies n_tokens component_id bucket start kept l_id".split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -437,10 +439,21 @@ def test_pipeline_stages_follow_each_other(spark, tmp_path):
     model = quality_model.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
     texts = {r.doc_id: r.text for r in docs.collect()}
     assert kept == {i for i, t in texts.items() if model.scores(quality_model.features(t)[None])[0] >= 0.7}
-    one = {r.doc_id for r in corpus_pipeline.near_dedup(spark, good, folder).collect()}
+    single = materialised(corpus_pipeline.near_dedup(spark, good, folder))
+    one = {r.doc_id for r in single.collect()}
     assert one == {c for _, c in brute.simhash([(i, texts[i]) for i in kept]).values()}
-    rest = docs.where(F.col("doc_id").isin(sorted(one)))
-    masked = {r.doc_id: r.text for r in corpus_pipeline.mask_secrets(spark, rest, folder).collect()}
-    assert {i for i in one if masked[i] != texts[i]} == {i for i in one if brute.base_spans(texts[i])}
-    mixed = [r.doc_id for r in corpus_pipeline.mix(spark, rest, folder).collect()]
-    assert set(mixed) <= one and max(map(mixed.count, set(mixed))) <= 5
+    masked = materialised(corpus_pipeline.mask_secrets(spark, single, folder))
+    new = {r.doc_id: r.text for r in masked.collect()}
+    assert {i for i in one if new[i] != texts[i]} == {i for i in one if brute.base_spans(texts[i])}
+    mixed = [(r.doc_id, r.text) for r in corpus_pipeline.mix(spark, masked, folder).collect()]
+    assert {i for i, _ in mixed} <= one and max(Counter(mixed).values()) <= 5
+    tokens = {i: len(brute.WORD.findall(t)) for i, t in new.items()}
+    assert 0.8 * sum(tokens.values()) <= sum(tokens[i] for i, _ in mixed) + 1
+
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    want = Counter((*k, *v) for i, t in mixed for k, v in brute.piece_rows(tokenizer, i, t).items())
+    got = corpus_pipeline.run(spark, folder).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    assert len({r.sequence_id for r in got}) <= -(-sum(r.length for r in got) // 4096) + 1
