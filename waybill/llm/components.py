@@ -41,7 +41,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     neighbours onto the smallest of them, until every node hangs on its root. A step is
     one aggregation and one join over links; its result is written, so nothing grows with
     the number of rounds, and the driver sees only two sums per round. A node with a third
-    of all links is pre-aggregated for its minimum and split as a skewed join.
+    of all links is pre-aggregated for its minimum; minima are written, so that its join
+    is of two plain shuffles, which adaptive execution can split.
     """
     now = materialised(
         links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -49,10 +50,10 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     state = None
     for _ in range(most_rounds):
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        least = materialised(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         large = materialised(large)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = materialised(large.groupBy("a").agg(F.min("b").alias("m")))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("x"))
         now = materialised(small.select("x.a", F.col("x.m").alias("b")).where("a <> b").distinct())
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

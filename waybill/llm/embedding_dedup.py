@@ -239,7 +239,9 @@ def embedding_dedup(
     roots = components(found.select("a", "b"))
     named = classes.join(counts, classes["cls"] == counts["a"], "left").join(roots, classes["cls"] == roots["node"], "left")
     named = named.select("cls", "least", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("root", "cls").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = materialised(named)
+    # Written as well: a component with a third of all vectors is then a join that can be split.
+    least = materialised(named.groupBy("root").agg(F.min("least").alias("component_id")))
     named = named.join(least, "root").select("cls", "n_links", "component_id")
     out = units.withColumn("u_cls", F.when(F.col("unit").isNotNull(), F.xxhash64("unit", "width"))).drop("unit")
     out = out.join(named, out["u_cls"] == named["cls"], "left")

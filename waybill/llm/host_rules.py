@@ -117,7 +117,7 @@ def host_rules(
     """
     limits = LIMITS if limits is None else limits
     rows = materialised(measured(docs, id_col, text_col, host_col))
-    hosts = host_rates(rows, list(limits))
+    hosts = materialised(host_rates(rows, list(limits)))
     failed = F.lit(False)
     for rule, limit in limits.items():
         failed = failed | (F.col(f"{rule}_rate") > limit)

@@ -173,7 +173,9 @@ def clustered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(fingerprint_links(classes.select("fp"), radius))
     named = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = materialised(named)
+    # Written as well: a component with a third of all fingerprints is then a join that can be split.
+    smallest = materialised(named.groupBy("root").agg(F.min("least").alias("component_id")))
     return prints.join(named.join(smallest, "root").select("fp", "root", "component_id"), "fp").select(
         "doc_id", "key", "fp", "root", "component_id"
     )

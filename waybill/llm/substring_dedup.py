@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.shared import text_key
+from waybill.session import materialised
 
 WINDOW = 20
 ROUNDS = 2
@@ -326,7 +327,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return left.join(side, same, how).select(*ids, "text", *columns)
 
     whole = rows.select(*ids, F.md5("text").alias("digest"))
-    least = whole.groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNotNull(), *ids)).alias("first"))
+    least = whole.groupBy("digest").agg(
+        F.min(F.struct(F.col("doc_id").isNotNull(), *ids)).alias("first"), F.count(F.lit(1)).alias("n")
+    )
+    # Written, so that the join is of two plain shuffles and a hot group of copies can be split.
+    least = materialised(least.where("n > 1").select("digest", "first"))
     place = F.struct(F.col("doc_id").isNotNull(), *ids)
     copies = whole.join(least, "digest").where(place != F.col("first")).select(*ids).distinct()
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.shared import let
+from waybill.session import materialised
 
 
 def host_of(url: Column) -> Column:
@@ -71,13 +72,14 @@ def url_filter(
     )
     visits = rows.where(F.col("host").isNotNull() & F.col("fetched_on").isNotNull()).select("host", "fetched_on").distinct()
     asked = visits.select("host", "fetched_on", F.explode(keys_of(F.col("host"))).alias("k")).select("host", "fetched_on", "k.*")
-    joined = asked.join(intervals(entries), "key")
+    # Both small sides are written: a hot domain or host is then a join that can be split.
+    joined = asked.join(materialised(intervals(entries)), "key")
     in_force = F.filter(
         "log", lambda x: (x["since"] <= F.col("fetched_on")) & F.coalesce(F.col("fetched_on") < x["until"], F.lit(True))
     )
     active = joined.select("host", "fetched_on", "key", "labels", F.get(in_force, F.lit(0))["action"].alias("action"))
     best = active.where(F.col("action") != "remove").groupBy("host", "fetched_on").agg(F.max(F.struct("labels", "key", "action")).alias("b"))
-    best = best.select("host", "fetched_on", F.col("b.key").alias("rule"), F.col("b.action").alias("action"))
+    best = materialised(best.select("host", "fetched_on", F.col("b.key").alias("rule"), F.col("b.action").alias("action")))
     return rows.join(best, ["host", "fetched_on"], "left").select(
         "page_id", "url", "fetched_on", "host", "rule", "action", (F.coalesce("action", F.lit("")) != "block").alias("kept")
     )
