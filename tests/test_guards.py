@@ -9,7 +9,7 @@ from waybill import fixed_values as fixed
 from waybill.catalog.registry import open_warehouse
 from waybill.functions import labels
 from waybill.operators import metrics, picking
-from waybill.plans import exports, features, reports
+from waybill.plans import exports, features, profile, reports
 from waybill.session import materialised, shared_folder, written_tables
 from waybill.sources import csv_tables
 
@@ -112,6 +112,12 @@ def test_dominant_category_ignores_the_last_bits_of_a_sum(spark):
     assert picking.dominant_category(df, "o", "k", "v", "x").first().x == "a"
 
 
+def test_rows_without_a_class_are_a_class(spark):
+    df = spark.createDataFrame([(1, 2.0), (1, 4.0), (None, 7.0), (None, 9.0)], "is_late int, v double")
+    assert {(r.is_late, r.median) for r in profile.median_by_class(df, ["v"]).collect()} == {(1, 3.0), (None, 8.0)}
+    assert {(r.is_late, r.q50) for r in profile.boxplot_stats(df, "v").collect()} == {(1, 3.0), (None, 8.0)}
+
+
 def test_a_csv_table_may_be_a_folder_of_files(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"part{i}.csv").write_text(f'a,b\n{i},"line\nbreak ""{i}"""\n', encoding="utf-8")

@@ -112,26 +112,39 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return simple.join(quartiles, "column_name", "left")
 
 
+def _class_group(label: str) -> Column:
+    """A key that is never NULL, so rows without a class are a group like any other."""
+    return F.struct(
+        F.col(label).isNull().alias("none"), F.coalesce(F.col(label).cast("string"), F.lit("")).alias("text")
+    )
+
+
 def median_by_class(df: DataFrame, columns: Sequence[str], label: str = "is_late") -> DataFrame:
-    """(measure, label, median) for several measures at once."""
+    """(measure, label, median) for several measures at once; rows without a class are one class."""
     pairs = F.array(
         *[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in columns]
     )
-    values = df.select(label, F.inline(pairs))
-    return exact_quantiles(values, ["measure", label], "value", {"median": 0.5}, few_groups=True)
+    values = df.select(_class_group(label).alias("__group"), F.inline(pairs))
+    medians = exact_quantiles(values, ["measure", "__group"], "value", {"median": 0.5}, few_groups=True)
+    back = F.when(~F.col("__group.none"), F.col("__group.text").cast(df.schema[label].dataType))
+    return medians.select("measure", back.alias(label), "median")
 
 
 def boxplot_stats(df: DataFrame, measure: str, label: str = "is_late") -> DataFrame:
-    """Quartiles per class, the outermost values within 1.5 box heights, and outlier counts."""
-    values = df.select(label, F.col(measure).cast("double").alias("value")).filter("value is not null")
+    """Quartiles per class, the outermost values within 1.5 box heights, and outlier counts.
+
+    Rows without a class are one class.
+    """
+    values = df.select(label, _class_group(label).alias("__group"), F.col(measure).cast("double").alias("value"))
+    values = values.filter("value is not null")
     boxes = exact_quantiles(
-        values, [label], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, few_groups=True
+        values, ["__group"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, few_groups=True
     )
     low = F.col("q25") - 1.5 * (F.col("q75") - F.col("q25"))
     high = F.col("q75") + 1.5 * (F.col("q75") - F.col("q25"))
     inside = F.col("value").between(low, high)
     return (
-        values.join(F.broadcast(boxes), label)
+        values.join(F.broadcast(boxes), "__group")
         .groupBy(label, "q25", "q50", "q75")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
