@@ -122,6 +122,19 @@ def test_substring_dedup_of_periodic_and_shared_passages(spark, seed):
     assert got == brute.substring(made)
 
 
+def test_rows_that_repeat_id_and_text_keep_what_occurs_nowhere_else(spark):
+    rng = random.Random(6)
+    alone, shared, nameless = words(rng, 50, 9_000), words(rng, 30, 9_000), words(rng, 40, 9_000)
+    made = [(3, " ".join(alone + shared + words(rng, 5))), (5, " ".join(alone[:10] + shared + alone[:30])), (None, " ".join(nameless + nameless))]
+    rows = made + made + made[:1] + [(8, "x " * 60), (9, "")]
+    plain = brute.substring([(-1 if i is None else i, t) for i, t in dict.fromkeys(rows)])
+    for parts in (1, 5):  # repeats in one task, and in several
+        got = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)).collect()
+        want = sorted((i or -1, *plain[i or -1]) for i, _ in rows)
+        assert sorted((r.doc_id or -1, r.n_words, r.n_removed, r.kept_sha256) for r in got) == want
+    assert plain[3][1] == 0
+
+
 def test_substring_dedup_wants_room_for_its_anchors(docs):
     with pytest.raises(ValueError):
         substring_dedup.substring_dedup(docs, window=10)

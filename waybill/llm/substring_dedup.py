@@ -18,6 +18,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -312,7 +313,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of their stretch (all windows they speak for) meet by anchor; a stretch that has
     occurred before is settled, an anchor with one stretch only is done, and the first
     of each of several stretches is opened: only its windows are compared one by one.
-    Texts are shuffled once: all joins below use the same exchange.
+    Texts are shuffled once: all joins below use the same exchange. Of repeated rows one
+    goes through these stages, and what is found goes to all of them.
     """
     if not BEFORE + AFTER < window <= 200:
         raise ValueError(f"window must be within {BEFORE + AFTER + 1} and 200")
@@ -335,7 +337,16 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     place = F.struct(F.col("doc_id").isNotNull(), *ids)
     copies = whole.join(least, "digest").where(place != F.col("first")).select(*ids).distinct()
 
-    anchors = on_ids(copies, "left_anti").mapInArrow(_anchors(window), sent)
+    # Rows that repeat an id and its text speak once: else each would be the other's earlier copy.
+    parts = [rows]
+    repeats = materialised(rows.groupBy(*ids).count().where("count > 1").select(*ids))
+    if not repeats.isEmpty():
+        parts = [on_ids(repeats, "left_anti"), on_ids(repeats, "left_semi").dropDuplicates(ids)]
+
+    def once(side: DataFrame, how: str, *columns: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, [on_ids(side, how, *columns, left=p) for p in parts])
+
+    anchors = once(copies, "left_anti").mapInArrow(_anchors(window), sent)
     stretch = Window.partitionBy("route", "rest", "settled").orderBy(*ids, "place")
     route = Window.partitionBy("route")
     met = anchors.withColumns(
@@ -348,7 +359,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.collect_list(F.when(F.col("settled"), F.col("place"))).alias("settled"),
         F.collect_list(F.when(~F.col("settled"), F.col("place"))).alias("open"),
     )
-    opened = on_ids(places, "left", "open").where(F.size("open") > 0)
+    opened = once(places, "left", "open").where(F.size("open") > 0)
     turn = Window.partitionBy("route", "rest", "settled").orderBy(*ids, "place")
     found = opened.mapInArrow(_windows(window), sent).withColumn("turn", F.row_number().over(turn)).where("settled or turn > 1")
     starts = found.groupBy(*ids).agg(F.collect_list("place").alias("starts"))
