@@ -188,6 +188,14 @@ def test_packing(spark, docs, rows, nothing):
         ends[r.sequence_id] = r.offset + r.length
 
 
+def test_rows_alike_are_dealt_over_all_groups(spark):
+    df = spark.createDataFrame([(None, "")] * 600 + [(7, "word")] * 600, "doc_id long, text string").repartition(3)
+    got = packing.pack(df, tokenizer_path(), length=8, group=60).collect()
+    assert len(got) == 1200
+    sizes = Counter((r.sequence_id >> 58, r.sequence_id >> 26 & (1 << 32) - 1) for r in got)
+    assert len(sizes) >= 20 and max(sizes.values()) < 150
+
+
 def test_strings_between_white_space_give_the_text_s_ids():
     from tokenizers import Tokenizer
 

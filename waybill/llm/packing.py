@@ -205,7 +205,7 @@ def packed_bins(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray,
 
 def _packed(length: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "doc_id", "key", "piece"], ascending=False, kind="stable")
+        group = group.sort_values(["length", "doc_id", "key", "piece", "number"], ascending=False, kind="stable")
         bins, offset, full = packed_bins(group["length"].to_numpy(), length)
         return group.assign(bin=bins, offset=offset, full=full[bins])
 
@@ -214,10 +214,10 @@ def _packed(length: int):
 
 def _round(rows: DataFrame, number: int, n: int, group: int, length: int) -> DataFrame:
     """Pack ``rows`` in groups of about ``group`` pieces; adds sequence_id, offset, full."""
-    names = ["doc_id", "key", "piece", "start", "length", "ids_crc32"]
+    names = ["doc_id", "key", "piece", "number", "start", "length", "ids_crc32"]
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*names).schema)
     groups = max(1, -(-n // group))
-    placed = F.pmod(F.xxhash64("doc_id", "key", "piece", F.lit(number)), F.lit(groups))
+    placed = F.pmod(F.xxhash64("number", F.lit(number)), F.lit(groups))
     out = rows.select(*names, placed.alias("grp")).groupBy("grp").applyInPandas(_packed(length), f"{kinds}, grp long, bin long, offset long, full long")
     sequence = (F.lit(number) * F.lit(1 << 58)) + F.col("grp") * F.lit(1 << 26) + F.col("bin")
     return out.select(*names, sequence.alias("sequence_id"), "offset", "full")
@@ -231,11 +231,13 @@ def pack(
     A null text is empty: its only id is ``END``. Repeated rows are packed as often as they
     occur; other columns are ignored; an empty table gives an empty result.
 
-    Pieces (no texts, no ids) are dealt by hash into groups of about ``group``, whatever
-    their lengths or sources, so no group is hot. Bins that aren't full are opened again
-    and their pieces packed in a second round over all groups.
+    Pieces (no texts, no ids) are numbered when they are written and dealt by the hash of
+    their number into groups of about ``group``, whatever their ids, lengths or sources, so
+    no group is hot, not even of repeated rows. Bins that aren't full are opened again and
+    their pieces packed in a second round over all groups.
     """
-    cut = materialised(pieces(docs, path, id_col, text_col, length))
+    numbered = pieces(docs, path, id_col, text_col, length).withColumn("number", F.monotonically_increasing_id())
+    cut = materialised(numbered)
     first = materialised(_round(cut, 0, cut.count(), group, length))
     again = first.where(F.col("full") < length)
     second = _round(again, 1, again.count(), group, length)
