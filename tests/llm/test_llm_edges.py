@@ -163,6 +163,19 @@ def test_quality(spark, docs, rows, nothing):
     assert quality_model.accepted(docs, quality_model.fit(docs, labels.limit(0))).columns == docs.columns
 
 
+def test_repeated_labelled_rows_count_once_and_texts_of_one_id_stay_within_rows(spark, monkeypatch):
+    rng, seen = random.Random(8), []
+    one = [(i, " ".join(words(rng, 5 + i))) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 3 % 2) for i in range(40)], "doc_id long, quality int")
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    plain = quality_model.fit(frame(one), labels)
+    again = quality_model.fit(frame(one + one[:1] * 300 + one[4:5] * 50), labels)
+    assert (again.weights == plain.weights).all() and again.cut == plain.cut
+    monkeypatch.setattr(quality_model, "fitted", lambda x, y: seen.append(len(y)))
+    quality_model.fit(frame(one + [(4, f"text {k}") for k in range(200)]), labels, rows=20)
+    assert seen == [20]
+
+
 def test_pairwise_fit_orders_by_the_signal():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((400, len(quality_model.features(""))))
