@@ -9,8 +9,9 @@ Equal passages are parsed alike away from their ends. For every name the words t
 making has looked at are carried along; where they lie within a window, every copy of
 the window holds the same name at the same place. Each window of words elects one of its
 names as anchor: the highest level first, then the smallest hash. An anchor that occurs
-once in the corpus proves all its windows unique. Windows of shared anchors are verified
-by 128 bits over all their words: stretches of them at once where those are equal.
+once in the corpus proves all its windows unique. Names do no more than that: repeats are
+found by hashes of words. Single windows have 128 bits over all their words; stretches of
+windows, compared at once, have 64 over all words and 64 over those round the anchor.
 """
 
 from __future__ import annotations
