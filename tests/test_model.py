@@ -141,3 +141,27 @@ def test_permutation_importance_finds_the_feature_that_matters(spark):
     fitted = model.fit_logistic(df, ["x", "z"])
     got = {r.feature: r.importance for r in explain.permutation_importance(fitted, df, ["x", "z"]).collect()}
     assert got["x"] > 0.2 and abs(got["z"]) < 0.05
+
+
+def test_two_model_importance_ranks_the_reported_trees(monkeypatch):
+    import inspect
+    from types import SimpleNamespace
+
+    from waybill.catalog import model_queries
+
+    wanted, seen = inspect.signature(model.fit_boosted_trees), {}
+
+    def fitted(*args, **options):
+        call = wanted.bind(*args, **options)
+        call.apply_defaults()
+        seen.update(call.arguments)
+
+    monkeypatch.setattr(model_queries, "_prepared", lambda w: (None, []))
+    monkeypatch.setattr(model_queries, "materialised", lambda df: df)
+    monkeypatch.setattr(model, "temporal_split", lambda df, cutoff: (None, None))
+    monkeypatch.setattr(model, "fit_logistic", lambda train, names: SimpleNamespace(coefficients=[]))
+    monkeypatch.setattr(model, "fit_boosted_trees", fitted)
+    for name in ("permutation_importance", "mean_abs_contribution", "importance_compare"):
+        monkeypatch.setattr(model_queries.explain, name, lambda *args: None)
+    model_queries.two_model_importance(None)
+    assert (seen["trees"], seen["depth"]) == (100, 4)

@@ -192,7 +192,7 @@ def two_model_importance(w):
     train, test = model.temporal_split(materialised(prepared), DEMO_CUTOFF)
     linear = model.fit_logistic(train, names)
     coefficients = dict(zip(names, (float(c) for c in linear.coefficients), strict=True))
-    trees = model.fit_boosted_trees(train, names, trees=20)
+    trees = model.fit_boosted_trees(train, names)
     ranked = explain.permutation_importance(trees, test, names)
     return explain.importance_compare(explain.mean_abs_contribution(test, coefficients), ranked, 15)
 
