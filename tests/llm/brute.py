@@ -127,3 +127,35 @@ def chats(rows):
         if not longer and not earlier:
             kept[c] = len(turns)
     return kept
+
+
+def collocations(rows, longest=3, least=10, top=2000):
+    """{(lang, rank): (phrase, a, l, r, n, score)} of (text, lang) rows."""
+    counts, n = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in range(1, longest + 1):
+                counts.update((lang, tuple(w[i : i + k])) for i in range(len(w) - k + 1))
+    candidates = {p: a for p, a in counts.items() if len(p[1]) > 1 and a >= least}
+    found = defaultdict(list)
+    for (lang, p), a in candidates.items():
+        cuts = []
+        for k in range(1, len(p)):
+            left, right = counts[lang, p[:k]], counts[lang, p[k:]]
+            cuts.append((1_000_000 * a * a // (left * right), k, left, right))
+        inside = any(
+            lang == other and len(q) > len(p) and 100 * b >= 50 * a and any(q[i : i + len(p)] == p for i in range(len(q)))
+            for (other, q), b in candidates.items()
+        )
+        if not inside:
+            score, _, left, right = min(cuts)
+            found[lang].append((-score, -a, " ".join(p).encode(), left, right))
+    out = {}
+    for lang, xs in found.items():
+        for rank, (score, a, p, left, right) in enumerate(sorted(xs)[:top], 1):
+            out[lang, rank] = (p.decode(), -a, left, right, n[lang], -score)
+    return out

@@ -141,3 +141,48 @@ select conv_id, len(t) as n_turns, n_copies,
   array_to_string(list_transform(t, lambda p: '<|im_start|>' || p.role || chr(10) || p.text || '<|im_end|>' || chr(10)), '') as text
 from whole where t not in (select t from prefixes)
 """
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op11_lexical_search"] = rf"""
+with docs as (
+  select row_number() over () as r, doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t from documents),
+asked as (
+  select distinct item_id, unnest(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+corpus as (select count(*) filter (len(t) > 0) as big_n, coalesce(sum(len(t)), 0)::bigint as big_l from docs),
+lengths as (select r, doc_id, 100 - 90 + (90 * len(t) * big_n) // greatest(big_l, 1) as m from docs, corpus),
+tf as (select r, term, count(*) as tf from (select r, unnest(t) as term from docs) group by all),
+df as (select term, count(*) as df from tf group by all),
+w as (select term, floor(1000 * ln((2 * big_n + 2)::double / (2 * df + 1)::double))::bigint as w from df, corpus),
+scores as (
+  select item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::bigint as score
+  from asked join w using (term) join tf using (term) join lengths using (r) group by all),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+  from scores join lengths using (r) where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 10
+"""
+
+SQL["op12_collocations"] = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex({_LOWERED}, '[.,;:!?\x0A-\x0D]')) as piece from documents),
+lists as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+  select lang, k, w[i:i + k - 1] as p from (select lang, w, unnest(range(1, len(w) + 1)) as i from lists), (select unnest([1, 2, 3]) as k)
+  where i + k - 1 <= len(w)),
+f as (select lang, p, k, count(*) as a from grams group by all),
+totals as (select lang, sum(a)::bigint as n from f where k = 1 group by all),
+candidates as (select * from f where k > 1 and a >= 10),
+cuts as (
+  select c.lang, c.p, c.a, cut, l.a as l, r.a as r, ((1000000::hugeint * c.a * c.a) // (l.a::hugeint * r.a))::bigint as score
+  from (select *, unnest(range(1, k)) as cut from candidates) c
+  join f l on l.lang = c.lang and l.p = c.p[1:cut] join f r on r.lang = c.lang and r.p = c.p[cut + 1:]),
+weakest as (select lang, p, a, min((score, cut, l, r)) as m from cuts group by all),
+inside as (
+  select lang, p, max(a) as longer from (select lang, unnest([p[1:2], p[2:3]]) as p, a from candidates where k = 3) group by all),
+ranked as (
+  select lang, array_to_string(p, ' ') as phrase, weakest.a, m[3] as l, m[4] as r, m[1] as score
+  from weakest left join inside using (lang, p) where longer is null or 100 * longer < 50 * weakest.a),
+placed as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from ranked)
+select lang, rank, phrase, a, l, r, n, score from placed join totals using (lang) where rank <= 2000
+"""

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 
 from waybill.llm import (
     chat_format,
+    collocations,
     embedding_dedup,
     host_rules,
+    html_text,
+    lexical_search,
     mixing,
     packing,
     quality_model,
@@ -133,6 +136,21 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.chat_format(table(spark, folder, "conversations"))
 
 
+@query("op11_lexical_search")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.lexical_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op12_collocations")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query("op13_html_text")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.html_text(table(spark, folder, "pages"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
