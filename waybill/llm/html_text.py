@@ -22,7 +22,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 #: Never text, or never an article's.
 DROPPED = set(
     "head script style noscript template iframe object svg math canvas audio video select option textarea button "
-    "nav footer aside form dialog menu".split()
+    "nav footer aside dialog menu".split()
 )
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose text is a block of its own.
@@ -49,6 +49,8 @@ BARRED = set(
     "comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations "
     "widget widgets toolbar copyright legal disclaimer skip hidden".split()
 )
+#: A tag that the page ends in.
+UNENDED = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
@@ -63,7 +65,7 @@ LINKED = 0.25
 class Node:
     __slots__ = ("tag", "parent", "children", "barred", "names", "points", "chars", "linked")
 
-    def __init__(self, tag: str, parent: Node | None, barred: bool = False, names: bool = False) -> None:
+    def __init__(self, tag: str, parent: Node | None, barred: bool = False, names: set[str] = frozenset()) -> None:
         self.tag, self.parent, self.barred, self.names = tag, parent, barred, names
         self.children: list[Node | str] = []
         self.points, self.chars, self.linked = 0.0, 0, 0
@@ -127,14 +129,14 @@ def _unseen(named: dict[str, str | None]) -> bool:
     )
 
 
-def _barred_by_name(tag: str, named: dict[str, str | None]) -> bool:
-    """Class or id names a part that is no article. An article is barred by a whole name only."""
+def _barred_by_name(tag: str, named: dict[str, str | None]) -> set[str]:
+    """Words of class and id that name a part that is no article. An article is barred by a whole name only."""
     if tag in ("html", "body"):
-        return False
+        return set()
     names = f"{named.get('class') or ''} {named.get('id') or ''}"
-    if tag in ARTICLE:
-        return not BARRED.isdisjoint(names.lower().split())
-    return not BARRED.isdisjoint(w.lower() for w in WORDS.findall(names))
+    words = names.lower().split() if tag in ARTICLE else (w.lower() for w in WORDS.findall(names))
+    # A form is no text, but pages may stand in one as a whole.
+    return BARRED.intersection(words) | ({tag} if tag in ("header", "form") else set())
 
 
 def _ordered(root: Node) -> list[Node]:
@@ -148,7 +150,7 @@ def _ordered(root: Node) -> list[Node]:
 
 
 def _bar(root: Node) -> None:
-    """Decide on elements barred by name and on headers: what holds the article is kept."""
+    """Decide on elements barred by name, headers and forms: what holds the article is kept."""
     order = _ordered(root)
     holds: set[int] = set()
     for node in reversed(order):
@@ -157,11 +159,10 @@ def _bar(root: Node) -> None:
         if id(node) in holds and node.parent is not None:
             holds.add(id(node.parent))
     for node in order:
-        header = node.tag == "header"
-        if (node.names or header) and id(node) not in holds:
+        if node.names and id(node) not in holds:
             node.barred = True
             # The heading of an article may stand in a header of its own; the rest of that is no text.
-            if header and _inside(node, ARTICLE):
+            if node.names == {"header"} and _inside(node, ARTICLE):
                 node.barred, node.children = False, [n for n in _ordered(node) if n.tag in HEADINGS]
 
 
@@ -188,7 +189,8 @@ def _scored(root: Node) -> list[Node]:
         text = _own_text(node) if node.tag in BLOCKS else ""
         if len(text) < LEAST_CHARS:
             continue
-        points = 1 + text.count(",") + text.count("、") + text.count("，") + min(len(text) // CHARS_A_POINT, 3)
+        points = 1.0 + text.count(",") + text.count("、") + text.count("，") + min(len(text) // CHARS_A_POINT, 3)
+        points *= 1 - _density(node)
         above, share = node.parent, 1.0
         if node.tag not in ("p", "pre", "td", "blockquote"):
             node.points += points
@@ -288,7 +290,7 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     tree = _Tree()
-    tree.feed(html)
+    tree.feed(UNENDED.sub("", html))
     tree.close()
     _bar(tree.root)
     return "\n\n".join(_blocks(_kept(tree.root)))
