@@ -36,6 +36,8 @@ SLICE = 1 << 22
 MANY = 1000
 SPLIT = 64
 SAMPLE = 1 / 64
+#: Windows of the sample from which on a start may be worth splitting.
+HOT_ROWS = 100
 
 
 class _Numbers(dict):
@@ -143,13 +145,13 @@ def lead_windows(docs: DataFrame, text_col: str, lang_col: str, longest: int, ch
 
 
 def _hot_starts(docs: DataFrame, text_col: str, lang_col: str, longest: int, chunk: int) -> list[tuple[str, str]]:
-    """(lang, start) with one in ``MANY`` or more of the windows of a sample: ``MANY`` at most.
+    """The (lang, start) with most of a sample's windows, ``MANY`` of them at most.
 
     They only decide how rows are dealt out; any answer gives the same counts.
     """
     some = lead_windows(docs.sample(SAMPLE, 17), text_col, lang_col, longest, chunk)
     some = some.groupBy("lang", "start").agg(F.count(F.lit(1)).alias("rows"))
-    return [(r["lang"], r["start"]) for r in some.orderBy(F.desc("rows")).limit(MANY).where(F.col("rows") >= 100).collect()]
+    return [(r["lang"], r["start"]) for r in some.orderBy(F.desc("rows")).limit(MANY).where(F.col("rows") >= HOT_ROWS).collect()]
 
 
 def _changes(column: pa.Array) -> np.ndarray:
@@ -271,7 +273,11 @@ def collocations(
     inside = candidates.where("words > 2").select("lang", F.explode(spans).alias("phrase"), F.col("a").alias("longer"))
     inside = inside.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     left = weakest.join(inside, ["lang", "phrase"], "left").where("longer is null or 100 * longer < 50 * a")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = left.select("lang", "phrase", "a", "m.l", "m.r", "m.score").withColumn("rank", F.row_number().over(order).cast("long"))
+    # The first of each part of a language come first, so that no language is put in order in one task.
+    best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    rows = left.select("lang", "phrase", "a", "m.l", "m.r", "m.score", F.pmod(F.xxhash64("phrase"), F.lit(SPLIT)).alias("part"))
+    place = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*best))
+    rows = rows.withColumn("place", place).where(F.col("place") <= top)
+    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("long"))
     totals = counts.where("words = 0").select("lang", F.col("a").alias("n"))
     return ranked.where(F.col("rank") <= top).join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
