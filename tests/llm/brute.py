@@ -159,3 +159,28 @@ def collocations(rows, longest=3, least=10, top=2000):
         for rank, (score, a, p, left, right) in enumerate(sorted(xs)[:top], 1):
             out[lang, rank] = (p.decode(), -a, left, right, n[lang], -score)
     return out
+
+
+def lexical(docs, items, top=10):
+    """[(item_id, rank, doc_id, score)] of (doc_id, text) and (item_id, text) rows."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    split = lambda t: term.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    bags = [(d, Counter(split(t))) for d, t in docs]
+    n_docs, n_terms = sum(bool(b) for _, b in bags), sum(sum(b.values()) for _, b in bags)
+    df = Counter(t for _, b in bags for t in b)
+    wanted = defaultdict(set)
+    for i, t in items:
+        wanted[i] |= set(split(t))
+    out = []
+    for i, terms in wanted.items():
+        found = []
+        for d, b in bags:
+            m = 100 - 90 + 90 * sum(b.values()) * n_docs // max(1, n_terms)
+            score = 0
+            for t in terms & set(b):
+                w = int(np.floor(1000 * np.log((2 * n_docs + 2) / (2 * df[t] + 1))))
+                score += w * (1_000_000_000 * b[t] // (1000 * b[t] + 8 * m))
+            if score > 0:
+                found.append((-score, d is None, d or 0, d))
+        out += [(i, k, d, -s) for k, (s, _, _, d) in enumerate(sorted(found, key=lambda x: x[:3])[:top], 1)]
+    return out

@@ -381,6 +381,19 @@ def test_widely_copied_values_are_examples(spark):
     assert {(r.repositories, r.owners, r.verdict) for r in secrets.ownership(found).collect()} == {(40, 6, "example"), (1, 1, "live")}
 
 
+def test_repositories_and_owners_decide_together(spark):
+    held = lambda n, owners, value, at: [(at + i, f"x {value} y", f"s{i % owners}") for i in range(n)]
+    made = held(60, 2, TOKEN, 0) + held(49, 2, "Zx81Qw72Er63Ty54Ui45", 1000) + held(60, 5, "Ab19Cd28Ef37Gh46Ij55", 2000)
+    made += held(60, 2, "Kk91Lm82Np73Qr64St55", 3000)
+    made += [(5000 + i, f"token={TOKEN}x", None) for i in range(60)]
+    df = spark.createDataFrame(made, "doc_id long, text string, source string")
+    verdicts = {(r.repositories, r.owners, r.verdict) for r in secrets.ownership(secrets.candidates(df, "doc_id", "text", "doc_id", "source")).collect()}
+    assert verdicts == {(120, 3, "copied"), (60, 2, "copied"), (49, 2, "live"), (60, 5, "example"), (60, 1, "copied")}
+    texts = {r.doc_id: r.text for r in secrets.masked(df).collect()}
+    # Only what looks owner-specific is marked where no base pattern says so; a base span is marked in any case.
+    assert texts[0] == "x [COPIED] y" and texts[3000] == "x Kk91Lm82Np73Qr64St55 y" and texts[1000] == "x [SECRET] y" and texts[2000].startswith("x Ab19") and texts[5000] == "[COPIED]"
+
+
 def test_host_rules(spark, docs, rows, nothing):
     assert host_rules.host_rules(nothing).collect() == []
     got = host_rules.host_rules(docs).collect()
@@ -452,6 +465,17 @@ def test_chat_format(spark):
     assert chat_format.chat_format(df.limit(0)).collect() == []
 
 
+def test_rows_without_conversation_id_are_not_gathered(spark):
+    turns = [(None, k, "user", f"row {k}") for k in range(500)] + [(1, 0, "user", "row 7"), (1, 1, "user", "b"), (None, 3, "user", "row 3")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = chat_format.chat_format(df).collect()
+    assert len(got) == 500 and max(r.n_turns for r in got if r.conv_id is None) == 1
+    assert not any("row 7<" in r.text for r in got if r.conv_id is None)
+    long = [(9, k, "user", f"turn {k}") for k in range(3000)]
+    got = chat_format.chat_format(spark.createDataFrame(long, df.schema)).collect()
+    assert [(r.conv_id, r.n_turns) for r in got] == [(9, 3000)]
+
+
 def test_stages_keep_columns_and_take_awkward_tables(spark, docs, rows, nothing, tmp_path):
     spark.createDataFrame([(5, 1, 0), (6, 1, 0), (7, 0, 0), (8, 0, 1), (None, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     for start in (docs, nothing):

@@ -91,8 +91,8 @@ loose as (
   select * from valued v where kind = 'loose' and {_LOOKS_DRAWN}
     and not exists (select 1 from base b where b.doc_id = v.doc_id and b.start < v.stop and b.stop > v.start)),
 found as (select * from base union all select * from loose),
-owners as (select value, count(distinct source) as owners from found group by all),
-spans as (select f.* from found f join owners using (value) where kind <> 'loose' or owners < 5),
+owners as (select value, count(distinct source) as owners, count(distinct doc_id) as repositories from found group by all),
+spans as (select f.* from found f join owners using (value) where kind <> 'loose' or (owners < 5 and repositories < 50)),
 lines as (
   select doc_id, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
     string_agg(kind || ':' || start::bigint || ':' || stop::bigint, ',' order by start, rank) filter (kind <> 'loose') as base,
@@ -134,7 +134,9 @@ from failed left join verdicts using (source)
 
 SQL["op10_chat_format"] = r"""
 with turns as (select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations),
-convs as (select conv_id, list({'role': role, 'text': text} order by turn, role, text) as t from turns group by all),
+convs as (
+  select conv_id, list({'role': role, 'text': text} order by turn nulls first, role, text) as t
+  from turns group by conv_id, case when conv_id is null then {'turn': turn, 'role': role, 'text': text} end),
 prefixes as (select distinct list_slice(t, 1, k) as t from (select t, unnest(range(1, len(t))) as k from convs)),
 whole as (select t, min(conv_id) as conv_id, count(*) as n_copies from convs group by all)
 select conv_id, len(t) as n_turns, n_copies,

@@ -2,7 +2,8 @@
 
 Candidates are found by pattern in every text. Their hashes are counted over the whole
 corpus by distinct repositories and owners: what many owners hold is a copied example,
-what few hold and looks drawn at random is a live secret. The looser pattern alone would
+what many repositories of few owners hold goes round among them, and what few of both hold
+and looks drawn at random is a live secret. The looser pattern alone would
 mark too much, so a loose candidate becomes a span only if it is owner-specific.
 """
 
@@ -25,8 +26,10 @@ PATTERNS = {"assign": ASSIGN, "access": ACCESS, "hex": r"[0-9a-f]{24,}", "loose"
 #: A text without any of these has no candidate.
 ANY = r"[A-Za-z0-9+/_=-]{20,}|(?i:password|passwd|secret|token|api_?key)"
 ORDER = ["assign", "access", "hex", "loose"]
-#: Owners from which on a value is a widely copied example.
+#: Owners from which on a value is a widely copied example, and repositories from which on
+#: a value of fewer owners is a copy that goes round among them (a template, a fixture).
 WIDE = 5
+ROUND = 50
 
 
 def looks_drawn(value: Column) -> Column:
@@ -83,9 +86,12 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, repository_col: str,
     )
 
 
-def ownership(found: DataFrame, wide: int = WIDE) -> DataFrame:
+def ownership(found: DataFrame, wide: int = WIDE, round_: int = ROUND) -> DataFrame:
     """Per candidate hash: spans, distinct repositories and owners, verdict.
 
+    Many owners make an ``example``, many repositories of few owners a ``copied`` value;
+    what few repositories of few owners hold is ``live`` if it looks drawn, else ``weak``.
+
     Distinct (hash, repository, owner) come first, combined before the shuffle, so a value
     that a third of all documents hold is a row per owner and repository. A null
     repository or owner counts as one of its own.
@@ -98,7 +104,8 @@ def ownership(found: DataFrame, wide: int = WIDE) -> DataFrame:
     counted = owners.groupBy("hash", "drawn").agg(
         F.sum("spans").alias("spans"), F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners")
     )
-    verdict = F.when(F.col("owners") >= wide, "example").when(F.col("drawn"), "live").otherwise("weak")
+    verdict = F.when(F.col("owners") >= wide, "example").when(F.col("repositories") >= round_, "copied")
+    verdict = verdict.when(F.col("drawn"), "live").otherwise("weak")
     return counted.withColumn("verdict", verdict).drop("drawn")
 
 
@@ -109,11 +116,12 @@ def judged(
     repository_col: str = "doc_id",
     owner_col: str = "source",
     wide: int = WIDE,
+    round_: int = ROUND,
 ) -> DataFrame:
     """(doc_id, key, spans) of documents with spans; spans by start, then kind, each with its verdict."""
     found = materialised(candidates(docs, id_col, text_col, repository_col, owner_col))
     # Written, so that a value which a third of all documents hold is a join that can be split.
-    verdicts = materialised(ownership(found, wide).select("hash", "verdict"))
+    verdicts = materialised(ownership(found, wide, round_).select("hash", "verdict"))
     rows = found.withColumn("hash", F.sha2("value", 256)).join(verdicts, "hash")
     rows = rows.where((F.col("kind") != "loose") | (F.col("verdict") == "live"))
     rank = F.array_position(F.lit(ORDER), F.col("kind"))
@@ -144,7 +152,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def masked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with every span's characters replaced by a mark: [EXAMPLE] for values that many
-    owners hold, [SECRET] for all others. Overlapping spans share a mark. Texts without
+    owners hold, [COPIED] for those in many repositories of few owners, [SECRET] for all others. Overlapping spans share a mark. Texts without
     spans, null texts and all other columns stay.
     """
     hits = judged(docs, id_col, text_col, **options)
@@ -160,7 +168,7 @@ def _marked(text: Column, spans: Column) -> Column:
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        mark = F.when(s["verdict"] == "example", "[EXAMPLE]").otherwise("[SECRET]")
+        mark = F.when(s["verdict"] == "example", "[EXAMPLE]").when(s["verdict"] == "copied", "[COPIED]").otherwise("[SECRET]")
         gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
         new = F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(gap, mark))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), new.alias("out"))
