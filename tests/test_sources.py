@@ -1,6 +1,7 @@
 """Readers, sinks and views on small files."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from waybill.session import materialised, shared_folder
 from waybill.sources import csv_tables, storage
@@ -27,10 +28,63 @@ def test_csv_with_line_breaks_quotes_and_byte_order_mark(spark, tmp_path):
     assert counts == {"order_reviews": 1, "category_translation": 1}
 
 
-def test_leading_zeros_survive(spark, tmp_path):
-    (tmp_path / "sellers.csv").write_text("a,b,c,d\ns1,01037,x,SP\n")
+def test_columns_go_by_their_names_in_the_header(spark, tmp_path):
+    (tmp_path / "sellers.csv").write_text("seller_state,further,seller_zip_code_prefix,seller_id,seller_city\nSP,?,01037,s1,x\n")
     raw = csv_tables.read_raw(spark, str(tmp_path), {"sellers": "sellers.csv"})
-    assert raw["sellers"].first().seller_zip_code_prefix == "01037"
+    assert raw["sellers"].columns == csv_tables.RAW_COLUMNS["sellers"]
+    assert tuple(raw["sellers"].first()) == ("s1", "01037", "x", "SP")
+    for header, wrong in (("a,b,c,d", "lacks columns"), ("seller_id,seller_id,seller_zip_code_prefix,seller_city,seller_state", "more than once")):
+        (tmp_path / "other.csv").write_text(f"{header}\n1,2,3,4,5\n")
+        with pytest.raises(ValueError, match=wrong):
+            csv_tables.read_csv(spark, str(tmp_path / "other.csv"), csv_tables.RAW_COLUMNS["sellers"])
+    (tmp_path / "empty.csv").write_text("")
+    with pytest.raises(ValueError, match="no header"):
+        csv_tables.read_csv(spark, str(tmp_path / "empty.csv"), ["a"])
+
+
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_files_of_a_folder_share_a_header(spark, tmp_path, multi_line):
+    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "2.csv").write_text("a,b\n3,4\n")
+    got = csv_tables.read_csv(spark, str(tmp_path), ["b", "a"], multi_line)
+    assert sorted(map(tuple, got.collect())) == [("2", "1"), ("4", "3")] and got.count() == 2
+    (tmp_path / "2.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="header"):
+        csv_tables.read_csv(spark, str(tmp_path), ["a", "b"], multi_line).collect()
+
+
+AWKWARD = [
+    'plain,1', '"quoted, with comma",2', '"two', 'lines",3', '"a ""doubled""', '', 'quote', '" , 4', ',5', '"",6', '   ', '"""begins and ends""",7',
+    '"x', '"",""', 'y",8', 'last,9',
+]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("block", [16, 40, 1 << 20])
+def test_split_reading_equals_the_reader_of_whole_files(spark, tmp_path, end, block):
+    path = str(tmp_path / "t.csv")
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        f.write("text,é" + end + end.join(AWKWARD * 20) + end)
+    whole = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', schema="text string, e string")
+    settings = {"spark.sql.files.maxPartitionBytes": str(block), "spark.sql.files.openCostInBytes": "1", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        read = csv_tables.read_csv(spark, path, ["text", "é"], multi_line=True)
+        got = sorted(map(tuple, read.collect()), key=repr)
+        tasks = csv_tables.split_lines(spark, path).select("block").distinct().count()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == sorted(map(tuple, whole.collect()), key=repr)
+    assert tasks > 10 or block == 1 << 20
+
+
+def test_a_quote_that_is_never_closed_takes_the_rest_of_its_file(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('a,b\n1,2\n3,"4\n5,6\n')
+    got = csv_tables.read_csv(spark, str(tmp_path / "t.csv"), ["a", "b"], multi_line=True).collect()
+    assert len(got) == 2 and got[0].a in ("1", "3")
 
 
 def test_replace_is_repeatable_and_exports_are_guarded(spark, tmp_path):
@@ -56,3 +110,27 @@ def test_materialised_goes_to_the_named_folder(spark):
     df = materialised(spark.range(3).toDF("id"))
     assert df.count() == 3
     assert shared_folder(spark) in df.inputFiles()[0]
+
+
+def test_a_replacement_counts_when_it_is_whole(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).toDF("id").write.parquet(path)
+    assert storage.read_table(spark, path).count() == 3
+    held = storage.replace_table(spark.range(5).toDF("id"), path)
+    assert storage.read_table(spark, path).count() == 5
+    # A write that dies half-way, and one that dies just before it would count, leave the old table.
+    dying = spark.range(100).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("dies"))).cast("long").alias("id"))
+    with pytest.raises(Exception, match="dies"):
+        storage.replace_table(dying, path)
+    with monkeypatch.context() as m:
+        m.setattr(storage, "_point_to", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            storage.replace_table(spark.range(9).toDF("id"), path)
+    assert storage.read_table(spark, path).count() == 5
+    # A table may be replaced by what it says itself; who reads the version before still can.
+    twice = storage.replace_table(storage.read_table(spark, path).withColumn("id", F.col("id") * 2), path)
+    assert sorted(r.id for r in twice.collect()) == [0, 2, 4, 6, 8] and held.count() == 5
+    storage.replace_table(twice.limit(1), path)
+    versions = [p.name for p in (tmp_path / "t.parquet").iterdir() if p.name.startswith("v-")]
+    assert len(versions) == 2 and storage.read_table(spark, path).count() == 1
+    assert storage.stored_bytes(spark, path) < sum(p.stat().st_size for p in (tmp_path / "t.parquet").rglob("*.parquet"))
