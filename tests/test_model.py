@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill import fixed_values as fixed
+from waybill.operators.boosting import Settings
 from waybill.plans import evaluation, explain, model
 
 
@@ -54,10 +55,33 @@ def test_logistic_fit_has_zero_gradient(rows):
     pdf = prepared.toPandas()
     x, y = pdf[fitted.names].to_numpy(), pdf["is_late"].to_numpy()
     weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
-    beta = lr.coefficients.toArray()
+    beta = np.array(lr.coefficients)
     p = 1 / (1 + np.exp(-(x @ beta + lr.intercept)))
-    assert np.abs(x.T @ (weight * (p - y)) + beta).max() < 0.02
-    assert abs((weight * (p - y)).sum()) < 0.02
+    assert np.abs(x.T @ (weight * (p - y)) + beta).max() < 1e-8
+    assert abs((weight * (p - y)).sum()) < 1e-8 and lr.steps <= 12
+
+
+def test_logistic_fit_equals_spark_s_own(rows):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    train, _ = model.temporal_split(rows, CUTOFF)
+    fitted = model.fit_preparation(train, NUMERIC, "kind")
+    prepared = fitted.transform(train, ["is_late"])
+    lr = model.fit_logistic(prepared, fitted.names, c=0.5)
+    ready = VectorAssembler(inputCols=fitted.names, outputCol="features").transform(model.weighted_rows(prepared, fitted.names, "is_late"))
+    n = train.count()
+    other = LogisticRegression(weightCol="weight", regParam=2 / n, standardization=False, maxIter=1000, tol=1e-12).fit(ready)
+    assert np.abs(np.array(lr.coefficients) - other.coefficients.toArray()).max() < 1e-6
+    assert abs(lr.intercept - other.intercept) < 1e-6
+
+
+def test_logistic_fit_of_one_class_and_of_nulls(spark):
+    df = spark.createDataFrame([(1.0, 1), (2.0, 1)], "x double, is_late int")
+    one = model.fit_logistic(df, ["x"])
+    assert one.coefficients == (0.0,) and model.score(one, df, ["x"], []).first()[0] == 1.0
+    with pytest.raises(ValueError):
+        model.fit_logistic(spark.createDataFrame([(None, 1), (2.0, 0)], "x double, is_late int"), ["x"])
 
 
 def test_drivers_add_up_and_rank(rows):
@@ -93,7 +117,7 @@ def test_trees_and_evaluation(rows):
     fitted = model.fit_preparation(train, NUMERIC, "kind")
     keep = ["order_id", "date_key", "is_late"]
     prepared = fitted.transform(rows, keep)
-    trees = model.fit_boosted_trees(prepared.filter(model.in_train(CUTOFF)), fitted.names, trees=5)
+    trees = model.fit_boosted_trees(prepared.filter(model.in_train(CUTOFF)), fitted.names, settings=Settings(trees=5))
     scored = model.score(trees, prepared, fitted.names, keep).withColumn("model", F.lit("trees"))
     floor = model.majority_scores(train, rows, "is_late", keep).withColumn("model", F.lit("floor"))
     got = {r.model: r for r in evaluation.evaluate_models(scored.unionByName(floor)).collect()}
@@ -143,25 +167,6 @@ def test_permutation_importance_finds_the_feature_that_matters(spark):
     assert got["x"] > 0.2 and abs(got["z"]) < 0.05
 
 
-def test_two_model_importance_ranks_the_reported_trees(monkeypatch):
-    import inspect
-    from types import SimpleNamespace
-
-    from waybill.catalog import model_queries
-
-    wanted, seen = inspect.signature(model.fit_boosted_trees), {}
-
-    def fitted(*args, **options):
-        call = wanted.bind(*args, **options)
-        call.apply_defaults()
-        seen.update(call.arguments)
-
-    monkeypatch.setattr(model_queries, "_prepared", lambda w: (None, []))
-    monkeypatch.setattr(model_queries, "materialised", lambda df: df)
-    monkeypatch.setattr(model, "temporal_split", lambda df, cutoff: (None, None))
-    monkeypatch.setattr(model, "fit_logistic", lambda train, names: SimpleNamespace(coefficients=[]))
-    monkeypatch.setattr(model, "fit_boosted_trees", fitted)
-    for name in ("permutation_importance", "mean_abs_contribution", "importance_compare"):
-        monkeypatch.setattr(model_queries.explain, name, lambda *args: None)
-    model_queries.two_model_importance(None)
-    assert (seen["trees"], seen["depth"]) == (100, 4)
+def test_reported_trees_are_the_default(rows):
+    first, settings = next(iter(explain.ablation_variants(["a"]).items()))
+    assert first.startswith("baseline") and settings == Settings(trees=100, leaves=15, ridge=1.0)

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill import fixed_values as fixed
+from waybill.operators.boosting import BoostedTrees, Settings
 from waybill.operators.metrics import average_precision
 from waybill.operators.picking import seeded_draw
 from waybill.plans import model
@@ -79,6 +77,37 @@ def stationarity(run, cutoff: str) -> DataFrame:
     return train.agg(F.array(*rows).alias("__rows")).select(F.inline("__rows"))
 
 
+def tree_contributions(trees: BoostedTrees, prepared: DataFrame, keep: Sequence[str] = ("order_id",)) -> DataFrame:
+    """``keep`` columns and a column per model feature: its share of the trees' log-odds.
+
+    Exact Shapley values; with ``trees.base`` they add up to the log-odds of the row.
+    """
+    parts = trees.attributions(prepared, keep)
+    return parts.select(*keep, *[F.get("parts", F.lit(k)).alias(n) for k, n in enumerate(trees.names)])
+
+
+def tree_importance(trees: BoostedTrees, prepared: DataFrame) -> DataFrame:
+    """(feature, importance): mean absolute contribution over the rows, for all features."""
+    ones = dict.fromkeys(trees.names, 1.0)
+    return mean_abs_contribution(tree_contributions(trees, prepared, []), ones)
+
+
+def tree_leaf_gaps(trees: BoostedTrees, train: DataFrame, settings: Settings, key: str = "order_id") -> DataFrame:
+    """(tree, leaf, gap): distance of a leaf's value from what its training rows say it should be.
+
+    Weighted gradients and Hessians are taken at the scores before the tree, which are the
+    sums of the leaf values of the trees before it.
+    """
+    weights = {r["is_late"]: r["weight"] for r in model.class_weights(train, "is_late").collect()}
+    members = trees.leaves(train, [key, "is_late"]).withColumn("weight", model.weight_column(weights, "is_late"))
+    earlier = Window.partitionBy(key).orderBy("tree").rowsBetween(Window.unboundedPreceding, -1)
+    p = 1 / (1 + F.exp(-F.coalesce(F.sum("value").over(earlier), F.lit(0.0))))
+    rows = members.withColumn("p", p)
+    gradient, hessian = F.sum(F.col("weight") * (F.col("p") - F.col("is_late"))), F.sum(F.col("weight") * F.col("p") * (1 - F.col("p")))
+    value = -settings.rate * gradient / (hessian + settings.ridge)
+    return rows.groupBy("tree", "leaf").agg(F.abs(value - F.min("value")).alias("gap"))
+
+
 def permutation_importance(
     fitted, rows: DataFrame, names: Sequence[str], key: str = "order_id", label: str = "is_late", seed: int = 42
 ) -> DataFrame:
@@ -101,8 +130,8 @@ def permutation_importance(
     which = F.explode(F.sequence(F.lit(-1), F.lit(len(names) - 1))).alias("__changed")
     variants = drawn.withColumn("__other", given).select(label, "__own", "__other", which)
     mixed = F.transform("__own", lambda v, i: F.when(i == F.col("__changed"), F.get(F.col("__other"), i)).otherwise(v))
-    scored = fitted.transform(variants.select(label, "__changed", array_to_vector(mixed).alias("features")))
-    scored = scored.select(label, "__changed", vector_to_array("probability")[1].alias("probability"))
+    columns = variants.select(label, "__changed", mixed.alias("__x")).select(label, "__changed", *[F.get("__x", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    scored = model.score(fitted, columns, names, [label, "__changed"])
     found = materialised(average_precision(scored, ["__changed"], "probability", label))
     whole = found.filter("__changed = -1").select("average_precision").scalar()
     feature = F.get(F.array(*[F.lit(n) for n in names]), F.col("__changed"))
@@ -187,52 +216,37 @@ def assert_same_features(left: Sequence[str], right: Sequence[str]) -> None:
         raise AssertionError("the two models do not see the same transformed features")
 
 
-def _variants(names: Sequence[str]) -> list[tuple[str, list[str], dict]]:
-    """(label, features kept, tree settings); one change at a time, one combination."""
-    def without(feature: str) -> list[str]:
-        return [n for n in names if n != f"num__{feature}"]
+def ablation_variants(names: Sequence[str]) -> dict[str, Settings]:
+    """Label and settings; one change at a time, one combination."""
+    def without(feature: str) -> tuple[str, ...]:
+        return tuple(n for n in names if n != f"num__{feature}")
 
     suspect = fixed.ABLATION_SUSPECT
-    controls = [
-        (f"control: without {c}", without(c), {}) for c in fixed.ABLATION_CONTROLS
-    ]
-    return [
-        ("baseline: boosted trees", list(names), {}),
-        (f"hypothesis: without {suspect}", without(suspect), {}),
-        *controls,
-        ("capacity: 7 leaves", list(names), {"depth": 3}),
-        ("capacity: 30 trees", list(names), {"trees": 30}),
-        (f"combination: without {suspect}, 7 leaves", without(suspect), {"depth": 3}),
-    ]
+    return {
+        "baseline: boosted trees": Settings(),
+        f"hypothesis: without {suspect}": Settings(without(suspect)),
+        **{f"control: without {c}": Settings(without(c)) for c in fixed.ABLATION_CONTROLS},
+        "capacity: 7 leaves": Settings(leaves=7),
+        "capacity: 30 trees": Settings(trees=30),
+        f"combination: without {suspect}, 7 leaves": Settings(without(suspect), leaves=7),
+    }
 
 
 def ablation_scores(
-    train: DataFrame,
-    test: DataFrame,
-    names: Sequence[str],
-    trees: int = 100,
-    parallelism: int = 4,
+    train: DataFrame, test: DataFrame, names: Sequence[str], fitted: Mapping[str, BoostedTrees] | None = None
 ) -> DataFrame:
     """Train and test scores of every variant: (variant, split, is_late, probability).
 
-    Variants do not depend on each other, so ``parallelism`` fits share the cluster.
+    All variants of the trees grow in the same passes over the training rows. ``fitted``
+    are variants fitted before on the same rows.
     """
-    def fit_and_score(run: tuple[str, list[str], dict | None]) -> list[DataFrame]:
-        label, kept, settings = run
-        if settings is None:
-            fitted = model.fit_logistic(train, kept)
-        else:
-            fitted = model.fit_boosted_trees(train, kept, **({"trees": trees} | settings))
-        return [
-            model.score(fitted, rows, kept, ["is_late"]).withColumns(
-                {"variant": F.lit(label), "split": F.lit(split)}
-            )
-            for split, rows in (("train", train), ("test", test))
-        ]
-
-    runs = [("reference: logistic", list(names), None), *_variants(names)]
-    with ThreadPoolExecutor(parallelism) as pool:
-        parts = [df for scored in pool.map(inheritable_thread_target(fit_and_score), runs) for df in scored]
+    fitted = fitted or model.fit_tree_variants(train, names, ablation_variants(names))
+    models = {"reference: logistic": model.fit_logistic(train, names), **fitted}
+    parts = [
+        model.score(m, rows, names, ["is_late"]).withColumns({"variant": F.lit(label), "split": F.lit(split)})
+        for label, m in models.items()
+        for split, rows in (("train", train), ("test", test))
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -6,16 +6,18 @@ of numbers per feature; everything per order stays on the executors.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill import fixed_values as fixed
+from waybill.operators import boosting
 from waybill.operators.picking import top_entries
 from waybill.operators.quality import assert_no_forbidden, key_set_difference
 from waybill.operators.quantiles import exact_quantiles
@@ -176,59 +178,129 @@ def weight_column(weights: Mapping[object, float], label: str) -> Column:
     return column
 
 
-def _training_rows(prepared: DataFrame, names: Sequence[str], label: str) -> tuple[DataFrame, int]:
+def weighted_rows(prepared: DataFrame, names: Sequence[str], label: str) -> DataFrame:
+    """``names`` with label and weight of balanced classes; rows without a label are left out."""
     rows = class_weights(prepared, label).collect()
-    weights = {r[label]: r["weight"] for r in rows}
-    assembled = VectorAssembler(inputCols=list(names), outputCol="features").transform(prepared)
-    ready = assembled.select(
-        "features", F.col(label).cast("double").alias("label"), weight_column(weights, label).alias("weight")
+    weights = {r[label]: r["weight"] for r in rows if r[label] is not None}
+    return prepared.where(F.col(label).isNotNull()).select(
+        *names, F.col(label).cast("double").alias("label"), weight_column(weights, label).alias("weight")
     )
-    return ready, sum(r["n"] for r in rows)
 
 
-def fit_logistic(prepared: DataFrame, names: Sequence[str], label: str = "is_late", c: float = 1.0):
-    """L2 logistic regression with balanced classes on already scaled columns.
+@dataclass(frozen=True)
+class LogisticFit:
+    """Coefficients of a logistic regression on prepared columns, and the steps that it took."""
 
-    The penalty is per row here and per data set in the usual ``C`` notation,
-    hence ``1 / (C * n)``; balanced weights sum to ``n``.
-    """
-    ready, n = _training_rows(prepared, names, label)
-    return LogisticRegression(
-        weightCol="weight",
-        regParam=1.0 / (c * n),
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=1000,
-        tol=1e-8,
-    ).fit(ready)
+    names: tuple[str, ...]
+    coefficients: tuple[float, ...]
+    intercept: float
+    steps: int
 
+    @property
+    def numFeatures(self) -> int:  # noqa: N802 as Spark's own models have it
+        return len(self.names)
 
-def fit_boosted_trees(
+    def probability(self) -> Column:
+        """Probability of label 1 as an expression over the prepared columns."""
+        terms = [F.col(n) * F.lit(c) for n, c in zip(self.names, self.coefficients, strict=True)]
+        return 1 / (1 + F.exp(-reduce(lambda a, b: a + b, terms, F.lit(self.intercept))))
+
+
+def _newton_sums(beta: np.ndarray):
+    """Per batch of rows (features, label, weight): loss, gradient and Hessian of the weighted log loss, flat."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(beta)
+        total = np.zeros(1 + k + k * k)
+        for b in batches:
+            values = b.column("features").flatten().to_numpy(zero_copy_only=False)
+            x = np.column_stack([values.reshape(b.num_rows, k - 1), np.ones(b.num_rows)])
+            y, w = b.column("label").to_numpy(), b.column("weight").to_numpy()
+            z = x @ beta
+            p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+            total[0] += np.sum(w * (np.logaddexp(0, z) - y * z))
+            total[1 : 1 + k] += x.T @ (w * (p - y))
+            total[1 + k :] += ((x * (w * p * (1 - p))[:, None]).T @ x).ravel()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["at", "v"])
+
+    return run
+
+
+def fit_logistic(
     prepared: DataFrame,
     names: Sequence[str],
     label: str = "is_late",
-    trees: int = 100,
-    depth: int = 4,
-    seed: int = 42,
-):
-    """Boosted trees with balanced classes; depth 4 stands for about 15 leaves."""
-    ready, _ = _training_rows(prepared, names, label)
-    return GBTClassifier(
-        weightCol="weight",
-        maxIter=trees,
-        maxDepth=depth,
-        stepSize=0.1,
-        minInstancesPerNode=20,
-        seed=seed,
-        cacheNodeIds=False,
-    ).fit(ready)
+    c: float = 1.0,
+    tolerance: float = 1e-10,
+    most_steps: int = 100,
+) -> LogisticFit:
+    """L2 logistic regression with balanced classes on already scaled columns, by Newton's method.
+
+    The objective is the sum of weighted log losses plus |coefficients|^2 / (2 C), the
+    intercept being free. A step needs its gradient and its Hessian, a square of the number
+    of features, whatever the number of rows: one pass, summed a partition at a time and
+    then over partitions. A step that doesn't lower the objective is halved. With one class
+    only there is nothing to learn: all coefficients are 0 and the probability is 0 or 1.
+
+    ``prepared`` is read once a step (some seven of them), so it is best a written table.
+    """
+    counts = class_weights(prepared, label).collect()
+    weights = {r[label]: r["weight"] for r in counts if r[label] is not None}
+    if len(weights) < 2:
+        return LogisticFit(tuple(names), (0.0,) * len(names), math.inf if 1 in weights else -math.inf, 0)
+    rows = prepared.where(F.col(label).isNotNull()).select(
+        F.array(*[F.col(n).cast("double") for n in names]).alias("features"),
+        F.col(label).cast("double").alias("label"),
+        weight_column(weights, label).alias("weight"),
+    )
+    k = len(names) + 1
+    ridge = np.append(np.full(k - 1, 1.0 / c), 0.0)
+
+    def objective(beta: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        parts = rows.mapInArrow(_newton_sums(beta), "at int, v double").groupBy("at").agg(F.sum("v").alias("v"))
+        flat = np.zeros(1 + k + k * k)
+        for r in parts.collect():
+            flat[r["at"]] = r["v"]
+        if not np.isfinite(flat).all():
+            raise ValueError("prepared columns hold nulls or values that are not finite")
+        return flat[0] + 0.5 * float(ridge @ beta**2), flat[1 : 1 + k] + ridge * beta, flat[1 + k :].reshape(k, k) + np.diag(ridge)
+
+    beta, steps = np.zeros(k), 0
+    loss, gradient, hessian = objective(beta)
+    while steps < most_steps:
+        move = np.linalg.lstsq(hessian, gradient, rcond=None)[0]
+        share = 1.0
+        while True:
+            steps += 1
+            tried = objective(beta - share * move)
+            if tried[0] <= loss + 1e-12 * abs(loss) or share < 1e-6 or steps >= most_steps:
+                break
+            share /= 2
+        beta, (loss, gradient, hessian) = beta - share * move, tried
+        if np.abs(share * move).max() <= tolerance * max(1.0, np.abs(beta).max()):
+            break
+    return LogisticFit(tuple(names), tuple(float(b) for b in beta[:-1]), float(beta[-1]), steps)
+
+
+def fit_boosted_trees(
+    prepared: DataFrame, names: Sequence[str], label: str = "is_late", settings: boosting.Settings | None = None
+) -> boosting.BoostedTrees:
+    """Leaf-wise boosted trees with balanced classes: 100 trees of 15 leaves, L2 penalty 1."""
+    return fit_tree_variants(prepared, names, {"": settings or boosting.Settings()}, label)[""]
+
+
+def fit_tree_variants(
+    prepared: DataFrame, names: Sequence[str], variants: Mapping[str, boosting.Settings], label: str = "is_late"
+) -> dict[str, boosting.BoostedTrees]:
+    """Several models of boosted trees, grown in the same passes over the rows."""
+    return boosting.fit_models(weighted_rows(prepared, names, label), names, variants)
 
 
 def score(model, prepared: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """``keep`` columns plus the probability of being late."""
-    assembled = VectorAssembler(inputCols=list(names), outputCol="features").transform(prepared)
-    late = vector_to_array("probability")[1].alias("probability")
-    return model.transform(assembled).select(*keep, late)
+    if isinstance(model, LogisticFit):
+        return prepared.select(*keep, model.probability().alias("probability"))
+    return model.scored(prepared, keep).select(*keep, "probability")
 
 
 def majority_scores(train: DataFrame, rows: DataFrame, label: str, keep: Sequence[str]) -> DataFrame:
@@ -319,3 +391,17 @@ def assert_integration(checks: DataFrame, top: int = fixed.N_TOP_DRIVERS) -> Non
         problems.append("in-sample orders are not the training orders")
     if problems:
         raise AssertionError("; ".join(problems))
+
+
+def assert_covered(orders: Mapping, scores: Mapping, drivers: Mapping, top: int = fixed.N_TOP_DRIVERS) -> None:
+    """The checks of ``assert_integration`` from figures taken while the tables were written."""
+    keys = ("rows", "keys_1", "keys_2")
+    problems = []
+    if any(scores[k] != orders[k] for k in keys):
+        problems.append("scores do not cover the population")
+    if drivers["all"] != top * orders["rows"] or any(drivers[k] != orders[k] for k in keys):
+        problems.append(f"drivers are not {top} per order")
+    if any(scores[f"train_{k}"] != orders[f"train_{k}"] for k in keys):
+        problems.append("in-sample orders are not the training orders")
+    if problems:
+        raise AssertionError("; ".join(problems))
