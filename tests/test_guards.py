@@ -66,6 +66,19 @@ def test_period_in_days(low, high, days):
     assert tuple(map(str, reports.Filters(low, high).days())) == days
 
 
+def test_a_cluster_needs_a_folder_that_it_shares(spark):
+    from types import SimpleNamespace
+
+    def session(master, **conf):
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master), conf=SimpleNamespace(get=lambda k, d=None: conf.get(k.split(".")[-2], d)))
+
+    assert shared_folder(session("local[4]", warehouse="file:/here")) == "file:/here"
+    assert shared_folder(session("spark://host:7077", warehouse="file:/here", checkpoint="hdfs://all")) == "hdfs://all"
+    assert shared_folder(session("yarn", warehouse="s3a://all/w")) == "s3a://all/w"
+    with pytest.raises(RuntimeError, match="share"):
+        shared_folder(session("yarn", warehouse="file:/here"))
+
+
 def test_written_tables_go_with_their_owner(spark):
     before = set(os.listdir(shared_folder(spark).removeprefix("file:")))
     with written_tables(spark):

@@ -20,7 +20,8 @@ from waybill.operators.asof import (
 )
 from waybill.operators.quality import assert_no_forbidden, grain_report
 from waybill.plans.order_grain import basket_totals, order_baskets
-from waybill.session import materialised
+from waybill.session import key_sums, materialised, observed
+
 
 def history_measures(prefix: str = "") -> dict[str, Column]:
     return {f"{prefix}n": F.lit(1), f"{prefix}late": F.col("is_late")}
@@ -275,26 +276,31 @@ LEAKS = "history_leaks"
 def checked(features: DataFrame, orders: DataFrame) -> DataFrame:
     """``features`` without the leak counts, written once, after the run-time guards have passed.
 
-    One aggregation over the written table: as many rows as orders, no order twice, no
-    history from the future. A failure stops the run with the figures.
+    Figures that the write itself takes are held against those of the orders: the same
+    keys, each as often, and no history from the future. A failure stops the run.
     """
-    table = materialised(features)
-    found = table.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct("order_id").alias("keys"),
-        F.coalesce(F.sum(LEAKS), F.lit(0)).alias("leaks"),
-    ).first()
-    expected = orders.count()
-    if not expected == found["rows"] == found["keys"]:
-        raise AssertionError(f"features fan out or lose orders: {found.asDict()}, {expected} orders")
+    return checked_with_rows(features, orders)[0]
+
+
+def checked_with_rows(features: DataFrame, orders: DataFrame) -> tuple[DataFrame, int]:
+    """``checked``, and how many rows it has."""
+    table, found = observed(features, leaks=F.coalesce(F.sum(LEAKS), F.lit(0)), **key_sums("order_id"))
+    figures = {**key_sums("order_id"), "distinct": F.count_distinct("order_id")}
+    expected = orders.agg(*[c.alias(n) for n, c in figures.items()]).first().asDict()
+    if expected["distinct"] != expected["rows"] or any(found[n] != expected[n] for n in key_sums("order_id")):
+        raise AssertionError(f"features fan out or lose orders: {found}, orders have {expected}")
     if found["leaks"]:
-        raise AssertionError(f"history from the future was used: {found.asDict()}")
-    return table.drop(LEAKS)
+        raise AssertionError(f"history from the future was used: {found}")
+    return table.drop(LEAKS), found["rows"]
 
 
 def checked_features(w) -> DataFrame:
-    """The feature table as a run uses it: written, one row per order, no leak."""
-    return checked(assemble(w.stg_orders, feature_blocks(w, guarded_seller_rate)), w.stg_orders)
+    """The feature table as a run uses it: written, the keys of the orders, no leak."""
+    return checked_features_with_rows(w)[0]
+
+
+def checked_features_with_rows(w) -> tuple[DataFrame, int]:
+    return checked_with_rows(assemble(w.stg_orders, feature_blocks(w, guarded_seller_rate)), w.stg_orders)
 
 
 def feature_grain(w) -> DataFrame:

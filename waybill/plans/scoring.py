@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill import fixed_values as fixed
+from waybill.operators.boosting import BoostedTrees
 from waybill.plans import evaluation, features, model
-from waybill.session import materialised
+from waybill.session import key_sums, materialised, observed
+
+
+def _prefixed(prefix: str, figures: dict) -> dict:
+    return {f"{prefix}_{n}": c for n, c in figures.items()}
 
 
 @dataclass(frozen=True)
@@ -26,10 +31,10 @@ class ScoringRun:
 
 def labelled(w) -> DataFrame:
     """Checked features with target, written once: every later step makes several passes."""
-    table = features.checked_features(w)
-    joined = materialised(features.labelled_features(table, w.order_targets))
-    if (found := joined.count()) != (expected := table.count()):
-        raise AssertionError(f"the label join changed the number of rows: {expected} before, {found} after")
+    table, expected = features.checked_features_with_rows(w)
+    joined, found = observed(features.labelled_features(table, w.order_targets), rows=F.count(F.lit(1)))
+    if found["rows"] != expected:
+        raise AssertionError(f"the label join changed the number of rows: {expected} before, {found['rows']} after")
     return joined
 
 
@@ -47,14 +52,20 @@ def run(rows: DataFrame, cutoff: str = fixed.CUTOFF_DATE, scored_at: str = "1970
     """
     model.assert_split(model.split_report(rows, cutoff))
     prepared, names = prepare(rows, cutoff)
-    train = prepared.filter(model.in_train(cutoff))
+    # Written: each step of the fit, the cut, scores and drivers read it. The figures of
+    # the writes say whether scores and drivers cover the orders, without a pass of their own.
+    in_train = model.in_train(cutoff)
+    prepared, orders = observed(prepared, **key_sums("order_id"), **_prefixed("train", key_sums("order_id", in_train)))
+    train = prepared.filter(in_train)
     fitted = model.fit_logistic(train, names)
-    coefficients = dict(zip(names, (float(c) for c in fitted.coefficients)))
+    coefficients = dict(zip(names, fitted.coefficients, strict=True))
     scored = model.score(fitted, prepared, names, ["order_id", "date_key", "is_late"])
-    q90 = evaluation.q90_cut(scored.filter(~model.in_train(cutoff)))
-    scores = model.risk_scores(scored, q90, cutoff, scored_at)
-    drivers = model.risk_drivers(prepared, coefficients)
-    model.assert_integration(model.integration_checks(scores, drivers, rows, train))
+    q90 = evaluation.q90_cut(scored.filter(~in_train))
+    scores, scores_seen = observed(
+        model.risk_scores(scored, q90, cutoff, scored_at), **key_sums("order_id"), **_prefixed("train", key_sums("order_id", F.col("is_in_sample")))
+    )
+    drivers, drivers_seen = observed(model.risk_drivers(prepared, coefficients), **key_sums("order_id", F.col("driver_rank") == 1), all=F.count(F.lit(1)))
+    model.assert_covered(orders, scores_seen, drivers_seen)
     return ScoringRun(
         prepared=prepared,
         names=names,
@@ -67,13 +78,17 @@ def run(rows: DataFrame, cutoff: str = fixed.CUTOFF_DATE, scored_at: str = "1970
     )
 
 
-def model_comparison(rows: DataFrame, cutoff: str, trees: int = 100) -> DataFrame:
-    """(model, order_id, date_key, is_late, is_in_sample, probability) for all three models."""
+def model_comparison(rows: DataFrame, cutoff: str, boosted: BoostedTrees | None = None) -> DataFrame:
+    """(model, order_id, date_key, is_late, is_in_sample, probability) for all three models.
+
+    ``boosted`` are trees fitted before on the same rows and cutoff; else they are fitted here.
+    """
     prepared, names = prepare(rows, cutoff)
+    prepared = materialised(prepared)
     train = prepared.filter(model.in_train(cutoff))
     keep = ["order_id", "date_key", "is_late"]
     linear = model.fit_logistic(train, names)
-    boosted = model.fit_boosted_trees(train, names, trees=trees)
+    boosted = boosted or model.fit_boosted_trees(train, names)
     if not len(names) == linear.numFeatures == boosted.numFeatures:
         raise AssertionError("the models do not see the same transformed features")
     scored = {

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Folders that ``materialised`` has written, by application.
 _WRITTEN: dict[str, list[str]] = {}
 
+
 def build_session(
     app: str = "waybill",
     master: str | None = None,
@@ -48,9 +50,38 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``, else the SQL warehouse.
 
-    One rule for every master. Both are paths that Spark itself resolves.
+    Both are paths that Spark itself resolves. Where neither was chosen, the warehouse is a
+    folder of the driver's machine: right for a local master, and an error on a cluster.
+    """
+    if chosen := spark.conf.get("spark.checkpoint.dir", None):
+        return chosen
+    folder, master = spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master
+    if not re.match(r"local(\[|$)", master) and re.match(r"(file:|/)", folder):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share; {folder} is one machine's")
+    return folder
+
+
+def observed(df: DataFrame, **figures: Column) -> tuple[DataFrame, dict]:
+    """``materialised``, and aggregates of the rows taken while they are written.
+
+    Each task adds up its own rows, so the figures cost no pass and no shuffle. Figures are
+    sums and the like; Spark allows no distinct counts here.
+    """
+    seen = Observation()
+    table = materialised(df.observe(seen, *[c.alias(n) for n, c in figures.items()]))
+    return table, seen.get
+
+
+def key_sums(column: str, only: Column | None = None) -> dict[str, Column]:
+    """Aggregates that tell sets of keys apart: rows, and two sums of 64-bit hashes, exact.
+
+    Equal figures of two tables mean the same keys, each as often; that two different sets
+    agree in all three is as likely as two 128-bit hashes to be equal.
     """
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    key = F.col(column) if only is None else F.when(only, F.col(column))
+    counted = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
+    hashed = lambda seed: F.coalesce(F.sum(F.when(key.isNotNull(), F.xxhash64(key, F.lit(seed)).cast("decimal(20)"))), F.lit(0))
+    return {"rows": F.count_if(counted), "keys_1": hashed(1).cast("decimal(38)"), "keys_2": hashed(2).cast("decimal(38)")}
 
 
 def materialised(df: DataFrame) -> DataFrame:
