@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from waybill.catalog.demo import demo_probabilities, two_models
 from waybill.catalog.registry import query, rounded
-from waybill.fixed_values import NUMERIC_FEATURES
+from waybill.fixed_values import ABLATION_CONTROLS, NUMERIC_FEATURES
 from waybill.operators import metrics
+from waybill.operators.boosting import Settings
 from waybill.operators.quality import key_set_difference
 from waybill.plans import evaluation, explain, features, model, reports, scoring
 from waybill.session import materialised
-from waybill.sources.driver_tables import DEMO_CUTOFF, DEMO_Q90
+from waybill.sources.driver_tables import DEMO_CUTOFF, DEMO_Q90, demo_probability
 
 SCORED_AT = "2020-01-01 00:00:00"
 
@@ -132,7 +133,7 @@ def fitted_risk_drivers(w):
 def logreg_stationarity(w):
     """Per coefficient: the gradient of the fitted objective, per unit of weight, is zero."""
     run = scoring.run(scoring.labelled(w), DEMO_CUTOFF, SCORED_AT)
-    return explain.stationarity(run, DEMO_CUTOFF).select("feature", (F.abs("gradient") < 1e-3).alias("is_stationary"))
+    return explain.stationarity(run, DEMO_CUTOFF).select("feature", (F.abs("gradient") < 1e-9).alias("is_stationary"))
 
 
 @query(
@@ -161,18 +162,121 @@ def fitted_scores_shape(w):
     )
 
 
+def _fitted_trees(w) -> dict:
+    """The ablation variants, baseline first, fitted once for a warehouse: models are small, no rows are kept."""
+    if (kept := getattr(w, "_tree_variants", None)) is None:
+        prepared, names = _prepared(w)
+        train = prepared.filter(model.in_train(DEMO_CUTOFF))
+        kept = w._tree_variants = model.fit_tree_variants(train, names, explain.ablation_variants(names))
+    return kept
+
+
+def _baseline_trees(w):
+    return next(iter(_fitted_trees(w).values()))
+
+
 @query("gbt_challenger")
 def gbt_challenger(w):
-    scored = scoring.model_comparison(scoring.labelled(w), DEMO_CUTOFF)
+    scored = scoring.model_comparison(scoring.labelled(w), DEMO_CUTOFF, _baseline_trees(w))
     return evaluation.evaluate_models(scored.filter(~F.col("is_in_sample")))
 
 
+@query("tree_leaf_values", "select unnest(range(100))::integer as tree, 15::bigint as n_leaves, true as leaves_fit")
+def tree_leaf_values(w):
+    """Every leaf of every tree is what the gradients and Hessians of its training rows say."""
+    prepared, _ = _prepared(w)
+    train = materialised(prepared).filter(model.in_train(DEMO_CUTOFF))
+    gaps = explain.tree_leaf_gaps(_baseline_trees(w), train, Settings())
+    return gaps.groupBy("tree").agg(F.count(F.lit(1)).alias("n_leaves"), (F.max("gap") < 1e-9).alias("leaves_fit"))
+
+
+@query(
+    "tree_attribution_sums",
+    "select order_id, true as adds_up, true as leaves_add_up from fct_orders where order_id in (select order_id from features_orders)",
+)
+def tree_attribution_sums(w):
+    """Log-odds of every order are the base and the sum of its features' shares, and the sum of its leaves' values."""
+    prepared, trees = materialised(_prepared(w)[0]), _baseline_trees(w)
+    parts = trees.attributions(prepared, ["order_id"])
+    total = F.aggregate("parts", F.lit(trees.base), lambda a, b: a + b)
+    leaves = trees.leaves(prepared, ["order_id"]).groupBy("order_id").agg(F.sum("value").alias("leaves"))
+    both = trees.scored(prepared, ["order_id"]).join(parts.select("order_id", total.alias("total")), "order_id").join(leaves, "order_id")
+    return both.select("order_id", *[(F.abs(F.col("raw") - F.col(c)) < 1e-9).alias(n) for c, n in (("total", "adds_up"), ("leaves", "leaves_add_up"))])
+
+
 @query("ablation_table")
 def ablation_table(w):
     prepared, names = _prepared(w)
-    prepared = materialised(prepared)
-    train, test = model.temporal_split(prepared, DEMO_CUTOFF)
-    return explain.ablation_table(explain.ablation_scores(train, test, names))
+    train, test = model.temporal_split(materialised(prepared), DEMO_CUTOFF)
+    return explain.ablation_table(explain.ablation_scores(train, test, names, _fitted_trees(w)))
+
+
+_VARIANTS = [
+    "reference: logistic", "baseline: boosted trees", "hypothesis: without seller_late_rate_max", "capacity: 7 leaves", "capacity: 30 trees",
+    "combination: without seller_late_rate_max, 7 leaves", *[f"control: without {c}" for c in ABLATION_CONTROLS],
+]
+
+
+@query("ablation_shape", f"select unnest({_VARIANTS!r}) as variant, true as in_range, true as ratio_follows")
+def ablation_shape(w):
+    """What any ablation must give: a row per variant, average precisions in range, and their ratio."""
+    ratio = F.round(F.col("pr_auc_train") / F.col("pr_auc_test"), 2)
+    return ablation_table(w).select(
+        "variant",
+        (F.col("pr_auc_train").between(0, 1) & F.col("pr_auc_test").between(0, 1)).alias("in_range"),
+        (F.abs(F.col("ratio_train_test") - ratio) <= 0.02).alias("ratio_follows"),
+    )
+
+
+# The same two reports on scores that SQL can compute too.
+_GIVEN_ABLATION = """
+    with given as (
+        select v.variant, p.is_in_sample, p.is_late, (((p.order_id * v.k) % 10000) * 5761) % 10000 / 10000.0 as probability
+        from probabilities p, (values """ + ", ".join(f"('{v}', {k})" for k, v in enumerate(_VARIANTS, 2)) + """) v(variant, k)),
+    steps as (
+        select variant, is_in_sample, probability, count(*) as n, sum(is_late) as tp from given group by all),
+    curve as (
+        select *, sum(tp) over w as tp_run, sum(n) over w as n_run, sum(tp) over (partition by variant, is_in_sample) as p
+        from steps window w as (partition by variant, is_in_sample order by probability desc)),
+    ap as (
+        select variant, is_in_sample, coalesce(sum(tp * (tp_run / n_run)) / nullif(max(p), 0), 0) as ap from curve group by all),
+    wide as (
+        select variant, max(ap) filter (where is_in_sample) as tr, max(ap) filter (where not is_in_sample) as te from ap group by all),
+    report as (
+        select variant, round(tr, 4) as pr_auc_train, round(te, 4) as pr_auc_test, round(tr / nullif(te, 0), 2) as ratio_train_test from wide)"""
+
+
+def _given_ablation(w):
+    key = F.col("order_id")
+    parts = [F.struct(F.lit(v).alias("variant"), demo_probability(key * k).alias("probability")) for k, v in enumerate(_VARIANTS, 2)]
+    split = F.when(F.col("is_in_sample"), "train").otherwise("test").alias("split")
+    return explain.ablation_table(demo_probabilities(w).select("is_late", split, F.inline(F.array(*parts))))
+
+
+@query("ablation_table_given", f"{_GIVEN_ABLATION} select * from report")
+def ablation_table_given(w):
+    return _given_ablation(w)
+
+
+@query(
+    "ablation_verdict",
+    f"""{_GIVEN_ABLATION},
+    named as (select split_part(variant, ':', 1) as kind, * from report),
+    one as (
+        select max(ratio_train_test) filter (where kind = 'reference') as logistic, max(ratio_train_test) filter (where kind = 'baseline') as base,
+            max(ratio_train_test) filter (where kind = 'hypothesis') as without, max(pr_auc_test) filter (where kind = 'baseline') as base_test,
+            max(pr_auc_test) filter (where kind = 'hypothesis') as without_test, max(pr_auc_test) filter (where kind = 'control') as control
+        from named)
+    select case when base > logistic then round(100 * (base - without) / (base - logistic), 6) end as pct_explained,
+        without_test >= base_test and control < base_test as is_specific from one""",
+)
+def ablation_verdict(w):
+    return rounded(explain.ablation_verdict(_given_ablation(w)), 6, "pct_explained")
+
+
+@query("ablation_verdict_fitted")
+def ablation_verdict_fitted(w):
+    return explain.ablation_verdict(ablation_table(w))
 
 
 @query(
@@ -180,21 +284,25 @@ def ablation_table(w):
     "select unnest(['majority', 'logistic', 'boosted_trees']) as model, count(*) as n_orders, true as in_range from fct_orders",
 )
 def model_comparison_shape(w):
-    scored = scoring.model_comparison(scoring.labelled(w), DEMO_CUTOFF)
+    scored = scoring.model_comparison(scoring.labelled(w), DEMO_CUTOFF, _baseline_trees(w))
     inside = F.bool_and(F.col("probability").between(0, 1)).alias("in_range")
     return scored.groupBy("model").agg(F.count(F.lit(1)).alias("n_orders"), inside)
 
 
 @query("two_model_importance")
 def two_model_importance(w):
-    """Mean contributions of the logistic model against permutation importance of the trees, on test rows."""
+    """Mean absolute contributions of the logistic model and of the trees, on test rows."""
     prepared, names = _prepared(w)
     train, test = model.temporal_split(materialised(prepared), DEMO_CUTOFF)
     linear = model.fit_logistic(train, names)
-    coefficients = dict(zip(names, (float(c) for c in linear.coefficients), strict=True))
-    trees = model.fit_boosted_trees(train, names)
-    ranked = explain.permutation_importance(trees, test, names)
-    return explain.importance_compare(explain.mean_abs_contribution(test, coefficients), ranked, 15)
+    coefficients = dict(zip(names, linear.coefficients, strict=True))
+    return explain.importance_compare(explain.mean_abs_contribution(test, coefficients), explain.tree_importance(_baseline_trees(w), test), 15)
+
+
+@query("tree_global_importance")
+def tree_global_importance(w):
+    _, test = model.temporal_split(materialised(_prepared(w)[0]), DEMO_CUTOFF)
+    return explain.tree_importance(_baseline_trees(w), test).orderBy(F.desc("importance"), "feature").limit(15)
 
 
 # --- scores and drivers given probabilities and coefficients ----------------

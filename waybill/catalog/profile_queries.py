@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waybill.catalog.registry import query, rounded
-from waybill.plans import profile
+from waybill.operators import sketches
+from waybill.plans import cells, profile, reports
+from waybill.plans.model import long_form
+from waybill.session import materialised
 
 
 def _population(w):
@@ -265,3 +268,98 @@ def seller_customer_distance_deg(w):
 )
 def geo_coverage(w):
     return rounded(profile.geo_coverage(_degrees(w)), 6, "coverage")
+
+
+# --- sketches: stored once by month, state and class, merged for any question --------------
+
+_SKETCHED = ["late", "price", "promised_days", "real_days"]
+_FEATURES = ", ".join(f"('{c}')" for c in _SKETCHED)
+
+
+def _sketched(w):
+    """(rows, sketches by month, state and class) of the dashboard's measures."""
+    rows = reports.bi_base(w)
+    measures = {n: c for n, c in cells._measures().items() if n in _SKETCHED}
+    rows = materialised(rows.select("annee", "mois", "customer_state", "is_late", *[c.cast("double").alias(n) for n, c in measures.items()]))
+    keys = ["annee", "mois", "customer_state", "is_late"]
+    return rows, materialised(sketches.sketch_table(rows, keys, {n: F.col(n) for n in _SKETCHED}))
+
+
+def _within(rows, found, by):
+    """(by, feature, p, within): whether as many values lie below a found quantile as its probability says."""
+    long = long_form(rows, _SKETCHED) if not by else rows.select(
+        *by, F.inline(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(n).alias("value")) for n in _SKETCHED]))
+    )
+    v, q = F.col("value"), F.col("found")
+    ranks = long.where(v.isNotNull()).join(F.broadcast(found), [*by, "feature"]).groupBy(*by, "feature", "p").agg(
+        F.avg((v < q).cast("double")).alias("below"), F.avg((v <= q).cast("double")).alias("up_to")
+    )
+    p, error = F.col("p"), F.lit(sketches.RANK_ERROR)
+    # A small group has no value at the very rank: one row more or less is right as well.
+    return ranks.select(*by, "feature", "p", ((F.col("below") <= p + error) & (F.col("up_to") >= p - error)).alias("within"))
+
+
+def _quantiles(table, by, names):
+    pairs = F.array(*[F.struct(F.lit(p).alias("p"), F.col(f"`{c}`").alias("found")) for p, c in names.items()])
+    return table.select(*by, "feature", F.inline(pairs))
+
+
+@query(
+    "describe_numeric_sketch",
+    f"select feature, p, true as within from (values {_FEATURES}) f(feature), (values (0.25::double), (0.5), (0.75)) q(p)",
+)
+def describe_numeric_sketch(w):
+    """Quartiles from merged sketches are within the stated rank error of all rows."""
+    rows, table = _sketched(w)
+    return _within(rows, _quantiles(sketches.describe(table), [], {0.25: "25%", 0.5: "50%", 0.75: "75%"}), [])
+
+
+@query(
+    "describe_numeric_sketch_moments",
+    " union all ".join(
+        f"""select '{n}' as feature, count({c}) as count, round(avg({c}), 6) as mean, round(stddev_samp({c}), 6) as std,
+        round(min({c}), 6)::double as min, round(max({c}), 6)::double as max from bi_base"""
+        for n, c in {
+            "late": "is_late",
+            "price": "total_price",
+            "promised_days": "date_diff('day', order_purchase_timestamp, order_estimated_delivery_date)",
+            "real_days": "date_diff('day', order_purchase_timestamp, order_delivered_customer_date)",
+        }.items()
+    ),
+)
+def describe_numeric_sketch_moments(w):
+    """What sketch tables carry besides sketches is exact."""
+    table = sketches.describe(_sketched(w)[1]).select("feature", "count", "mean", "std", "min", "max")
+    return rounded(table, 6, "mean", "std", "min", "max")
+
+
+@query(
+    "median_by_class_sketch",
+    f"select is_late, feature, 0.5::double as p, true as within from (select distinct is_late from bi_base), (values {_FEATURES}) f(feature)",
+)
+def median_by_class_sketch(w):
+    rows, table = _sketched(w)
+    return _within(rows, _quantiles(sketches.describe(table, ["is_late"]), ["is_late"], {0.5: "50%"}), ["is_late"])
+
+
+@query(
+    "boxplot_stats_sketch",
+    f"""select feature, p, true as within, true as fences_follow
+    from (values {_FEATURES}) f(feature), (values (0.25::double), (0.5), (0.75)) q(p)""",
+)
+def boxplot_stats_sketch(w):
+    rows, table = _sketched(w)
+    boxes = materialised(sketches.boxes(table).join(sketches.describe(table).select("feature", "min", "max"), "feature"))
+    span = 1.5 * (F.col("q3") - F.col("q1"))
+    follow = (F.col("fence_low") == F.greatest("min", F.col("q1") - span)) & (F.col("fence_high") == F.least("max", F.col("q3") + span))
+    within = _within(rows, _quantiles(boxes, [], {0.25: "q1", 0.5: "median", 0.75: "q3"}), [])
+    return within.join(boxes.select("feature", follow.alias("fences_follow")), "feature")
+
+
+@query("cardinality_share_sketch", f"select feature, (select count(*) from bi_base) as n_rows, true as within from (values {_FEATURES}) f(feature)")
+def cardinality_share_sketch(w):
+    rows, table = _sketched(w)
+    exact = long_form(rows, _SKETCHED).where("value is not null").groupBy("feature").agg(F.count_distinct("value").alias("exact"))
+    gap = F.abs(F.col("n_distinct") - F.col("exact")) / F.col("exact")
+    joined = sketches.distinct_share(table).join(exact, "feature")
+    return joined.select("feature", "n_rows", (gap <= sketches.DISTINCT_ERROR).alias("within"))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from waybill.catalog.demo import demo_drivers, demo_scores, rule_insights
 from waybill.catalog.registry import query, rounded
 from waybill.functions import labels
+from waybill.plans import cells
 from waybill.plans import reports as bi
-from waybill.session import shared_folder
+from waybill.session import materialised, shared_folder
 from waybill.sources.driver_tables import DEMO_CUTOFFS
 
 FILTERS = bi.Filters(199601, 200012, states=("SP", "RJ", "BA"), categories=("toys", "health_beauty"))
@@ -82,7 +83,10 @@ _KPI = """select count(*) as n_commandes, round(sum(total_price), 2) as ca_total
 
 
 def _kpi(w):
-    kpi = bi.kpi_overview(bi.bi_base(w))
+    return _kpi_rounded(bi.kpi_overview(bi.bi_base(w)))
+
+
+def _kpi_rounded(kpi):
     kpi = rounded(rounded(kpi, 2, "ca_total"), 4, "panier_moyen")
     return rounded(kpi, 6, "taux_retard", "delai_reel_jours", "delai_promis_jours", "note_moyenne")
 
@@ -107,6 +111,53 @@ def monthly_late_rate(w):
     return rounded(bi.monthly_late_rate(bi.bi_base(w)), 6, "taux_retard")
 
 
+# The same reports from additive cells, held against the same statements.
+
+
+def _cells(w):
+    return materialised(cells.cells(w))
+
+
+@query("cells_kpi_overview", _KPI)
+def cells_kpi_overview(w):
+    return _kpi_rounded(cells.kpi_overview(_cells(w)))
+
+
+@query(
+    "cells_kpi_filtered",
+    _KPI + " where annee * 100 + mois between 199605 and 199711 and customer_state in (select customer_state from bi_base group by 1 order by 1 limit 3)",
+)
+def cells_kpi_filtered(w):
+    table = _cells(w)
+    states = [r[0] for r in table.select("customer_state").distinct().orderBy("customer_state").limit(3).collect()]
+    return _kpi_rounded(cells.kpi_overview(table.where(bi.Filters(199605, 199711, states).condition())))
+
+
+@query("cells_monthly_late_rate", """select annee, mois, count(*) as n, round(avg(is_late), 6) as taux_retard from bi_base group by annee, mois""")
+def cells_monthly_late_rate(w):
+    return rounded(cells.monthly_late_rate(_cells(w)), 6, "taux_retard")
+
+
+@query("cells_rate_by_state", "select customer_state, count(*) as n, round(avg(is_late), 6) as taux_retard from bi_base group by 1")
+def cells_rate_by_state(w):
+    return rounded(cells.late_rate_by(_cells(w), "customer_state"), 6, "taux_retard")
+
+
+@query("cells_rate_by_category", "select product_category_name, count(*) as n, round(avg(is_late), 6) as taux_retard from bi_base group by 1")
+def cells_rate_by_category(w):
+    return rounded(cells.late_rate_by(_cells(w), "product_category_name"), 6, "taux_retard")
+
+
+@query(
+    "cells_satisfaction_gap",
+    """with m as (select avg(review_score) filter (where is_late = 0) as a, count(review_score) filter (where is_late = 0) as na,
+        avg(review_score) filter (where is_late = 1) as b, count(review_score) filter (where is_late = 1) as nb from bi_base)
+    select round(a, 6) as note_a_temps, na as n_avis_a_temps, round(b, 6) as note_retard, nb as n_avis_retard, round(a - b, 6) as ecart from m""",
+)
+def cells_satisfaction_gap(w):
+    return rounded(cells.satisfaction_gap(_cells(w)), 6, "note_a_temps", "note_retard", "ecart")
+
+
 @query(
     "monthly_late_history",
     """select strftime(date_key, '%Y-%m') as mois, count(*) as n, sum(is_late)::bigint as n_retards,

@@ -57,6 +57,20 @@ def src_csv_review_texts(w):
     return reviews.select(F.col("review_id").cast("bigint").alias("review_id"), "review_comment_title", "review_comment_message")
 
 
+@query(
+    "src_csv_split",
+    "select review_id, order_id, review_score, review_comment_title, review_comment_message from raw_order_reviews",
+)
+def src_csv_split(w):
+    """The reviews as one file whose texts hold line breaks, its columns in another order, read in blocks by many tasks."""
+    spark, path = w.raw.spark, f"{_fresh_folder(w, 'csv')}/reviews.csv"
+    columns = csv_tables.RAW_COLUMNS["order_reviews"]
+    csv_tables.write_csv(w.raw.order_reviews.select(*reversed(columns)).withColumn("further", F.lit("a\nb")).coalesce(1), path)
+    reviews = csv_tables.read_csv(spark, path, columns, multi_line=True)
+    ids = {c: F.col(c).cast("bigint") for c in ("review_id", "order_id", "review_score")}
+    return reviews.withColumns(ids).select(*ids, "review_comment_title", "review_comment_message")
+
+
 def _csv_warehouse(w) -> Warehouse:
     return Warehouse(SimpleNamespace(**_csv_copies(w, list(csv_tables.RAW_COLUMNS))))
 
@@ -136,6 +150,15 @@ def sink_replace_table(w):
     return storage.replace_table(narrow, path)
 
 
+@query("sink_replace_self", "select order_id, 2 - is_late::integer as is_late, geo_key from fct_orders where is_late = 1")
+def sink_replace_self(w):
+    """A table is replaced by what is read from itself, twice."""
+    path = f"{_fresh_folder(w, 'replace')}/fct_orders.parquet"
+    stored = storage.replace_table(w.fact("order_id", "is_late", "geo_key"), path)
+    stored = storage.replace_table(stored.where("is_late = 1").withColumn("is_late", F.col("is_late") + 1), path)
+    return storage.replace_table(stored.withColumn("is_late", (3 - F.col("is_late")).cast("int")), path)
+
+
 _EXPORT_COUNTS = """
     select 'fct_orders' as table_name, count(*) as n_rows from fct_orders
     union all select 'dim_customer', count(distinct customer_id) from fct_orders
@@ -277,15 +300,24 @@ def geo_centroid(w):
     return rounded(w.int_geolocation, 6, "centroid_lat", "centroid_lng")
 
 
-@query(
-    "left_join_enrich",
-    """select * replace (round(total_price, 4) as total_price, round(total_freight, 4) as total_freight,
+_ENRICHED = """select * replace (round(total_price, 4) as total_price, round(total_freight, 4) as total_freight,
         round(freight_ratio, 9) as freight_ratio, round(total_payment, 4) as total_payment)
-    from int_orders_enriched""",
-)
+    from int_orders_enriched"""
+
+
+def _rounded_enriched(enriched):
+    return rounded(rounded(enriched, 4, "total_price", "total_freight", "total_payment"), 9, "freight_ratio")
+
+
+@query("left_join_enrich", _ENRICHED)
 def left_join_enrich(w):
-    enriched = rounded(w.int_orders_enriched, 4, "total_price", "total_freight", "total_payment")
-    return rounded(enriched, 9, "freight_ratio")
+    return _rounded_enriched(w.int_orders_enriched)
+
+
+@query("stored_left_join_enrich", _ENRICHED)
+def stored_left_join_enrich(w):
+    """The same join over tables stored in buckets of the order: nothing is shuffled for it."""
+    return _rounded_enriched(w.enriched(w.build_intermediate(_fresh_folder(w, "warehouse"), 8)))
 
 
 # --- star schema -----------------------------------------------------------

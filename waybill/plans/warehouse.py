@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 from functools import cached_property
 
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 
 from waybill.plans import order_grain as grain
 from waybill.plans import staging, star
-from waybill.sources.storage import replace_table
+from waybill.plans.cells import order_cells
+from waybill.plans.reports import bi_base
+from waybill.sources.storage import read_table, replace_table
 
 
 class Warehouse:
@@ -131,25 +134,37 @@ class Warehouse:
         """Key, purchase date and target of every fact row."""
         return self.fact("order_id", "date_key", "is_late")
 
-    def build(self, folder: str) -> StoredWarehouse:
+    def build_intermediate(self, folder: str, buckets: int | None = None) -> dict[str, DataFrame]:
+        """Write staged orders and the order-grain tables, then the enriched orders from them.
+
+        With ``buckets`` all but the geography are dealt out and sorted by ``order_id``, so
+        that joining them to each other shuffles nothing, now or later.
+        """
+        dealt = {"bucket_by": "order_id", "buckets": buckets} if buckets else {}
+        written: dict[str, DataFrame] = {}
+        for name in ("stg_orders", *INTERMEDIATE):
+            table = self.enriched(written) if name == "int_orders_enriched" else getattr(self, name)
+            how = {} if name == "int_geolocation" else dealt
+            written[name] = replace_table(table, f"{folder}/intermediate/{name}", **how)
+        return written
+
+    @staticmethod
+    def enriched(tables: Mapping[str, DataFrame]) -> DataFrame:
+        """Orders with their items, payments and reviews, from tables that ``build_intermediate`` wrote."""
+        return grain.int_orders_enriched(*[tables[n] for n in ("stg_orders", "int_order_items", "int_order_payments", "int_order_reviews")])
+
+    def build(self, folder: str, buckets: int | None = None) -> StoredWarehouse:
         """Write the intermediate layer, then the marts from it, and open what was written.
 
         Running it again replaces every table. The fact is partitioned by month.
         """
         spark = self.dim_geography.sparkSession
-        written: dict[str, DataFrame] = {}
-        for name in INTERMEDIATE:
-            if name != "int_orders_enriched":
-                written[name] = replace_table(getattr(self, name), f"{folder}/intermediate/{name}")
-        enriched = grain.int_orders_enriched(
-            self.stg_orders, written["int_order_items"], written["int_order_payments"], written["int_order_reviews"]
-        )
-        replace_table(enriched, f"{folder}/intermediate/int_orders_enriched")
+        written = self.build_intermediate(folder, buckets)
         for name in DIMENSIONS:
             replace_table(getattr(self, name), f"{folder}/marts/{name}")
         month = F.year("date_key") * 100 + F.month("date_key")
         rows = star.order_rows(
-            self.stg_orders,
+            written["stg_orders"],
             written["int_order_items"],
             self.stg_order_items,
             written["int_order_reviews"],
@@ -158,7 +173,10 @@ class Warehouse:
             star.FACT_COLUMNS,
         )
         replace_table(rows.withColumn("ym", month), f"{folder}/marts/fct_orders", ["ym"])
-        return StoredWarehouse(spark, folder, self)
+        stored = StoredWarehouse(spark, folder, self)
+        cells = order_cells(bi_base(stored)).withColumn("ym", F.col("annee") * 100 + F.col("mois"))
+        replace_table(cells, f"{folder}/marts/order_cells", ["ym"])
+        return stored
 
 
 INTERMEDIATE = ["int_order_items", "int_order_payments", "int_order_reviews", "int_geolocation", "int_orders_enriched"]
@@ -166,15 +184,21 @@ DIMENSIONS = ["dim_date", "dim_customer", "dim_product", "dim_geography"]
 
 
 class StoredWarehouse(Warehouse):
-    """A written warehouse with the interface of the lazy one; staging stays a view over the raw tables."""
+    """A written warehouse with the interface of the lazy one; staging but for orders stays a view over the raw tables."""
 
     def __init__(self, spark: SparkSession, folder: str, source: Warehouse):
         super().__init__(source.raw, source._calendar)
-        tables = {name: f"{folder}/intermediate/{name}" for name in INTERMEDIATE}
+        tables = {name: f"{folder}/intermediate/{name}" for name in ("stg_orders", *INTERMEDIATE)}
         tables |= {name: f"{folder}/marts/{name}" for name in DIMENSIONS}
         # Written tables stand where the lazy ones would be computed.
-        self.__dict__.update({name: spark.read.parquet(path) for name, path in tables.items()})
-        self._fact = spark.read.parquet(f"{folder}/marts/fct_orders")
+        self.__dict__.update({name: read_table(spark, path) for name, path in tables.items()})
+        self._fact = read_table(spark, f"{folder}/marts/fct_orders")
+        self._spark, self._folder = spark, folder
+
+    @property
+    def order_cells(self) -> DataFrame:
+        """Sums and counts by month, state and category; see ``plans.cells``."""
+        return read_table(self._spark, f"{self._folder}/marts/order_cells")
 
     def order_rows(self, *columns: str, days: tuple[date, date] | None = None) -> DataFrame:
         """As in the lazy warehouse; a period reads the months it touches only."""
