@@ -29,9 +29,11 @@ _PLAIN = bytes.maketrans(UPPER + ENDS, LOWER + b"." * len(ENDS))
 LONGEST = 3
 LEAST = 10
 TOP = 2000
-#: Windows counted at a time in a task, and bytes of text parted at a time.
+#: Windows counted at a time in a task, and bytes of text that become words at a time.
 CHUNK = 1 << 22
-SLICE = 1 << 22
+SLICE = 1 << 20
+#: Windows sent to the JVM at a time.
+SENT = 1 << 14
 #: Starts of windows that are split at most, parts of each, and the share of documents that is asked for them.
 MANY = 1000
 SPLIT = 64
@@ -82,9 +84,14 @@ def _emitted(found: dict[str, list[np.ndarray]], numbers: _Numbers, longest: int
     """Distinct windows of a chunk with their counts, like ones side by side, which shrinks what is shuffled."""
     names = pa.array([None, *list(numbers)[1:]], pa.string())
     for lang, parts in found.items():
-        keys, counts = np.unique(np.concatenate(parts), return_counts=True)
-        for at in range(0, len(keys), 1 << 17):
-            some, n = keys[at : at + (1 << 17)], counts[at : at + (1 << 17)]
+        # In place: a chunk is held once, and then what is different in it.
+        keys = np.concatenate(parts)
+        parts.clear()
+        keys.sort()
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        keys, counts = keys[first], np.diff(np.append(first, len(keys)))
+        for at in range(0, len(keys), SENT):
+            some, n = keys[at : at + SENT], counts[at : at + SENT]
             words = [names.take(pa.array((some >> (bits * (longest - 1 - k))) & ((1 << bits) - 1))) for k in range(longest)]
             start, rest = _joined(words[:2], len(some)), _joined(words[2:], len(some))
             yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), len(some)), start, rest, pa.array(n)], ["lang", "start", "rest", "a"])
