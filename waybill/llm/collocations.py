@@ -87,6 +87,8 @@ def _emitted(found: dict[str, list[np.ndarray]], numbers: _Numbers, longest: int
         # In place: a chunk is held once, and then what is different in it.
         keys = np.concatenate(parts)
         parts.clear()
+        if not len(keys):
+            continue
         keys.sort()
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         keys, counts = keys[first], np.diff(np.append(first, len(keys)))
