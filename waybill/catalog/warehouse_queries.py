@@ -67,7 +67,7 @@ def src_csv_split(w):
     columns = csv_tables.RAW_COLUMNS["order_reviews"]
     csv_tables.write_csv(w.raw.order_reviews.select(*reversed(columns)).withColumn("further", F.lit("a\nb")).coalesce(1), path)
     reviews = csv_tables.read_csv(spark, path, columns, multi_line=True)
-    ids = {c: F.col(c).cast("bigint") for c in ("review_id", "order_id", "review_score")}
+    ids = {c: F.col(c).cast("int" if c == "review_score" else "bigint") for c in ("review_id", "order_id", "review_score")}
     return reviews.withColumns(ids).select(*ids, "review_comment_title", "review_comment_message")
 
 
