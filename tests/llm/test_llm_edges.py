@@ -186,6 +186,29 @@ def test_pairwise_fit_orders_by_the_signal():
     assert (again.weights == model.weights).all()
 
 
+def test_pairwise_fit_equals_plain_gradient_descent():
+    """The same pairs, the same penalised loss, no second derivatives: same weights, cut and scores."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((300, len(quality_model.features("")))) * np.linspace(0.5, 3, len(quality_model.features("")))
+    y = (x[:, 1] - 0.5 * x[:, 4] + rng.standard_normal(300) > 0.3).astype(int)
+    pairs, penalty = 1500, 1e-2
+    got = quality_model.fitted(x, y, pairs, penalty, seed=9)
+    z = (x - x.mean(0)) / x.std(0)
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    draw = np.random.default_rng(9)
+    gap = z[good[draw.integers(len(good), size=pairs)]] - z[bad[draw.integers(len(bad), size=pairs)]]
+    w = np.zeros(z.shape[1])
+    for _ in range(20_000):
+        slope = -gap.T @ (1 / (1 + np.exp(gap @ w))) / pairs + penalty * w
+        w -= 0.3 * slope
+    assert np.abs(slope).max() < 1e-9
+    s = z @ w
+    assert got.weights == pytest.approx(3 * w / s.std(), abs=1e-6)
+    assert got.cut == pytest.approx(np.quantile(3 * s / s.std(), len(bad) / 300), abs=1e-6)
+    share = np.mean(got.scores(x) >= quality_model.CUT)
+    assert share == pytest.approx(len(good) / 300, abs=0.01)
+
+
 def test_packing(spark, docs, rows, nothing):
     from tokenizers import Tokenizer
 

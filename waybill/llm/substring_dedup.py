@@ -308,7 +308,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     input. A null text has no words. Rows that repeat id and text are one document, of
     rows that share only the id the order is that of a hash of their texts. Other columns
     are ignored; an empty table gives an empty result. ``window`` must exceed
-    BEFORE + AFTER and be at most 62.
+    BEFORE + AFTER and be at most 200.
 
     The stages: texts that equal an earlier one whole are set aside; anchors with the hash
     of their stretch (all windows they speak for) meet by anchor; a stretch that has
