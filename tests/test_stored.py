@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill.catalog.registry import open_warehouse
-from waybill.operators import sketches
+from waybill.operators import quality, sketches
+from waybill.operators.suite_states import SuiteStates
 from waybill.plans import cells, features, model, reports, scoring
 from waybill.session import key_sums, observed
 from waybill.sources import storage
@@ -99,6 +100,46 @@ def test_coverage_is_read_off_the_figures():
             model.assert_covered(whole, scores, drivers)
 
 
+def test_suite_from_states_reads_a_month_once(spark, tmp_path):
+    schema = "id long, owner string"
+    months = {
+        1: [(1, "a"), (2, "b"), (2, "b"), (None, "a")],
+        2: [(3, "a"), (1, None), (4, "z"), (5, "z")],
+        3: [(6, "b")],
+    }
+    owners = spark.createDataFrame([("a",), ("b",)], "o string")
+    states = SuiteStates(spark, str(tmp_path / "s"), "t", ["id", "owner"], ["id"], {"owner": "owners"})
+
+    def plain(months, owners):
+        rows = spark.createDataFrame([r for m in months.values() for r in m], schema)
+        keys = [("t", "id", ("unique", "not_null")), ("t", "owner", ("not_null",))]
+        return sorted(map(tuple, quality.test_suite({"t": rows, "o": owners}, keys, [("t", "owner", "o", "o")]).collect()))
+
+    def kept():
+        return sorted(map(tuple, states.suite({"owners": owners}).collect()))
+
+    seen = {}
+    for m in (2, 1, 3):
+        source = str(tmp_path / f"month{m}")
+        spark.createDataFrame(months[m], schema).write.parquet(source)
+        states.add(m, spark.read.parquet(source), {"owners": owners})
+        # Whatever the month's rows were read from may go.
+        for f in (tmp_path / f"month{m}").iterdir():
+            f.unlink()
+        seen[m] = months[m]
+        assert kept() == plain(seen, owners)
+    # A month comes again, without the key that was there twice; then a parent is known at last.
+    months[1] = [(2, "b"), (8, "q")]
+    states.add(1, spark.createDataFrame(months[1], schema), {"owners": owners})
+    assert kept() == plain(months, owners)
+    owners = spark.createDataFrame([("a",), ("b",), ("z",)], "o string")
+    assert kept() == plain(months, owners)
+    states.add(2, spark.createDataFrame([], schema), {"owners": owners})
+    assert kept() == plain({1: months[1], 3: months[3]}, owners)
+    empty = SuiteStates(spark, str(tmp_path / "none"), "t", ["id"], ["id"])
+    assert {r.n_failures for r in empty.suite({}).collect()} == {0}
+
+
 @given
 def test_a_scoring_run_takes_few_jobs(spark):
     w = open_warehouse(spark, FOLDER)

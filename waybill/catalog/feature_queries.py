@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from waybill.catalog.registry import query, rounded
 from waybill.functions.geo import haversine_km
 from waybill.operators import quality
+from waybill.operators.suite_states import SuiteStates
 from waybill.plans import features, model
+from waybill.session import materialised, shared_folder
 from waybill.sources.driver_tables import DEMO_CUTOFF
 
 
@@ -286,3 +290,22 @@ def suite_tables(w) -> dict:
 @query("dq_suite", _suite_sql())
 def dq_suite(w):
     return quality.test_suite(suite_tables(w), KEY_TESTS, RELATIONSHIP_TESTS)
+
+
+@query("dq_suite_states", f"select * from ({_suite_sql()}) where table_name = 'fct_orders'")
+def dq_suite_states(w):
+    """The fact's tests from states that three parts of its months were added to one after the other."""
+    columns = ["order_id", "customer_id", "product_key", "date_key", "geo_key"]
+    fact = materialised(w.fact(*columns).withColumn("ym", F.year("date_key") * 100 + F.month("date_key")))
+    parents = {
+        "dim_customer": w.dim_customer.select("customer_id"),
+        "dim_product": w.dim_product.select("product_key"),
+        "dim_date": w.dim_date.select("date_key"),
+        "dim_geography": w.dim_geography.select("geo_key"),
+    }
+    related = {"customer_id": "dim_customer", "product_key": "dim_product", "date_key": "dim_date", "geo_key": "dim_geography"}
+    folder = f"{shared_folder(w.raw.spark)}/states-{uuid.uuid4().hex}"
+    states = SuiteStates(w.raw.spark, folder, "fct_orders", columns, ["order_id"], related)
+    for part in range(3):
+        states.add(part, fact.where(F.col("ym") % 3 == part), parents)
+    return states.suite(parents)

@@ -257,6 +257,18 @@ def theme_classifier(w):
     return class_report(_held_out_guesses(w), "motif_regle", "guess", [*THEME_PATTERNS, THEME_OTHER])
 
 
+@query("theme_stationarity", "select 0::bigint as n_beyond, true as covers_vocabulary")
+def theme_stationarity(w):
+    """The gradient of the classifier's penalised loss is zero for every term and class."""
+    labelled = materialised(_rule_labelled(w))
+    fitted = themes.ThemeClassifier().fit(labelled)
+    found = fitted.stationarity(labelled)
+    whole = (fitted.size + 1) * len(fitted.classes)
+    return found.agg(
+        F.coalesce(F.count_if(F.abs("gradient") > 1e-5), F.lit(0)).alias("n_beyond"), (F.count(F.lit(1)) == whole).alias("covers_vocabulary")
+    )
+
+
 @query("theme_confusion")
 def theme_confusion(w):
     """Confusion of the same held-out fifth over all themes."""

@@ -183,9 +183,12 @@ class ThemeClassifier:
         counts = materialised(term_counts(labelled, self.key, self.text))
         n_docs = labelled.agg(F.count(F.lit(1)).alias("n"))
         terms = inverse_frequencies(counts, n_docs).withColumn("position", F.lit(1))
-        self.vocabulary = materialised(
-            running_totals(terms, [], "term", ["position"], F.substring("term", 1, 2), exclusive=True)
+        # Numbered by ranges of their hash, so that no prefix that many terms share is one task's.
+        place = F.struct(F.xxhash64("term").alias("hash"), "term")
+        numbered = running_totals(
+            terms.withColumn("place", place), [], "place", ["position"], F.shiftright("place.hash", 52), exclusive=True
         )
+        self.vocabulary = materialised(numbered.drop("place"))
         self.size = self.vocabulary.count()
         rows = class_weights(labelled, self.label).orderBy(self.label).collect()
         self.classes, self.model = [r[self.label] for r in rows], None
@@ -229,6 +232,36 @@ class ThemeClassifier:
         )
 
 
+    def stationarity(self, labelled: DataFrame) -> DataFrame:
+        """(class, position, gradient) of the penalised loss at the fitted coefficients, per unit of weight.
+
+        Position -1 is the intercept. Row-local residuals meet the weights of their text's
+        terms and are added by term, so nothing but the coefficients is ever whole.
+        """
+        counts = materialised(term_counts(labelled, self.key, self.text))
+        weights = {r[self.label]: r["weight"] for r in class_weights(labelled, self.label).collect()}
+        n = labelled.count()
+        label = F.array(*[(F.col(self.label) == c).cast("double") for c in self.classes])
+        miss = F.transform(
+            F.arrays_zip(F.col("probabilities").alias("p"), label.alias("y")),
+            lambda z: weight_column(weights, self.label) * (z["p"] - z["y"]) / n,
+        )
+        rows = materialised(self.probabilities(labelled, [self.label]).select(self.key, miss.alias("miss")))
+        terms = weigh(counts, self.key, self.vocabulary, ["position"]).select(self.key, "position", "weight")
+        each = terms.join(rows, self.key).unionByName(rows.select(self.key, F.lit(-1).cast("long").alias("position"), F.lit(1.0).alias("weight"), "miss"))
+        sums = each.groupBy("position").agg(*[F.sum(F.col("weight") * F.get("miss", F.lit(k))).alias(f"g{k}") for k in range(len(self.classes))])
+        spark = labelled.sparkSession
+        matrix = self.model.coefficientMatrix.toArray()
+        penalty = [(j, *map(float, matrix[:, j] / n)) for j in range(self.size)]
+        kinds = ", ".join(f"b{k} double" for k in range(len(self.classes)))
+        both = sums.join(spark.createDataFrame(penalty, f"position long, {kinds}"), "position", "left")
+        parts = [
+            F.struct(F.lit(c).alias("class"), (F.col(f"g{k}") + F.coalesce(f"b{k}", F.lit(0.0))).alias("gradient"))
+            for k, c in enumerate(self.classes)
+        ]
+        return both.select("position", F.inline(F.array(*parts))).select("class", "position", "gradient")
+
+
 def most_likely(probabilities: Column, classes: Sequence[str]) -> Column:
     names = F.array(*[F.lit(c) for c in classes])
     return F.element_at(names, F.array_position(probabilities, F.array_max(probabilities)).cast("int"))
