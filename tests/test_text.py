@@ -112,6 +112,10 @@ def test_insights_cover_the_three_cases(spark):
 
 
 def test_classifier_only_fills_unlabelled_rows(spark):
+    from waybill.session import observed
+
+    # A session that has taken figures of a write can still send the model to its tasks.
+    assert observed(spark.range(3), n=F.count("id"))[1]["n"] == 3
     base = [("atraso longo demais", "a"), ("produto quebrado ruim", "b")]
     rows = [(i, base[i % 2][0] + " palavra", base[i % 2][1]) for i in range(40)]
     train = spark.createDataFrame(rows, "order_id int, texte_nettoye string, motif_regle string")

@@ -209,6 +209,9 @@ class ThemeClassifier:
             maxIter=2000,
             tol=1e-9,
         ).fit(ready)
+        # The training summary refers to the session, which can't be sent to tasks once it has
+        # taken figures of a write; only the coefficients are needed.
+        self.model._java_obj.setSummary(labelled.sparkSession._jvm.scala.Option.empty())
         return self
 
     def _vectors(self, df: DataFrame, counts: DataFrame, keep: list[str]) -> DataFrame:
