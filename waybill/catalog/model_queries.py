@@ -172,7 +172,13 @@ def _fitted_trees(w) -> dict:
 
 
 def _baseline_trees(w):
-    return next(iter(_fitted_trees(w).values()))
+    """The first of the variants, alone if the others haven't been asked for: its passes carry less."""
+    if (kept := getattr(w, "_tree_variants", None)) is not None:
+        return next(iter(kept.values()))
+    if (kept := getattr(w, "_tree_baseline", None)) is None:
+        prepared, names = _prepared(w)
+        kept = w._tree_baseline = model.fit_boosted_trees(prepared.filter(model.in_train(DEMO_CUTOFF)), names)
+    return kept
 
 
 @query("gbt_challenger")
