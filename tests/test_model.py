@@ -170,3 +170,17 @@ def test_permutation_importance_finds_the_feature_that_matters(spark):
 def test_reported_trees_are_the_default(rows):
     first, settings = next(iter(explain.ablation_variants(["a"]).items()))
     assert first.startswith("baseline") and settings == Settings(trees=100, leaves=15, ridge=1.0)
+
+
+def test_labelled_rows_shuffle_pairs_once_by_seller(spark):
+    """Order and seller pairs are written, and their history is no join: seller keys meet in one exchange and in small totals."""
+    from waybill.plans import features
+
+    orders = spark.range(50).selectExpr(
+        "id as order_id", "timestamp_ntz'2018-01-01' + make_dt_interval(cast(id as int)) as order_purchase_timestamp",
+        "timestamp_ntz'2018-01-09' + make_dt_interval(cast(id as int)) as order_delivered_customer_date",
+        "timestamp_ntz'2018-01-08' + make_dt_interval(cast(id as int)) as order_estimated_delivery_date",
+    )
+    items = spark.range(90).selectExpr("id % 50 as order_id", "id % 3 as seller_id")
+    plan = features.smoothed_rates(orders, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from waybill.functions.numbers import ordered_bucket
-from waybill.operators.asof import attach_known, cumulative_history, known_before
+from waybill.operators.asof import attach_known, cumulative_history, known_before, with_known
 from waybill.operators.quantiles import exact_quantiles
 from waybill.operators.running import running_totals
 
@@ -147,3 +147,17 @@ def test_quantiles_match_numpy(spark, seed):
 def test_quantiles_without_groups(spark):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 3, 10)], "v double")
     assert exact_quantiles(df, [], "v", {"m": 0.5}, few_groups=True).first().m == 2.5
+
+
+@pytest.mark.parametrize("keys", [["seller"], []])
+def test_with_known_is_known_before_attached(spark, keys):
+    # Ties, repeated rows, and rows without seller, purchase or outcome time; the row keeps all its columns.
+    rows = _orders(300, 5, ["hot"] * 6 + ["a", "b"])
+    rows += rows[:20] + [(900, None, T0, T0, 1), (901, "a", None, T0, 1), (902, "a", T0, None, 1), (903, None, None, None, None)]
+    rows += [(904 + i, "a", T0 + dt.timedelta(days=40 * i), T0 + dt.timedelta(days=41 * i), 1) for i in range(5)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    measures = {"n": F.lit(1), "late_n": F.col("late")}
+    expected = attach_known(df, known_before(df, keys, "known", "bought", measures), keys, "bought")
+    names = [*df.columns, "n", "late_n", "last_seen"]
+    got = with_known(df, keys, "known", "bought", measures)
+    assert sorted(map(str, got.select(names).collect())) == sorted(map(str, expected.select(names).collect()))

@@ -93,7 +93,7 @@ def csv_fct_orders(w):
     " round(seller_distance_km_max, 4) as seller_distance_km_max, geo_is_unknown from features_orders",
 )
 def csv_features_orders(w):
-    table = features.features_orders(_csv_warehouse(w))
+    table = features.features_orders(_csv_warehouse(w).written("stg_order_items"))
     table = rounded(rounded(table, 9, "seller_late_rate_max"), 4, "seller_distance_km_max")
     return table.select(
         F.col("order_id").cast("bigint").alias("order_id"), "seller_late_rate_max", "purchase_weekday", "delay_est_days",
