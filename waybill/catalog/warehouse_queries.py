@@ -62,10 +62,15 @@ def src_csv_review_texts(w):
     "select review_id, order_id, review_score, review_comment_title, review_comment_message from raw_order_reviews",
 )
 def src_csv_split(w):
-    """The reviews as one file whose texts hold line breaks, its columns in another order, read in blocks by many tasks."""
+    """The reviews as a few large files whose texts hold line breaks, their columns in another order, read in blocks by many tasks.
+
+    A file holds what four blocks of the texts do, so one task writes no more, however many texts there are.
+    """
     spark, path = w.raw.spark, f"{_fresh_folder(w, 'csv')}/reviews.csv"
     columns = csv_tables.RAW_COLUMNS["order_reviews"]
-    csv_tables.write_csv(w.raw.order_reviews.select(*reversed(columns)).withColumn("further", F.lit("a\nb")).coalesce(1), path)
+    blocks = w.raw.given("documents").rdd.getNumPartitions()
+    rows = w.raw.order_reviews.select(*reversed(columns)).withColumn("further", F.lit("a\nb"))
+    csv_tables.write_csv(rows.coalesce(max(1, -(-blocks // 4))), path)
     reviews = csv_tables.read_csv(spark, path, columns, multi_line=True)
     ids = {c: F.col(c).cast("int" if c == "review_score" else "bigint") for c in ("review_id", "order_id", "review_score")}
     return reviews.withColumns(ids).select(*ids, "review_comment_title", "review_comment_message")
