@@ -134,3 +134,33 @@ def test_a_replacement_counts_when_it_is_whole(spark, tmp_path, monkeypatch):
     versions = [p.name for p in (tmp_path / "t.parquet").iterdir() if p.name.startswith("v-")]
     assert len(versions) == 2 and storage.read_table(spark, path).count() == 1
     assert storage.stored_bytes(spark, path) < sum(p.stat().st_size for p in (tmp_path / "t.parquet").rglob("*.parquet"))
+
+
+def test_snapshots_of_a_row_an_order_are_never_broadcast(spark, tmp_path):
+    """Small files may hold more rows than a driver can: their size says nothing."""
+    for name in ("order_risk_scores", "order_risk_drivers", "dim_date"):
+        storage.replace_table(spark.range(100).toDF("order_id"), f"{tmp_path}/{name}.parquet")
+    storage.register_snapshots(spark, str(tmp_path), ["order_risk_scores", "order_risk_drivers", "dim_date"])
+    plan = lambda sql: spark.sql(sql)._jdf.queryExecution().sparkPlan().toString()
+    both = plan("select count(*) from order_risk_scores s join order_risk_drivers d on s.order_id = d.order_id where s.order_id > 3")
+    assert "SortMergeJoin" in both and "Broadcast" not in both
+    assert "Broadcast" in plan("select count(*) from dim_date a join dim_date b on a.order_id = b.order_id")
+
+
+def test_csv_reviews_are_written_by_more_than_one_task(spark, tmp_path):
+    """Files grow in number with the texts, and every review comes back as it was."""
+    from waybill.catalog.registry import open_warehouse
+    from waybill.catalog.warehouse_queries import src_csv_split
+
+    docs = spark.range(90).selectExpr("id as doc_id", "concat('a \"', id, '\"\nb') as text", "'s' as source")
+    docs.repartition(20).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(90).selectExpr("id as doc_id", "1 as quality", "0 as toxic").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = src_csv_split(open_warehouse(spark, str(tmp_path)))
+        assert 1 < len(got.inputFiles()) <= 10
+        assert sorted(r[0] for r in got.select("review_id").collect()) == list(range(90))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
