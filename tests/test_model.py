@@ -184,3 +184,30 @@ def test_labelled_rows_shuffle_pairs_once_by_seller(spark):
     items = spark.range(90).selectExpr("id % 50 as order_id", "id % 3 as seller_id")
     plan = features.smoothed_rates(orders, items)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1
+
+
+def test_softmax_ends_where_the_gradient_is_zero_in_few_passes(spark):
+    """Against the plain gradient, with rows without entries, frequent terms and rare ones."""
+    from waybill.operators.softmax import fit_softmax
+
+    rng = np.random.default_rng(2)
+    n, size, classes = 400, 300, 3
+    rows = []
+    for i in range(n):
+        taken = np.unique((size * rng.random(12) ** 3).astype(int)) if i % 40 else np.array([], int)
+        values = rng.random(len(taken)) + 0.1
+        values /= np.sqrt((values**2).sum()) or 1.0
+        rows.append(([(int(p), float(v)) for p, v in zip(taken, values, strict=True)], float(rng.integers(classes)), 0.5 + i % 3))
+    df = spark.createDataFrame(rows, "entries array<struct<position:int,weight:double>>, label double, weight double")
+    fitted = fit_softmax(df.repartition(3), size, classes)
+    x = np.zeros((n, size))
+    for i, (entries, _, _) in enumerate(rows):
+        for p, v in entries:
+            x[i, p] = v
+    y, w = np.array([int(r[1]) for r in rows]), np.array([r[2] for r in rows])
+    z = x @ fitted.coefficients.T + fitted.intercepts
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    miss = w[:, None] * (p - np.eye(classes)[y])
+    assert np.abs(miss.T @ x + fitted.coefficients).max() / w.sum() < 1e-8
+    assert np.abs(miss.sum(axis=0)).max() / w.sum() < 1e-8 and abs(fitted.intercepts.sum()) < 1e-9
+    assert fitted.passes < 60

@@ -278,7 +278,7 @@ def theme_confusion(w):
 @query("review_insights_classified")
 def review_insights_classified(w):
     base = materialised(reviewed(w))
-    labelled = themes.label_with_rules(themes.negative_corpus(base)).filter(F.col("motif_regle") != THEME_OTHER)
+    labelled = materialised(themes.label_with_rules(themes.negative_corpus(base)).filter(F.col("motif_regle") != THEME_OTHER))
     return themes.review_insights(base, classifier=themes.ThemeClassifier().fit(labelled))
 
 

@@ -9,10 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import VectorUDT
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +27,7 @@ from waybill.functions.text import (
 from waybill.operators.picking import first_examples, seeded_draw, stable_sample
 from waybill.operators.quantiles import exact_quantiles
 from waybill.operators.running import running_totals
+from waybill.operators.softmax import STEP, entry_arrays, fit_softmax
 from waybill.operators.tfidf import inverse_frequencies, term_counts, weigh
 from waybill.plans.model import class_weights, weight_column
 from waybill.plans.order_grain import latest_reviews
@@ -147,23 +145,17 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.2, se
 # --- classifier ------------------------------------------------------------
 
 
-def _sparse_vectors(size: int):
-    """Batches with ``entries`` (position, weight) in place of Spark ML's sparse vectors of ``size``."""
+def _scores(fitted: Broadcast):
+    """Batches with ``entries`` (position, weight) in place of probabilities, one a class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            entries = b.column("entries")
-            flat, offsets = entries.flatten(), pc.subtract(entries.offsets, entries.offsets[0])
-            lists = [
-                pa.ListArray.from_arrays(offsets, flat.field(k), type=pa.list_(pa.field("element", t, False)))
-                for k, t in (("position", pa.int32()), ("weight", pa.float64()))
-            ]
-            kind, width = pa.array([0] * b.num_rows, pa.int8()), pa.array([size] * b.num_rows, pa.int32())
-            fields = [pa.field("type", pa.int8(), False), pa.field("size", pa.int32())]
-            fields += [pa.field(n, a.type) for n, a in zip(("indices", "values"), lists, strict=True)]
-            vectors = pa.StructArray.from_arrays([kind, width, *lists], fields=fields)
-            names = [n for n in b.schema.names if n != "entries"]
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), vectors], [*names, "features"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, STEP):
+                b = whole.slice(start, STEP)
+                found = fitted.value.probabilities(*entry_arrays(b.column("entries")), b.num_rows)
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.float64()))
+                names = [n for n in b.schema.names if n != "entries"]
+                yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), lists], [*names, "probabilities"])
 
     return run
 
@@ -171,8 +163,8 @@ def _sparse_vectors(size: int):
 class ThemeClassifier:
     """Multinomial logistic regression on TF-IDF, trained on rule labels.
 
-    The model keeps one coefficient per term and class. Vectors are made a batch at a
-    time from Arrow arrays. Texts without any frequent term, or of one class only, leave nothing to learn: then
+    The model keeps one coefficient per term and class, with an L2 penalty of 1 on the sum of
+    balanced losses. Texts without any frequent term, or of one class only, leave nothing to learn: then
     every text gets the catch-all with certainty.
     """
 
@@ -195,45 +187,34 @@ class ThemeClassifier:
         if self.size == 0 or len(rows) < 2:
             self.classes = [fixed.THEME_OTHER]
             return self
-        n = sum(r["n"] for r in rows)
         number = {c: float(i) for i, c in enumerate(self.classes)}
         weights = {r[self.label]: r["weight"] for r in rows}
         ready = self._vectors(labelled, counts, [self.label]).select(
-            "features", weight_column(number, self.label).alias("label"), weight_column(weights, self.label).alias("weight")
+            "entries", weight_column(number, self.label).alias("label"), weight_column(weights, self.label).alias("weight")
         )
-        self.model = LogisticRegression(
-            family="multinomial",
-            weightCol="weight",
-            regParam=1.0 / n,
-            standardization=False,
-            maxIter=2000,
-            tol=1e-9,
-        ).fit(ready)
-        # The training summary refers to the session, which can't be sent to tasks once it has
-        # taken figures of a write; only the coefficients are needed.
-        self.model._java_obj.setSummary(labelled.sparkSession._jvm.scala.Option.empty())
+        self.model = fit_softmax(ready, self.size, len(self.classes))
         return self
 
     def _vectors(self, df: DataFrame, counts: DataFrame, keep: list[str]) -> DataFrame:
-        """One sparse vector per text; texts without a known term get an empty one."""
-        weights = weigh(counts, self.key, self.vocabulary, ["position"])
-        entry = F.struct(F.col("position").cast("int").alias("position"), "weight")
-        entries = weights.groupBy(self.key).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-        rows = df.select(self.key, *keep).join(entries, self.key, "left")
+        """One row of sorted entries (position, unit-length weight) per text; texts without a known term get none."""
+        known = counts.join(self.vocabulary.select("term", "idf", "position"), "term")
+        entry = F.struct(F.col("position").cast("int").alias("position"), ((1 + F.log("tf")) * F.col("idf")).alias("raw"))
+        found = known.groupBy(self.key).agg(F.sort_array(F.collect_list(entry)).alias("raw"))
+        length = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda a, e: a + e["raw"] * e["raw"]))
+        found = found.withColumn("length", length)
+        scaled = F.transform("raw", lambda e: F.struct(e["position"].alias("position"), (e["raw"] / F.col("length")).alias("weight")))
         none = F.array().cast("array<struct<position:int,weight:double>>")
-        rows = rows.select(self.key, *keep, F.coalesce("entries", none).alias("entries"))
-        schema = T.StructType([*rows.drop("entries").schema.fields, T.StructField("features", VectorUDT())])
-        return rows.mapInArrow(_sparse_vectors(self.size), schema)
+        rows = df.select(self.key, *keep).join(found.select(self.key, scaled.alias("entries")), self.key, "left")
+        return rows.select(self.key, *keep, F.coalesce("entries", none).alias("entries"))
 
     def probabilities(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """(key, keep.., probabilities) with one probability per class."""
         if self.model is None:
             return df.select(self.key, *keep, F.array(F.lit(1.0)).alias("probabilities"))
         counts = term_counts(df, self.key, self.text)
-        return self.model.transform(self._vectors(df, counts, list(keep))).select(
-            self.key, *keep, vector_to_array("probability").alias("probabilities")
-        )
-
+        rows = self._vectors(df, counts, list(keep))
+        kinds = T.StructType([*rows.drop("entries").schema.fields, T.StructField("probabilities", T.ArrayType(T.DoubleType()))])
+        return rows.mapInArrow(_scores(df.sparkSession.sparkContext.broadcast(self.model)), kinds)
 
     def stationarity(self, labelled: DataFrame) -> DataFrame:
         """(class, position, gradient) of the penalised loss at the fitted coefficients, per unit of weight.
@@ -254,10 +235,9 @@ class ThemeClassifier:
         each = terms.join(rows, self.key).unionByName(rows.select(self.key, F.lit(-1).cast("long").alias("position"), F.lit(1.0).alias("weight"), "miss"))
         sums = each.groupBy("position").agg(*[F.sum(F.col("weight") * F.get("miss", F.lit(k))).alias(f"g{k}") for k in range(len(self.classes))])
         spark = labelled.sparkSession
-        matrix = self.model.coefficientMatrix.toArray()
-        penalty = [(j, *map(float, matrix[:, j] / n)) for j in range(self.size)]
-        kinds = ", ".join(f"b{k} double" for k in range(len(self.classes)))
-        both = sums.join(spark.createDataFrame(penalty, f"position long, {kinds}"), "position", "left")
+        penalty = {f"b{k}": row / n for k, row in enumerate(self.model.coefficients)}
+        table = pa.table({"position": pa.array(range(self.size), pa.int64()), **penalty})
+        both = sums.join(spark.createDataFrame(table), "position", "left")
         parts = [
             F.struct(F.lit(c).alias("class"), (F.col(f"g{k}") + F.coalesce(f"b{k}", F.lit(0.0))).alias("gradient"))
             for k, c in enumerate(self.classes)
