@@ -142,3 +142,18 @@ def test_stratified_split_keeps_shares(spark):
     assert counts["big", True] == 90 and counts["small", True] == 10
     again = {r.order_id for r in themes.stratified_split(df, "order_id", "l", 0.2, 7).filter("is_test").collect()}
     assert again == {r.order_id for r in got.filter("is_test").collect()}
+
+
+def test_ngrams_of_long_texts_take_no_square_of_their_length(spark):
+    """Each n-gram reads its own words only: slices of an array copy all of it each time."""
+    from waybill.functions.text import word_ngrams, words
+
+    long = " ".join(f"w{i % 977}" for i in range(3000))
+    df = spark.createDataFrame([(0, long), (1, "um dois tres"), (2, "um"), (3, ""), (4, None)], "k int, t string")
+    grams = df.select("k", words(F.col("t")).alias("w")).select("k", word_ngrams(F.col("w"), 3).alias("g"))
+    got = {r.k: r.g for r in grams.collect()}
+    tokens = long.split()
+    assert got[0] == [" ".join(tokens[i : i + n]) for n in (1, 2, 3) for i in range(len(tokens) - n + 1)]
+    assert got[1] == ["um", "dois", "tres", "um dois", "dois tres", "um dois tres"]
+    assert got[2] == ["um"] and got[3] == [] and got[4] is None
+    assert "slice(" not in grams._jdf.queryExecution().analyzed().toString()

@@ -73,7 +73,8 @@ def word_ngrams(tokens: Column, longest: int) -> Column:
 
     def of_length(n: int) -> Column:
         starts = F.sequence(F.lit(1), F.size(tokens) - (n - 1))
-        grams = F.transform(starts, lambda start: F.array_join(F.slice(tokens, start, n), " "))
+        # Single elements, as ``slice`` copies the whole array each time: a square of a text's length.
+        grams = F.transform(starts, lambda start: F.concat_ws(" ", *[F.get(tokens, start + (k - 1)) for k in range(n)]))
         return F.when(F.size(tokens) >= n, grams).otherwise(F.array().cast("array<string>"))
 
     return F.concat(tokens, *[of_length(n) for n in range(2, longest + 1)])
