@@ -198,14 +198,14 @@ class ThemeClassifier:
     def _vectors(self, df: DataFrame, counts: DataFrame, keep: list[str]) -> DataFrame:
         """One row of sorted entries (position, unit-length weight) per text; texts without a known term get none."""
         known = counts.join(self.vocabulary.select("term", "idf", "position"), "term")
-        entry = F.struct(F.col("position").cast("int").alias("position"), ((1 + F.log("tf")) * F.col("idf")).alias("raw"))
-        found = known.groupBy(self.key).agg(F.sort_array(F.collect_list(entry)).alias("raw"))
-        length = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda a, e: a + e["raw"] * e["raw"]))
-        found = found.withColumn("length", length)
+        raw = (1 + F.log("tf")) * F.col("idf")
+        entry = F.struct(F.col("position").cast("int").alias("position"), raw.alias("raw"))
+        found = known.groupBy(self.key).agg(F.sort_array(F.collect_list(entry)).alias("raw"), F.sqrt(F.sum(raw * raw)).alias("length"))
+        # Scaled behind the join, where the length is a column: Spark would put an expression into each entry's.
+        rows = df.select(self.key, *keep).join(found, self.key, "left")
         scaled = F.transform("raw", lambda e: F.struct(e["position"].alias("position"), (e["raw"] / F.col("length")).alias("weight")))
         none = F.array().cast("array<struct<position:int,weight:double>>")
-        rows = df.select(self.key, *keep).join(found.select(self.key, scaled.alias("entries")), self.key, "left")
-        return rows.select(self.key, *keep, F.coalesce("entries", none).alias("entries"))
+        return rows.select(self.key, *keep, F.coalesce(scaled, none).alias("entries"))
 
     def probabilities(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """(key, keep.., probabilities) with one probability per class."""
