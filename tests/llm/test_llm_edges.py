@@ -176,6 +176,52 @@ def test_repeated_labelled_rows_count_once_and_texts_of_one_id_stay_within_rows(
     assert seen == [20]
 
 
+def test_fit_uses_all_labelled_rows(spark):
+    """Mean, spread and threshold of 30,000 labelled rows are those of all that aren't held out."""
+    n = 30_000
+    docs = spark.range(n).selectExpr("id as doc_id", "concat(repeat('Ab c. ', cast(id % 23 as int)), repeat('x', cast(id * 7 % 31 as int)), id) as text")
+    labels = spark.range(n).selectExpr("id as doc_id", "int(id % 23 + id * 7 % 31 > 40 or id % 11 = 0) as quality")
+    model = quality_model.fit(docs, labels)
+    rows = docs.where(~quality_model.held_out(docs["doc_id"])).join(labels, "doc_id").select("text", "quality").collect()
+    assert 20_000 < len(rows) < n
+    x, y = np.array([quality_model.features(r.text) for r in rows]), np.array([r.quality for r in rows])
+    assert model.mean == pytest.approx(x.mean(0), rel=1e-9, abs=1e-12)
+    s = ((x - model.mean) / model.scale) @ model.weights
+    assert s.std() == pytest.approx(3, rel=1e-9)
+    assert model.cut == pytest.approx(np.quantile(s, 1 - y.mean()), abs=1e-9)
+
+
+@pytest.mark.parametrize("rare", [3, 40])
+def test_block_fit_pairs_every_row_and_ends_where_the_loss_is_least(spark, monkeypatch, rare):
+    """Blocks of few rows, one kind rare: each row in three pairs or more, no slope left over all pairs."""
+    monkeypatch.setattr(quality_model, "BLOCK", 64)
+    monkeypatch.setattr(quality_model, "LEAST", 20)
+    rng, width = np.random.default_rng(7), len(quality_model.features(""))
+    x = rng.standard_normal((700, width))
+    y = np.array([1] * rare + [0] * (700 - rare))
+    x[:, 3] += y
+    hashes = rng.integers(-(2**62), 2**62, 700)
+    rows = spark.createDataFrame([(int(h), int(k), bytearray(v.tobytes())) for h, k, v in zip(hashes, y, x, strict=True)], "hash long, y int, x binary")
+    counts = (700 - rare, rare)
+    blocks = quality_model._dealt(rows, counts).cache()
+    model = quality_model._fitted_blocks(blocks, counts, penalty=1e-2)
+    found, used, gaps = blocks.collect(), Counter(), []
+    assert len(found) == 11 and sum(sum(r.own) for r in found) == 700
+    for r in found:
+        part, labels = quality_model._matrix([r.x]).reshape(-1, width), np.frombuffer(r.y, np.int8)
+        good, bad = quality_model._paired(r.block, labels, quality_model.SEED)
+        assert (labels[good] == 1).all() and (labels[bad] == 0).all()
+        used.update(part[i].tobytes() for i in (*good, *bad))
+        gaps.append((part[good] - part[bad]) / model.scale)
+    assert len(used) == 700 and min(used.values()) >= quality_model.ROUNDS
+    gap = np.concatenate(gaps)
+    strength = ((x - x.mean(0)) / x.std(0)) @ model.weights
+    # Weights are given at a spread of 3; the fit's own are a multiple of them.
+    ways = [np.abs(gap.T @ (1 / (1 + np.exp(-gap @ (k * model.weights))) - 1) / len(gap) + 1e-2 * k * model.weights).max() for k in np.linspace(0.05, 3, 4000)]
+    assert min(ways) < 1e-3
+    assert strength.std() == pytest.approx(3) and model.cut == pytest.approx(np.quantile(strength, counts[0] / 700))
+
+
 def test_pairwise_fit_orders_by_the_signal():
     rng = np.random.default_rng(0)
     x = rng.standard_normal((400, len(quality_model.features(""))))

@@ -2,25 +2,33 @@
 
 A document's strength is linear in features of its text. Pairs of a preferred and a
 rejected document are drawn from the labels, and the weights minimise the logistic loss
-of the pairs' feature differences. A quantile of the strengths is the threshold.
+of the pairs' feature differences. A quantile of the strengths is the threshold. All
+labelled rows are fitted: they are dealt by hash into blocks, pairs are drawn within a
+block, and what comes back from a pass is a block's gradient and Hessian.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waybill.llm.shared import carried, text_key
+from waybill.operators.quantiles import exact_quantiles
+from waybill.session import materialised, observed
 
-#: Labelled rows that the fit may use, those of smallest hash, and the pairs drawn from them.
-FIT_ROWS, PAIRS = 20_000, 60_000
+#: Pairs of a fit on rows that the driver holds.
+PAIRS = 60_000
+#: Labelled rows of a block; rows of either kind it has at least, if need be by copies; pairs a row of its commoner kind.
+BLOCK, LEAST, ROUNDS = 4096, 64, 3
 #: Score at the threshold.
 CUT = 0.7
 SEED = 3
@@ -93,45 +101,190 @@ def fitted(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, penalty: float = 1e
     x = (x - mean) / scale
     rng = np.random.default_rng(seed)
     gap = x[good[rng.integers(len(good), size=pairs)]] - x[bad[rng.integers(len(bad), size=pairs)]]
+    w = _newton(lambda w: tuple(a / pairs for a in _slopes(gap, w)), width, penalty)
+    s = x @ w
+    spread = s.std() or 1.0
+    return Model(mean, scale, w / spread * 3, float(np.quantile(s / spread * 3, len(bad) / (len(good) + len(bad)))))
+
+
+def _slopes(gap: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian of the pairs' logistic loss."""
+    p = 1 / (1 + np.exp(-np.clip(gap @ w, -30, 30)))
+    return gap.T @ (p - 1), (gap * (p * (1 - p))[:, None]).T @ gap
+
+
+def _newton(mean_slopes: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], width: int, penalty: float) -> np.ndarray:
+    """Weights where the penalised loss is least."""
     w = np.zeros(width)
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(gap @ w, -30, 30)))
-        slope = gap.T @ (p - 1) / pairs + penalty * w
-        curve = (gap * (p * (1 - p))[:, None]).T @ gap / pairs + penalty * np.eye(width)
-        step = np.linalg.solve(curve, slope)
+        slope, curve = mean_slopes(w)
+        step = np.linalg.solve(curve + penalty * np.eye(width), slope + penalty * w)
         w = w - step
         if np.abs(step).max() < 1e-8:
             break
-    s = x @ w
-    spread = s.std() or 1.0
-    return Model(mean, scale, w / spread * 3, float(np.quantile(s / spread * 3, len(bad) / (len(good) + len(bad)))))
+    return w
+
+
+@F.pandas_udf(T.BinaryType())
+def _features(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: features(t).tobytes(), na_action=None)
+
+
+def _matrix(x: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(x)).reshape(len(x), -1)
+
+
+def _measured(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(d_id, key, x): features in place of texts."""
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).alias("d_id"), text_key(text).alias("key"), _features(text).alias("x"))
+
+
+def _labelled(measured: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """(hash, y, x): the rows that a fit may use, those that repeat id, text and label once."""
+    known = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("y"))
+    known = known.where(F.col("l_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("l_id"))).distinct()
+    found = measured.join(known, measured["d_id"] == known["l_id"])
+    # Features of equal texts are equal, so any one of them stands for all.
+    found = found.select("d_id", "y", "key", "x").dropDuplicates(["d_id", "y", "key"])
+    return found.select(F.xxhash64("d_id", "key").alias("hash"), "y", "x")
+
+
+def _dealt(rows: DataFrame, counts: tuple[int, int]) -> DataFrame:
+    """(block, x, y, own): arrays of the rows dealt to a block by their hash.
+
+    Every block has to have rows of both kinds. Of a kind that is too rare for that each
+    row is copied to the blocks after its own; ``own`` tells rows from copies.
+    """
+    n = -(-sum(counts) // BLOCK)
+    copies = [min(n, max(1, -(-n * LEAST // c))) for c in counts]
+    each = F.sequence(F.lit(0), F.when(F.col("y") == 1, copies[1] - 1).otherwise(copies[0] - 1))
+    placed = rows.select("hash", "y", "x", F.explode(each).alias("copy"))
+    placed = placed.withColumn("block", F.pmod(F.col("hash") + F.col("copy"), F.lit(n)))
+
+    def packed(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("copy", "ascending"), ("hash", "ascending"), ("y", "ascending")])
+        y, own = block.column("y").to_numpy().astype(np.int8), (block.column("copy").to_numpy() == 0).astype(np.int8)
+        x = b"".join(block.column("x").to_pylist())
+        return pa.table({"block": block.column("block")[:1], **{n: pa.array([v], pa.binary()) for n, v in (("x", x), ("y", y.tobytes()), ("own", own.tobytes()))}})
+
+    # Told how many, as adaptive execution would put blocks into one task and each pass would read them in one.
+    return placed.repartition(min(n, 1000), "block").groupBy("block").applyInArrow(packed, "block long, x binary, y binary, own binary")
+
+
+Block = tuple[int, np.ndarray, np.ndarray, np.ndarray]
+
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
+    """Number, features, labels and marks of own rows of each block."""
+    for b in batches:
+        for r in range(b.num_rows):
+            number, x, y, own = (b.column(c)[r] for c in ("block", "x", "y", "own"))
+            y = np.frombuffer(y.as_buffer(), np.int8)
+            yield number.as_py(), np.frombuffer(x.as_buffer()).reshape(len(y), -1), y, np.frombuffer(own.as_buffer(), np.int8) == 1
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int = FIT_ROWS) -> Model:
-    """Fit on at most ``rows`` labelled documents, chosen by hash of their ids.
+
+def _per_block(blocks: DataFrame, figures: Callable[[int, np.ndarray, np.ndarray, np.ndarray], np.ndarray]) -> list[np.ndarray]:
+    """What ``figures`` says of each block, in order of their numbers, so that sums are the same in every run."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([block[0]], pa.int64()), pa.array([figures(*block).tobytes()], pa.binary())], ["block", "figures"])
+
+    return [np.frombuffer(r["figures"]) for r in sorted(blocks.mapInArrow(run, "block long, figures binary").collect(), key=lambda r: r["block"])]
+
+
+def _moments(parts: list[np.ndarray]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, mean and standard deviation from each block's (rows, mean, squares about it)."""
+    n, mean, squares = 0.0, 0.0, 0.0
+    for part in parts:
+        m, (mid, around) = part[0], np.split(part[1:], 2)
+        if m:
+            gap = mid - mean
+            n, mean, squares = n + m, mean + gap * m / (n + m), squares + around + gap**2 * n * m / (n + m)
+    return int(n), mean, np.sqrt(squares / n)
+
+
+def _moment_parts(x: np.ndarray) -> np.ndarray:
+    mean = x.mean(0) if len(x) else np.zeros(x.shape[1])
+    return np.concatenate([[len(x)], mean, ((x - mean) ** 2).sum(0)])
+
+
+def _paired(number: int, y: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of a block's preferred and rejected rows, pair by pair: each row is in ``ROUNDS`` pairs or more."""
+    rng = np.random.default_rng([seed, number])
+    sides = [np.flatnonzero(y == 1), np.flatnonzero(y == 0)]
+    most = max(map(len, sides))
+    if not all(map(len, sides)):
+        return np.zeros(0, int), np.zeros(0, int)
+    # Each side in random orders, one after the other, the rarer as often as it takes.
+    laid = [np.concatenate([rng.permutation(s) for _ in range(-(-most * ROUNDS // len(s)))])[: most * ROUNDS] for s in sides]
+    return laid[0], laid[1]
+
+
+def _fitted_blocks(blocks: DataFrame, counts: tuple[int, int], penalty: float = 1e-3, seed: int = SEED) -> Model:
+    """``fitted`` by passes over blocks: all rows, pairs of rows of one block."""
+    width = len(features(""))
+    _, mean, scale = _moments(_per_block(blocks, lambda _, x, y, own: _moment_parts(x[own])))
+    scale = np.where(scale > 1e-9, scale, 1.0)
+
+    def sums(w: np.ndarray):
+        def figures(number: int, x: np.ndarray, y: np.ndarray, own: np.ndarray) -> np.ndarray:
+            good, bad = _paired(number, y, seed)
+            total = np.zeros(1 + width + width * width)
+            for at in range(0, len(good), BLOCK):
+                gap = (x[good[at : at + BLOCK]] - x[bad[at : at + BLOCK]]) / scale
+                slope, curve = _slopes(gap, w)
+                total += np.concatenate([[len(gap)], slope, curve.ravel()])
+            return total
+
+        return figures
+
+    def mean_slopes(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total = sum(_per_block(blocks, sums(w)))
+        return total[1 : 1 + width] / total[0], total[1 + width :].reshape(width, width) / total[0]
+
+    w = _newton(mean_slopes, width, penalty)
+
+    def strengths(x: np.ndarray) -> np.ndarray:
+        return ((x - mean) / scale) @ w
+
+    _, _, spread = _moments(_per_block(blocks, lambda _, x, y, own: _moment_parts(strengths(x[own])[:, None])))
+    w = w / (spread[0] or 1.0) * 3
+
+    def own_strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, x, _, own in _blocks(batches):
+            s = strengths(x[own])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(s), np.int32)), pa.array(s)], ["all", "strength"])
+
+    share = counts[0] / sum(counts)
+    cut = exact_quantiles(blocks.mapInArrow(own_strengths, "all int, strength double"), ["all"], "strength", {"cut": share}, few_groups=True)
+    return Model(mean, scale, w, float(cut.first()["cut"]))
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows: int | None = None) -> Model:
+    """Fit on all labelled documents, or on ``rows`` of them, chosen by hash of ids and texts, where that is given.
 
     Held-out rows, null labels and labels other than 0 and 1 are never used; an id with
     both labels counts with both. Rows that repeat id and text are one document; of an id
-    with several texts each counts, as far as ``rows`` goes. Only features of the chosen
-    rows come to the driver.
+    with several texts each counts. Texts become features where they lie; features are
+    written with their labels, dealt into blocks and read by each pass. Only sums a block
+    come to the driver, or the ``rows`` that were asked for.
     """
-    known = labels.select(F.col(id_col).alias("l_id"), F.col(label_col).cast("int").alias("y"))
-    known = known.where(F.col("l_id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("l_id"))).distinct()
-    chosen = known.orderBy(F.xxhash64("l_id"), "l_id", "y").limit(rows)
-    texts = docs.select(F.col(id_col).alias("d_id"), F.col(text_col).alias("text"))
+    return _fit(_measured(docs.where(~held_out(F.col(id_col))), id_col, text_col), labels, id_col, label_col, rows)
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def measured(text: pd.Series) -> pd.Series:
-        return text.map(lambda t: features(t).tolist())
 
-    # The broadcast side has at most ``rows`` rows of two numbers.
-    found = texts.join(F.broadcast(chosen), texts["d_id"] == chosen["l_id"]).withColumn("key", text_key(F.col("text")))
-    # Features of equal texts are equal, so any one of them stands for all.
-    found = found.select("d_id", "y", "key", measured("text").alias("x")).dropDuplicates(["d_id", "y", "key"])
-    found = found.orderBy(F.xxhash64("d_id", "key"), "d_id", "key", "y").limit(rows)
-    got = sorted((r["d_id"], r["y"], tuple(r["x"])) for r in found.toLocalIterator())
-    x = np.array([g[2] for g in got]).reshape(len(got), len(features("")))
-    return fitted(x, np.array([g[1] for g in got], int))
+def _fit(measured: DataFrame, labels: DataFrame, id_col: str, label_col: str, rows: int | None = None) -> Model:
+    found = _labelled(measured, labels, id_col, label_col)
+    if rows is not None:
+        got = sorted((r["hash"], r["y"], r["x"]) for r in found.orderBy("hash", "y").limit(rows).toLocalIterator())
+        return fitted(_matrix([g[2] for g in got]), np.array([g[1] for g in got], int))
+    found, seen = observed(found, rows=F.count(F.lit(1)), good=F.coalesce(F.sum("y"), F.lit(0)))
+    # Without any row Spark may leave the figures out.
+    counts = (seen.get("rows", 0) - seen.get("good", 0), seen.get("good", 0))
+    if not all(counts):
+        return fitted(np.zeros((0, len(features("")))), np.zeros(0, int))
+    return _fitted_blocks(materialised(_dealt(found, counts)), counts)
 
 
 def score_of(model: Model, text: Column) -> Column:
@@ -159,8 +312,14 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     every score is ``CUT`` and nothing is rejected. Other columns are ignored; an empty
     table gives an empty result.
     """
-    model = fit(docs, labels, id_col, text_col, label_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), score_of(model, F.col(text_col)).alias("score"))
+    rows = materialised(_measured(docs, id_col, text_col))
+    model = _fit(rows.where(~held_out(F.col("d_id"))), labels, id_col, label_col)
+
+    @F.pandas_udf(T.DoubleType())
+    def score(x: pd.Series) -> pd.Series:
+        return pd.Series(model.scores(_matrix(list(x))) if len(x) else [], dtype=float)
+
+    rows = rows.select(F.col("d_id").alias("doc_id"), score("x").alias("score"))
     return rows.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted")
     )
