@@ -179,3 +179,18 @@ def test_html_text(spark):
     want = [(k, u, html_text.main_text(h)) for k, u, h in rows]
     assert sorted([tuple(r) for r in found.collect()], key=repr) == sorted([(*w, len(w[2])) for w in want], key=repr)
     assert html_text.html_text(df.limit(0)).count() == 0
+
+
+def test_a_worker_keeps_what_one_operator_knows():
+    """Ids of words go when another operator's task comes to the worker."""
+    import pyarrow as pa
+
+    from waybill.llm import packing, quality_model, shared
+    from waybill.llm.queries import tokenizer_path
+
+    known = packing._shared_ids(tokenizer_path())
+    known("some words")
+    assert packing._shared_ids(tokenizer_path()) is known
+    quality_model._features.func(pa.array(["text", None]))
+    assert not shared._KEPT and packing._shared_ids(tokenizer_path()) is not known
+    assert list(shared.strings(pa.array([str(i) for i in range(1300)]))) == [str(i) for i in range(1300)]

@@ -11,8 +11,8 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from itertools import batched
 
 import numpy as np
 import pandas as pd
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.shared import text_key
+from waybill.llm.shared import kept, strings, text_key
 from waybill.session import materialised
 
 LENGTH = 4096
@@ -94,10 +94,10 @@ class ChunkIds:
         for c, w in plain.items():
             self.known[c] = self.words[w] + self.known[c[len(w) :]]
 
-    def of(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def of(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """Ids of each text, ``END`` last."""
-        for at in range(0, len(texts), 64):
-            lists = [self.chunks(t) for t in texts[at : at + 64]]
+        for some in batched(texts, 64):
+            lists = [self.chunks(t) for t in some]
             self.learn(set().union(*lists))
             get = self.known.__getitem__
             for chunks in lists:
@@ -107,10 +107,9 @@ class ChunkIds:
         return next(self.of([text]))
 
 
-@lru_cache(maxsize=1)
 def _shared_ids(path: str) -> ChunkIds:
     """One for each Python worker, which keeps what it knows from task to task."""
-    return ChunkIds(path)
+    return kept(("packing", path), lambda: ChunkIds(path))
 
 
 def _pieces(path: str, length: int):
@@ -120,7 +119,7 @@ def _pieces(path: str, length: int):
         known = _shared_ids(path)
         for b in batches:
             row, piece, start, size, crc = [], [], [], [], []
-            for i, ids in enumerate(known.of([t or "" for t in b.column("text").to_pylist()])):
+            for i, ids in enumerate(known.of(t or "" for t in strings(b.column("text")))):
                 for k, s in enumerate(range(0, len(ids), length)):
                     part = ids[s : s + length]
                     row.append(i)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waybill.llm.shared import carried, text_key
+from waybill.llm.shared import carried, forget, strings, text_key
 from waybill.operators.quantiles import exact_quantiles
 from waybill.session import materialised, observed
 
@@ -125,9 +125,10 @@ def _newton(mean_slopes: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]],
     return w
 
 
-@F.pandas_udf(T.BinaryType())
-def _features(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: features(t).tobytes(), na_action=None)
+@F.arrow_udf(T.BinaryType())
+def _features(text: pa.Array) -> pa.Array:
+    forget()
+    return pa.array([features(t).tobytes() for t in strings(text)], pa.binary())
 
 
 def _matrix(x: list[bytes]) -> np.ndarray:
@@ -290,11 +291,12 @@ def _fit(measured: DataFrame, labels: DataFrame, id_col: str, label_col: str, ro
 def score_of(model: Model, text: Column) -> Column:
     """The model's score of each whole text, from 0 to 1; a null text is scored as empty."""
 
-    @F.pandas_udf(T.DoubleType())
-    def score(text: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.DoubleType())
+    def score(text: pa.Array) -> pa.Array:
+        forget()
         if not len(text):
-            return pd.Series([], dtype=float)
-        return pd.Series(model.scores(np.stack([features(t) for t in text])))
+            return pa.array([], pa.float64())
+        return pa.array(model.scores(np.stack([features(t) for t in strings(text)])))
 
     return score(text)
 
