@@ -238,3 +238,36 @@ def test_feature_table(spark, tiny):
 def test_missing_insights_give_an_empty_report(spark, tiny):
     base = Warehouse(tiny).stg_orders.select("order_id")
     assert reports.review_theme_counts(base, None).count() == 0
+
+
+def test_baskets_are_items_products_and_sellers_of_an_order(spark):
+    """One dealing of items gives what the separate blocks give: repeated and unknown products, no seller, no product, no order."""
+    items = spark.createDataFrame(
+        [(1, 10, 5, 2.0, 1.0), (1, 10, 6, 4.0, 0.0), (1, 11, 5, 8.0, 3.0), (2, None, 7, 1.0, 1.0), (3, 12, 99, 5.0, 2.0), (4, 12, None, 1.0, 0.5), (None, 12, 5, 1.0, 1.0), (None, 10, 5, 1.0, 1.0)],
+        "order_id long, seller_id long, product_id long, price double, freight_value double",
+    )
+    products = spark.createDataFrame(
+        [(5, "a", 10.0, 1.0, 2.0, 3.0), (5, "b", 20.0, 1.0, 1.0, 1.0), (6, "a", None, None, 1.0, 1.0), (7, None, 3.0, 1.0, 1.0, 1.0), (None, "c", 9.0, 9.0, 9.0, 9.0), (None, "c", 9.0, 9.0, 9.0, 9.0)],
+        "product_id long, product_category_name string, product_weight_g double, product_length_cm double, product_height_cm double, product_width_cm double",
+    )
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    baskets = features.order_baskets(items, products)
+    found = features.basket_measures(baskets)
+    assert rows(features.item_measures(found)) == rows(features.item_measures(order_grain.int_order_items(items)))
+    known = features.basket_measures(baskets.where("n_products > 0")).select("order_id", *features.PRODUCT_FEATURES)
+    assert rows(known) == rows(features.product_features(items, products).select("order_id", *features.PRODUCT_FEATURES))
+    assert {r.order_id: r.nb_distinct_categories for r in found.collect()} == {1: 2, 2: 0, 3: None, 4: None, None: 2}
+    orders = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x"), (3, "x"), (5, "x"), (None, "x")], "order_id long, tag string")
+    pairs = features.order_sellers(items).join(orders, "order_id").select("order_id", "tag", "seller_id")
+    assert rows(features.with_sellers(orders, baskets)) == rows(pairs)
+
+
+def test_features_deal_items_out_once(tiny, monkeypatch):
+    """Items by order are shuffled for the baskets alone; blocks read what was written."""
+    dealt, kept = [], features.order_baskets
+    monkeypatch.setattr(features, "order_baskets", lambda *given: dealt.append(1) or kept(*given))
+    monkeypatch.setattr(features, "order_sellers", lambda items: pytest.fail("items were dealt out again"))
+    w = Warehouse(tiny)
+    blocks = features.feature_blocks(w)
+    assert dealt == [1] and list(blocks) == ["seller_late_rate", "temporal", "items", "payments", "products", "distance"]
+    assert features.features_orders(w).columns == ["order_id", *[c for b in blocks.values() for c in b.columns if c != "order_id"]]
