@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 
+from waybill.operators.workers import settle_worker
+
 #: Rows of a block of arrays.
 STEP = 2048
 #: Bytes of sums that the driver adds up itself; more are added on the executors first.
@@ -95,6 +97,7 @@ class _Passes:
         sent = self.blocks.context.broadcast(given)
 
         def partial(some: Iterator[Block]) -> Iterator[np.ndarray]:
+            settle_worker()
             total = np.zeros(size)
             for b in some:
                 compute(total, b, *sent.value)
