@@ -211,3 +211,31 @@ def test_softmax_ends_where_the_gradient_is_zero_in_few_passes(spark):
     assert np.abs(miss.T @ x + fitted.coefficients).max() / w.sum() < 1e-8
     assert np.abs(miss.sum(axis=0)).max() / w.sum() < 1e-8 and abs(fitted.intercepts.sum()) < 1e-9
     assert fitted.passes < 60
+
+
+@pytest.mark.parametrize("kept", [1 << 18, 40])
+def test_softmax_by_rows_finds_the_same_optimum_without_a_vector_of_terms(spark, monkeypatch, kept):
+    """More terms than rows: the driver sends and gets a figure per row and class only, whatever ranges there are."""
+    from waybill.operators import softmax
+
+    rng = np.random.default_rng(5)
+    n, size, classes = 90, 700, 3
+    rows = []
+    for i in range(n):
+        taken = np.unique((size * rng.random(15) ** 3).astype(int)) if i % 30 else np.array([], int)
+        values = rng.random(len(taken)) + 0.1
+        values /= np.sqrt((values**2).sum()) or 1.0
+        rows.append(([(int(p), float(v)) for p, v in zip(taken, values, strict=True)], float(rng.integers(classes)), 0.5 + i % 3))
+    df = spark.createDataFrame(rows, "entries array<struct<position:int,weight:double>>, label double, weight double").repartition(3)
+    monkeypatch.setattr(softmax, "RANGE", kept)
+    monkeypatch.setattr(softmax, "TASK", 4 * kept)
+    products, product = [], softmax._Ranges.product
+    monkeypatch.setattr(softmax._Ranges, "product", lambda self, f: products.append((f.size, (found := product(self, f)).size)) or found)
+    fitted = softmax.fit_by_rows(df, size, classes)
+    want = softmax.fit_softmax(df, size, classes)
+    assert set(products) == {(n * classes, n * classes)} and fitted.passes == len(products) < 100
+    table = {r.position: r.b for r in fitted.coefficients.collect()}
+    for position in range(size):
+        assert table.get(position, [0.0] * classes) == pytest.approx(list(want.coefficients[:, position]), abs=1e-6)
+    assert list(fitted.intercepts) == pytest.approx(list(want.intercepts), abs=1e-6)
+    assert abs(sum(fitted.intercepts)) < 1e-9

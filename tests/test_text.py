@@ -3,12 +3,15 @@
 import math
 import re
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from waybill import fixed_values as fixed
 from waybill.functions import text
+from waybill.operators import softmax
 from waybill.operators.tfidf import tfidf
 from waybill.plans import themes
 
@@ -157,3 +160,31 @@ def test_ngrams_of_long_texts_take_no_square_of_their_length(spark):
     assert got[1] == ["um", "dois", "tres", "um dois", "dois tres", "um dois tres"]
     assert got[2] == ["um"] and got[3] == [] and got[4] is None
     assert "slice(" not in grams._jdf.queryExecution().analyzed().toString()
+
+
+def test_classifier_of_more_terms_than_texts_keeps_nothing_by_term_on_the_driver(spark, monkeypatch):
+    """The same probabilities either way; with repeated, null and wordless texts, and texts of unknown words only."""
+    rng = np.random.default_rng(3)
+    line = lambda kind: " ".join([f"{kind}{w}" for w in rng.integers(60, size=25)] + [f"w{w}" for w in rng.integers(90, size=25)])
+    rows = [(i, line("ab"[i % 2]), "ab"[i % 2]) for i in range(60)] + [(7, line("a"), "a"), (None, line("a"), "a"), (61, None, "b"), (62, "!", "a")]
+    train = spark.createDataFrame(rows, "order_id int, texte_nettoye string, motif_regle string")
+    asked = train.unionByName(spark.createDataFrame([(90, "zz yy", "a")], train.schema))
+    scored = lambda c: {(r.order_id, r.motif_regle): r.probabilities for r in c.probabilities(asked, ["motif_regle"]).collect()}
+
+    def by_terms(*_):
+        raise AssertionError("a vector over all terms on the driver")
+
+    with monkeypatch.context() as m:
+        m.setattr(themes, "fit_softmax", by_terms)
+        fitted = themes.ThemeClassifier().fit(train)
+    assert fitted.size > len(rows)
+    held = [v for v in vars(fitted).values() if not isinstance(v, (str, int, type(train)))]
+    assert max(len(v) for v in held) == len(fitted.classes) == 2
+    found = scored(fitted)
+    with monkeypatch.context() as m:
+        m.setattr(themes, "fit_by_rows", lambda *given: SimpleNamespace(coefficients=(f := softmax.fit_softmax(*given)).table(train), intercepts=f.intercepts))
+        want = scored(themes.ThemeClassifier().fit(train))
+    assert found.keys() == want.keys() and len(found) == 65
+    for key, p in found.items():
+        assert p == pytest.approx(want[key], abs=1e-6) and sum(p) == pytest.approx(1.0)
+    assert found[90, "a"] == pytest.approx(found[61, "b"])

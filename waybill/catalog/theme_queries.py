@@ -239,9 +239,13 @@ def reclassify_confident(w):
 
 
 def _rule_labelled(w):
-    """Training rows, as in production: negative texts that a rule labels."""
-    labelled = themes.label_with_rules(themes.negative_corpus(reviewed(w)))
-    return labelled.filter(F.col("motif_regle") != THEME_OTHER)
+    """Training rows, as in production: negative texts that a rule labels.
+
+    Texts are cleaned and labelled once, however often the rows are read: Spark would put both
+    into every filter and pass.
+    """
+    negatives = materialised(themes.negative_corpus(reviewed(w)))
+    return materialised(themes.label_with_rules(negatives)).filter(F.col("motif_regle") != THEME_OTHER)
 
 
 def _held_out_guesses(w):
@@ -260,7 +264,7 @@ def theme_classifier(w):
 @query("theme_stationarity", "select 0::bigint as n_beyond, true as covers_vocabulary")
 def theme_stationarity(w):
     """The gradient of the classifier's penalised loss is zero for every term and class."""
-    labelled = materialised(_rule_labelled(w))
+    labelled = _rule_labelled(w)
     fitted = themes.ThemeClassifier().fit(labelled)
     found = fitted.stationarity(labelled)
     whole = (fitted.size + 1) * len(fitted.classes)
@@ -278,7 +282,7 @@ def theme_confusion(w):
 @query("review_insights_classified")
 def review_insights_classified(w):
     base = materialised(reviewed(w))
-    labelled = materialised(themes.label_with_rules(themes.negative_corpus(base)).filter(F.col("motif_regle") != THEME_OTHER))
+    labelled = materialised(themes.label_with_rules(themes.negative_corpus(base))).filter(F.col("motif_regle") != THEME_OTHER)
     return themes.review_insights(base, classifier=themes.ThemeClassifier().fit(labelled))
 
 

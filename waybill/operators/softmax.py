@@ -1,8 +1,11 @@
 """Multinomial logistic regression on sparse rows, by Newton's method.
 
-Rows are kept by the executors as arrays of some thousand rows. A pass sends the
-coefficients to them and adds up what has the size of the model; the steps come from
-conjugate gradients, one product with the Hessian a pass, which never is whole.
+Two ways to the same optimum; the steps of both come from conjugate gradients, one product
+with the Hessian a pass, which never is whole. ``fit_softmax`` keeps rows on the executors,
+sends them the coefficients and adds up what has the size of the model. ``fit_by_rows`` is for
+more terms than rows: the penalty makes the best coefficients sums over the rows' entries, so
+the driver holds a figure per row and class, executors keep the entries by ranges of
+positions, and coefficients are only ever made there, a range at a time.
 """
 
 from __future__ import annotations
@@ -13,16 +16,24 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import RDD, StorageLevel
+from pyspark import RDD, StorageLevel, TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from waybill.operators.workers import settle_worker
+from waybill.session import materialised
 
 #: Rows of a block of arrays.
 STEP = 2048
 #: Bytes of sums that the driver adds up itself; more are added on the executors first.
 DIRECT = 1 << 26
 
+#: Entries of a range of positions that are kept together, and of a task's ranges from which there are more tasks.
+RANGE, TASK = 1 << 18, 1 << 23
+
+#: An entry in a range.
+ENTRY = np.dtype([("at", np.int32), ("position", np.int32), ("value", np.float64)])
+
 #: Row, position and value of each entry; label and weight of each row.
 Block = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
@@ -35,9 +46,20 @@ class SoftmaxFit:
     intercepts: np.ndarray
     passes: int
 
-    def probabilities(self, at: np.ndarray, position: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
-        """(row, class) for ``n`` rows with the given entries."""
-        return _softmax(_margins(at, position, value, n, np.column_stack([self.coefficients, self.intercepts])))[0].T
+    def table(self, rows: DataFrame) -> DataFrame:
+        """(position, b): a coefficient a class of every position; ``rows`` only gives the session."""
+        k, size = self.coefficients.shape
+        lists = pa.FixedSizeListArray.from_arrays(pa.array(self.coefficients.T.ravel()), k).cast(pa.list_(pa.float64()))
+        return rows.sparkSession.createDataFrame(pa.table({"position": pa.array(range(size), pa.int64()), "b": lists}))
+
+
+@dataclass(frozen=True)
+class RowFit:
+    """Coefficients as a written table (position, b), ``b`` a list by class; intercepts and passes."""
+
+    coefficients: DataFrame = field(repr=False)
+    intercepts: np.ndarray
+    passes: int
 
 
 def entry_arrays(entries: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,3 +222,189 @@ def _solved(product, wanted: np.ndarray, diagonal: np.ndarray, share: float, mos
         new = float((left * z).sum())
         way, size = z + new / size * way, new
     return x if x.any() else scale * wanted
+
+
+# --- more terms than rows ----------------------------------------------------
+
+
+class _Ranges:
+    """The entries of all rows by ranges of positions, and labels and weights of the rows."""
+
+    def __init__(self, rows: DataFrame, size: int) -> None:
+        spark = rows.sparkSession
+        blocks = materialised(rows.select("entries", "label", "weight").mapInArrow(_numbered_blocks, "block long, label binary, weight binary, n long, entries binary"))
+        found = sorted(blocks.select("block", "label", "weight", "n").collect(), key=lambda r: r["block"])
+        self.label = np.concatenate([np.frombuffer(r["label"], np.int32) for r in found] or [np.zeros(0, np.int32)])
+        self.weight = np.concatenate([np.frombuffer(r["weight"]) for r in found] or [np.zeros(0)])
+        self.n, n_entries = len(self.label), sum(r["n"] for r in found)
+        lengths = [len(r["label"]) // 4 for r in found]
+        first = {r["block"]: int(end - n) for r, n, end in zip(found, lengths, np.cumsum(lengths), strict=True)}
+        self.tasks = max(spark.sparkContext.defaultParallelism, -(-n_entries // TASK))
+        parts = self.tasks * max(1, -(-n_entries // (self.tasks * RANGE)))
+        width = -(-size // parts)
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for block, given in zip(b.column("block").to_pylist(), b.column("entries"), strict=True):
+                    entries = np.frombuffer(given.as_buffer(), ENTRY)
+                    entries = entries[np.argsort(entries["position"], kind="stable")]
+                    part, start = np.unique(entries["position"] // width, return_index=True)
+                    ends = [*start[1:], len(entries)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(part, pa.int32()), pa.array([first[block]] * len(part), pa.int64()), pa.array([entries[s:e].tobytes() for s, e in zip(start, ends, strict=True)], pa.binary())],
+                        ["part", "first", "entries"],
+                    )
+
+        def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            pieces: dict[int, list[np.ndarray]] = {}
+            for b in batches:
+                for part, start, given in zip(b.column("part").to_pylist(), b.column("first").to_pylist(), b.column("entries").to_pylist(), strict=True):
+                    piece = np.frombuffer(given, ENTRY).copy()
+                    piece["at"] += start
+                    pieces.setdefault(part, []).append(piece)
+            for part in sorted(pieces):
+                whole = np.concatenate(pieces.pop(part))
+                whole = whole[np.lexsort((whole["at"], whole["position"]))]
+                yield pa.RecordBatch.from_arrays([pa.array([part * width], pa.int64()), pa.array([whole.tobytes()], pa.binary())], ["start", "entries"])
+
+        cuts = blocks.select("block", "entries").mapInArrow(cut, "part int, first long, entries binary")
+        dealt = cuts.repartitionById(self.tasks, F.col("part") % self.tasks)
+        self.table = materialised(dealt.mapInArrow(gathered, "start long, entries binary"))
+        self.size, self.width, self.passes = size, width, 0
+        self.kept = self.table.rdd.map(lambda r: (r["start"], r["entries"])).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def product(self, figures: np.ndarray) -> np.ndarray:
+        """(class, row): every row's entries times the coefficients that ``figures`` (class, row) give."""
+        self.passes += 1
+        width, shape = self.width, figures.shape
+        sent = self.kept.context.broadcast(figures)
+
+        def partial(some: Iterator[tuple[int, bytes]]) -> Iterator[np.ndarray]:
+            settle_worker()
+            total = np.zeros(shape)
+            for start, given in some:
+                at, position, value = _columns(given, start)
+                for out, f in zip(total, sent.value, strict=True):
+                    b = np.bincount(position, value * f[at], width)
+                    out += np.bincount(at, value * b[position], shape[1])
+            yield total
+
+        parts = self.kept.mapPartitions(partial)
+        several = self.kept.getNumPartitions()
+        total = parts.treeReduce(np.add) if several * figures.nbytes > DIRECT else sum(parts.collect(), np.zeros(shape))
+        sent.destroy()
+        return total
+
+    def coefficients(self, figures: np.ndarray) -> DataFrame:
+        """(position, b) of all positions: the sums over rows of their entries times their figures, written."""
+        width, size = self.width, self.size
+        sent = self.kept.context.broadcast(figures)
+
+        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for start, given in zip(b.column("start").to_pylist(), b.column("entries"), strict=True):
+                    at, position, value = _columns(given.as_buffer(), start)
+                    n = min(width, size - start)
+                    sums = np.column_stack([np.bincount(position, value * f[at], n) for f in sent.value])
+                    lists = pa.FixedSizeListArray.from_arrays(pa.array(sums.ravel()), sums.shape[1]).cast(pa.list_(pa.float64()))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(start, start + n)), lists], ["position", "b"])
+
+        return materialised(self.table.mapInArrow(found, "position long, b array<double>"))
+
+
+def _columns(given, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, positions from ``start`` on and values, each in one piece."""
+    entries = np.frombuffer(given, ENTRY)
+    return entries["at"].copy(), entries["position"] - start, entries["value"].copy()
+
+
+def _numbered_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some thousand rows a block, fewer of long ones; its number is that of its task and its own within it."""
+    block = TaskContext.get().partitionId() << 32
+    for whole in batches:
+        n_entries = len(whole.column("entries").flatten())
+        step = max(1, min(STEP, whole.num_rows * RANGE // max(n_entries, 1)))
+        for start in range(0, whole.num_rows, step):
+            b = whole.slice(start, step)
+            at, position, value = entry_arrays(b.column("entries"))
+            entries = np.empty(len(at), ENTRY)
+            entries["at"], entries["position"], entries["value"] = at, position, value
+            label, weight = b.column("label").to_numpy().astype(np.int32), b.column("weight").to_numpy().astype(float)
+            parts = [pa.array([a.tobytes()], pa.binary()) for a in (label, weight, entries)]
+            yield pa.RecordBatch.from_arrays([pa.array([block]), *parts[:2], pa.array([len(at)]), parts[2]], ["block", "label", "weight", "n", "entries"])
+            block += 1
+
+
+def fit_by_rows(rows: DataFrame, size: int, classes: int, ridge: float = 1.0, tolerance: float = 1e-8, most_steps: int = 100) -> RowFit:
+    """``fit_softmax`` with a figure per row and class in place of coefficients.
+
+    Coefficients that are sums of the rows' entries times figures a have the margins K a, K being
+    the rows' inner products; gradient, steps and their products with the Hessian are such
+    sums too. A pass multiplies by K, range by range of positions, without K being whole. It ends when
+    the norm of the gradient, per unit of weight, is at most ``tolerance``.
+    """
+    ranges = _Ranges(rows, size)
+    weight, rows_now = ranges.weight, np.arange(ranges.n)
+    label = np.zeros((classes, ranges.n))
+    label[ranges.label, rows_now] = 1.0
+
+    def objective(a: np.ndarray, ka: np.ndarray, b: np.ndarray) -> tuple[float, np.ndarray]:
+        z = ka + b[:, None]
+        p, log_sum = _softmax(z)
+        return float(np.sum(weight * (log_sum - z[ranges.label, rows_now]))) + 0.5 * ridge * float((a * ka).sum()), p
+
+    a, ka, b = np.zeros(label.shape), np.zeros(label.shape), np.zeros(classes)
+    loss, p = objective(a, ka, b)
+    first = None
+    for _ in range(most_steps):
+        miss = weight * (p - label)
+        slope, slope_b = ridge * a + miss, miss.sum(axis=1)
+        k_slope = ranges.product(slope)
+        worst = float(np.sqrt(max((slope * k_slope).sum(), 0.0) + (slope_b**2).sum()))
+        first = worst if first is None else first
+        if worst <= tolerance * weight.sum():
+            break
+        x, kx, x_b = _solved_by_rows(ranges.product, p, weight, ridge, (slope, k_slope, slope_b), min(0.1, float(np.sqrt(worst / first))))
+        down, share = float((slope * kx).sum() + (slope_b * x_b).sum()), 1.0
+        while True:
+            tried = (a - share * x, ka - share * kx, b - share * x_b)
+            found, p_found = objective(*tried)
+            if found <= loss - 1e-4 * share * down + 1e-12 * abs(loss) or share < 1e-6:
+                break
+            share /= 2
+        if share < 1e-6:
+            break
+        (a, ka, b), loss, p = tried, found, p_found
+    ranges.kept.unpersist()
+    return RowFit(ranges.coefficients(a), b - b.mean(), ranges.passes)
+
+
+def _solved_by_rows(product, p: np.ndarray, weight: np.ndarray, ridge: float, wanted: tuple, share: float, most: int = 500) -> tuple:
+    """Figures x, K x and intercepts that the Hessian turns into ``wanted``, but for ``share`` of its norm.
+
+    Conjugate gradients, scaled by the ridge and the mean curvature of a row, and by the curvature of the intercepts.
+    """
+    curve_b = np.maximum((weight * p * (1 - p)).sum(axis=1), 1e-12)
+    flat = ridge + float(curve_b.sum()) / p.size
+    left, k_left, left_b = wanted
+    size = float((left * k_left).sum() / flat + (left_b**2 / curve_b).sum())
+    way, k_way, way_b = left / flat, k_left / flat, left_b / curve_b
+    x, kx, x_b = np.zeros_like(left), np.zeros_like(left), np.zeros_like(left_b)
+    enough = share**2 * size
+    for _ in range(most):
+        if size <= enough:
+            break
+        u = k_way + way_b[:, None]
+        bent = weight * p * (u - (p * u).sum(axis=0))
+        turned, turned_b = ridge * way + bent, bent.sum(axis=1)
+        curve = float((k_way * turned).sum() + (way_b * turned_b).sum())
+        if curve <= 0:
+            break
+        step = size / curve
+        x, kx, x_b = x + step * way, kx + step * k_way, x_b + step * way_b
+        left, left_b = left - step * turned, left_b - step * turned_b
+        k_left = product(left)
+        new = float((left * k_left).sum() / flat + (left_b**2 / curve_b).sum())
+        way, k_way, way_b = left / flat + new / size * way, k_left / flat + new / size * k_way, left_b / curve_b + new / size * way_b
+        size = new
+    return x, kx, x_b

@@ -6,13 +6,10 @@ themes are the default.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from waybill import fixed_values as fixed
 from waybill.functions.dates import year_month
@@ -27,7 +24,7 @@ from waybill.functions.text import (
 from waybill.operators.picking import first_examples, seeded_draw, stable_sample
 from waybill.operators.quantiles import exact_quantiles
 from waybill.operators.running import running_totals
-from waybill.operators.softmax import STEP, entry_arrays, fit_softmax
+from waybill.operators.softmax import fit_by_rows, fit_softmax
 from waybill.operators.tfidf import inverse_frequencies, term_counts, weigh
 from waybill.plans.model import class_weights, weight_column
 from waybill.plans.order_grain import latest_reviews
@@ -145,27 +142,13 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.2, se
 # --- classifier ------------------------------------------------------------
 
 
-def _scores(fitted: Broadcast):
-    """Batches with ``entries`` (position, weight) in place of probabilities, one a class."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, STEP):
-                b = whole.slice(start, STEP)
-                found = fitted.value.probabilities(*entry_arrays(b.column("entries")), b.num_rows)
-                lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.float64()))
-                names = [n for n in b.schema.names if n != "entries"]
-                yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), lists], [*names, "probabilities"])
-
-    return run
-
-
 class ThemeClassifier:
     """Multinomial logistic regression on TF-IDF, trained on rule labels.
 
     The model keeps one coefficient per term and class, with an L2 penalty of 1 on the sum of
-    balanced losses. Texts without any frequent term, or of one class only, leave nothing to learn: then
-    every text gets the catch-all with certainty.
+    balanced losses, in a written table that texts are joined with. Where terms are more than
+    texts, the driver holds nothing by term. Texts without any frequent term, or of one class only,
+    leave nothing to learn: then every text gets the catch-all with certainty.
     """
 
     def __init__(self, key: str = "order_id", text: str = "texte_nettoye", label: str = "motif_regle"):
@@ -183,7 +166,7 @@ class ThemeClassifier:
         self.vocabulary = materialised(numbered.drop("place"))
         self.size = self.vocabulary.count()
         rows = class_weights(labelled, self.label).orderBy(self.label).collect()
-        self.classes, self.model = [r[self.label] for r in rows], None
+        self.classes, self.terms = [r[self.label] for r in rows], None
         if self.size == 0 or len(rows) < 2:
             self.classes = [fixed.THEME_OTHER]
             return self
@@ -192,7 +175,14 @@ class ThemeClassifier:
         ready = self._vectors(labelled, counts, [self.label]).select(
             "entries", weight_column(number, self.label).alias("label"), weight_column(weights, self.label).alias("weight")
         )
-        self.model = fit_softmax(ready, self.size, len(self.classes))
+        if self.size <= sum(r["n"] for r in rows):
+            fitted = fit_softmax(ready, self.size, len(self.classes))
+            coefficients = fitted.table(labelled)
+        else:
+            fitted = fit_by_rows(ready, self.size, len(self.classes))
+            coefficients = fitted.coefficients
+        self.intercepts = [float(i) for i in fitted.intercepts]
+        self.terms = materialised(self.vocabulary.join(coefficients, "position"))
         return self
 
     def _vectors(self, df: DataFrame, counts: DataFrame, keep: list[str]) -> DataFrame:
@@ -209,12 +199,21 @@ class ThemeClassifier:
 
     def probabilities(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         """(key, keep.., probabilities) with one probability per class."""
-        if self.model is None:
+        if self.terms is None:
             return df.select(self.key, *keep, F.array(F.lit(1.0)).alias("probabilities"))
-        counts = term_counts(df, self.key, self.text)
-        rows = self._vectors(df, counts, list(keep))
-        kinds = T.StructType([*rows.drop("entries").schema.fields, T.StructField("probabilities", T.ArrayType(T.DoubleType()))])
-        return rows.mapInArrow(_scores(df.sparkSession.sparkContext.broadcast(self.model)), kinds)
+        classes = range(len(self.classes))
+        known = term_counts(df, self.key, self.text).join(self.terms.select("term", "idf", "b"), "term")
+        raw = ((1 + F.log("tf")) * F.col("idf")).alias("raw")
+        known = known.select(self.key, raw, "b")
+        sums = [F.sum(F.col("raw") * F.get("b", F.lit(k))).alias(f"__{k}") for k in classes]
+        found = known.groupBy(self.key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("__length"), *sums)
+        margins = [F.coalesce(F.col(f"__{k}") / F.col("__length"), F.lit(0.0)) + F.lit(self.intercepts[k]) for k in classes]
+        rows = df.select(self.key, *keep).join(found, self.key, "left").select(self.key, *keep, F.array(*margins).alias("__z"))
+        # Less the largest, as exponentials of large margins overflow.
+        top = rows.select(self.key, *keep, "__z", F.array_max("__z").alias("__top"))
+        e = top.select(self.key, *keep, F.transform("__z", lambda z: F.exp(z - F.col("__top"))).alias("__e"))
+        total = e.select(self.key, *keep, "__e", F.aggregate("__e", F.lit(0.0), lambda a, x: a + x).alias("__total"))
+        return total.select(self.key, *keep, F.transform("__e", lambda x: x / F.col("__total")).alias("probabilities"))
 
     def stationarity(self, labelled: DataFrame) -> DataFrame:
         """(class, position, gradient) of the penalised loss at the fitted coefficients, per unit of weight.
@@ -234,12 +233,10 @@ class ThemeClassifier:
         terms = weigh(counts, self.key, self.vocabulary, ["position"]).select(self.key, "position", "weight")
         each = terms.join(rows, self.key).unionByName(rows.select(self.key, F.lit(-1).cast("long").alias("position"), F.lit(1.0).alias("weight"), "miss"))
         sums = each.groupBy("position").agg(*[F.sum(F.col("weight") * F.get("miss", F.lit(k))).alias(f"g{k}") for k in range(len(self.classes))])
-        spark = labelled.sparkSession
-        penalty = {f"b{k}": row / n for k, row in enumerate(self.model.coefficients)}
-        table = pa.table({"position": pa.array(range(self.size), pa.int64()), **penalty})
-        both = sums.join(spark.createDataFrame(table), "position", "left")
+        both = sums.join(self.terms.select("position", "b"), "position", "left")
+        penalty = lambda k: F.coalesce(F.get("b", F.lit(k)), F.lit(0.0)) / n
         parts = [
-            F.struct(F.lit(c).alias("class"), (F.col(f"g{k}") + F.coalesce(f"b{k}", F.lit(0.0))).alias("gradient"))
+            F.struct(F.lit(c).alias("class"), (F.col(f"g{k}") + penalty(k)).alias("gradient"))
             for k, c in enumerate(self.classes)
         ]
         return both.select("position", F.inline(F.array(*parts))).select("class", "position", "gradient")
@@ -284,7 +281,8 @@ def review_insights(
         theme = F.when(is_negative_with_text(), rule_label(F.col("texte_nettoye"), themes))
         rows = reviewed
     else:
-        final = reclassified(label_with_rules(negative_corpus(reviewed), themes), classifier)
+        # Written, as the rules would be worked out anew for each reader of their labels.
+        final = reclassified(materialised(label_with_rules(negative_corpus(reviewed), themes)), classifier)
         rows = reviewed.join(final.select("order_id", "motif_final"), "order_id", "left")
         theme = F.col("motif_final")
     return rows.select(
