@@ -29,7 +29,9 @@ STEP = 2048
 DIRECT = 1 << 26
 
 #: Entries of a range of positions that are kept together, and of a task's ranges from which there are more tasks.
-RANGE, TASK = 1 << 18, 1 << 23
+RANGE, TASK = 1 << 17, 1 << 23
+#: Entries of a written block: large values take Parquet's writer large buffers outside the heap.
+WRITTEN = 1 << 15
 
 #: An entry in a range.
 ENTRY = np.dtype([("at", np.int32), ("position", np.int32), ("value", np.float64)])
@@ -231,7 +233,7 @@ class _Ranges:
     """The entries of all rows by ranges of positions, and labels and weights of the rows."""
 
     def __init__(self, rows: DataFrame, size: int) -> None:
-        spark = rows.sparkSession
+        self.spark = rows.sparkSession
         blocks = materialised(rows.select("entries", "label", "weight").mapInArrow(_numbered_blocks, "block long, label binary, weight binary, n long, entries binary"))
         found = sorted(blocks.select("block", "label", "weight", "n").collect(), key=lambda r: r["block"])
         self.label = np.concatenate([np.frombuffer(r["label"], np.int32) for r in found] or [np.zeros(0, np.int32)])
@@ -239,8 +241,9 @@ class _Ranges:
         self.n, n_entries = len(self.label), sum(r["n"] for r in found)
         lengths = [len(r["label"]) // 4 for r in found]
         first = {r["block"]: int(end - n) for r, n, end in zip(found, lengths, np.cumsum(lengths), strict=True)}
-        self.tasks = max(spark.sparkContext.defaultParallelism, -(-n_entries // TASK))
-        parts = self.tasks * max(1, -(-n_entries // (self.tasks * RANGE)))
+        self.tasks = max(self.spark.sparkContext.defaultParallelism, -(-n_entries // TASK))
+        # Each range takes a task an array of all rows, so it has as many entries at least.
+        parts = self.tasks * max(1, -(-n_entries // (self.tasks * max(RANGE, self.n))))
         width = -(-size // parts)
 
         def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,9 +272,9 @@ class _Ranges:
 
         cuts = blocks.select("block", "entries").mapInArrow(cut, "part int, first long, entries binary")
         dealt = cuts.repartitionById(self.tasks, F.col("part") % self.tasks)
-        self.table = materialised(dealt.mapInArrow(gathered, "start long, entries binary"))
         self.size, self.width, self.passes = size, width, 0
-        self.kept = self.table.rdd.map(lambda r: (r["start"], r["entries"])).persist(StorageLevel.MEMORY_AND_DISK)
+        found = dealt.mapInArrow(gathered, "start long, entries binary")
+        self.kept = found.rdd.map(lambda r: (r["start"], r["entries"])).persist(StorageLevel.MEMORY_AND_DISK)
 
     def product(self, figures: np.ndarray) -> np.ndarray:
         """(class, row): every row's entries times the coefficients that ``figures`` (class, row) give."""
@@ -300,16 +303,15 @@ class _Ranges:
         width, size = self.width, self.size
         sent = self.kept.context.broadcast(figures)
 
-        def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                for start, given in zip(b.column("start").to_pylist(), b.column("entries"), strict=True):
-                    at, position, value = _columns(given.as_buffer(), start)
-                    n = min(width, size - start)
-                    sums = np.column_stack([np.bincount(position, value * f[at], n) for f in sent.value])
-                    lists = pa.FixedSizeListArray.from_arrays(pa.array(sums.ravel()), sums.shape[1]).cast(pa.list_(pa.float64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(start, start + n)), lists], ["position", "b"])
+        def found(some: Iterator[tuple[int, bytes]]) -> Iterator[tuple[int, list[float]]]:
+            for start, given in some:
+                at, position, value = _columns(given, start)
+                n = min(width, size - start)
+                sums = np.column_stack([np.bincount(position, value * f[at], n) for f in sent.value])
+                yield from zip(range(start, start + n), sums.tolist(), strict=True)
 
-        return materialised(self.table.mapInArrow(found, "position long, b array<double>"))
+        rows = self.kept.mapPartitions(found)
+        return materialised(self.spark.createDataFrame(rows, "position long, b array<double>"))
 
 
 def _columns(given, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -323,7 +325,7 @@ def _numbered_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     block = TaskContext.get().partitionId() << 32
     for whole in batches:
         n_entries = len(whole.column("entries").flatten())
-        step = max(1, min(STEP, whole.num_rows * RANGE // max(n_entries, 1)))
+        step = max(1, min(STEP, whole.num_rows * WRITTEN // max(n_entries, 1)))
         for start in range(0, whole.num_rows, step):
             b = whole.slice(start, step)
             at, position, value = entry_arrays(b.column("entries"))
@@ -375,8 +377,9 @@ def fit_by_rows(rows: DataFrame, size: int, classes: int, ridge: float = 1.0, to
         if share < 1e-6:
             break
         (a, ka, b), loss, p = tried, found, p_found
+    coefficients = ranges.coefficients(a)
     ranges.kept.unpersist()
-    return RowFit(ranges.coefficients(a), b - b.mean(), ranges.passes)
+    return RowFit(coefficients, b - b.mean(), ranges.passes)
 
 
 def _solved_by_rows(product, p: np.ndarray, weight: np.ndarray, ridge: float, wanted: tuple, share: float, most: int = 500) -> tuple:
