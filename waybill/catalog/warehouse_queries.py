@@ -28,12 +28,12 @@ def _fresh_folder(w, purpose: str) -> str:
 # --- sources and sinks -----------------------------------------------------
 
 
-def _csv_copies(w, names: list[str]) -> dict[str, DataFrame]:
+def _csv_copies(w, names: list[str], compression: str = "none") -> dict[str, DataFrame]:
     """The raw tables written as CSV files and read back through the manifest."""
     folder = _fresh_folder(w, "csv")
     for name in names:
         raw = getattr(w.raw, name).select(*csv_tables.RAW_COLUMNS[name])
-        csv_tables.write_csv(raw, f"{folder}/{name}.csv")
+        csv_tables.write_csv(raw, f"{folder}/{name}.csv", compression)
     return csv_tables.read_raw(w.raw.spark, folder, {n: f"{n}.csv" for n in names})
 
 
@@ -76,8 +76,8 @@ def src_csv_split(w):
     return reviews.withColumns(ids).select(*ids, "review_comment_title", "review_comment_message")
 
 
-def _csv_warehouse(w) -> Warehouse:
-    return Warehouse(SimpleNamespace(**_csv_copies(w, list(csv_tables.RAW_COLUMNS))))
+def _csv_warehouse(w, compression: str = "none") -> Warehouse:
+    return Warehouse(SimpleNamespace(**_csv_copies(w, list(csv_tables.RAW_COLUMNS), compression)))
 
 
 @query(
@@ -98,7 +98,11 @@ def csv_fct_orders(w):
     " round(seller_distance_km_max, 4) as seller_distance_km_max, geo_is_unknown from features_orders",
 )
 def csv_features_orders(w):
-    table = features.features_orders(_csv_warehouse(w).written("stg_order_items"))
+    """Features from CSV copies of the raw tables, compressed: they stay on disk beside all that the features write.
+
+    Items are read once, so they aren't written a second time.
+    """
+    table = features.features_orders(_csv_warehouse(w, "gzip"))
     table = rounded(rounded(table, 9, "seller_late_rate_max"), 4, "seller_distance_km_max")
     return table.select(
         F.col("order_id").cast("bigint").alias("order_id"), "seller_late_rate_max", "purchase_weekday", "delay_est_days",

@@ -146,11 +146,15 @@ def records(lines: DataFrame, header: str) -> DataFrame:
     return every.select(plain.alias("value")).where(F.col("value") != "")
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV in the form ``read_csv`` reads, replacing what was there."""
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
+    """CSV in the form ``read_csv`` reads, replacing what was there.
+
+    A compressed file is read by one task; every task that writes makes a file.
+    """
     df.write.mode("overwrite").csv(
         path,
         header=True,
+        compression=compression,
         quote='"',
         escape='"',
         ignoreLeadingWhiteSpace=False,
